@@ -120,14 +120,14 @@ FROM {{events}}""",
     "sku_for_tickets": """
 SELECT DISTINCT item_code, process_definition_key FROM (
   SELECT p_brand AS item_code,
-    CASE CAST(substr(p_brand, 7) AS INT) % 4 WHEN 0 THEN 'ac-gst-report-internal'
+    CASE TRY_CAST(substr(p_brand, 7) AS INT) % 4 WHEN 0 THEN 'ac-gst-report-internal'
       WHEN 1 THEN 'ac-payslip-report-internal' WHEN 2 THEN 'ac-ir8a-report-internal' END
       AS process_definition_key
   FROM {part}
   UNION ALL
   SELECT p_brand AS item_code,
-    CASE WHEN CAST(substr(p_brand, 7) AS INT) % 3 = 0 THEN 'ac-gst-report-internal'
-      WHEN CAST(substr(p_brand, 7) AS INT) % 5 = 0 THEN 'ac-personal-tax-report-internal' END
+    CASE WHEN TRY_CAST(substr(p_brand, 7) AS INT) % 3 = 0 THEN 'ac-gst-report-internal'
+      WHEN TRY_CAST(substr(p_brand, 7) AS INT) % 5 = 0 THEN 'ac-personal-tax-report-internal' END
       AS process_definition_key
   FROM {part}
 ) s""",
