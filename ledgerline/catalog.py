@@ -14,8 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.json import json_array, json_text, json_value
 from ledgerline.functions.keys import surrogate_key
-from ledgerline.plans import paid_calendar, paid_periods
+from ledgerline.operators.joins import interval_join
+from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
+from ledgerline.plans import client_status, invoices, paid_calendar, paid_periods, subscriptions
 from ledgerline.sources.fixtures import Fixtures
 from ledgerline.sources.tables import Tables
 
@@ -102,3 +105,157 @@ def q_surrogate_key(spark, d):
         surrogate_key("fy_id", "company_id", "remarks").alias("fy_key"),
         surrogate_key("company_id", "start_date").alias("company_start_key"),
     )
+
+
+# ------------------------------------------------------- latest row per key
+@query("latest_by")
+def q_latest_by(spark, d):
+    orders = Tables(spark, d)["orders"]
+    return latest_by(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"]).select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"
+    )
+
+
+@query("distinct_on")
+def q_distinct_on(spark, d):
+    pos = _fx(spark, d)["positions"].filter(
+        (F.col("position_name") == "Accountant")
+        & (F.col("fcurp_status") == "Acting")
+        & (F.col("fcur_status") == "active")
+    )
+    # PostgreSQL's DESC puts NULLs first; the user name breaks ties.
+    first = distinct_on(
+        pos, ["company_key"],
+        [F.col("appointment_date_key").desc_nulls_first(), F.col("user_name").desc()],
+    )
+    return first.select("company_key", F.col("user_name").alias("accountant_name"))
+
+
+@query("latest_rows_ties")
+def q_latest_rows_ties(spark, d):
+    orders = Tables(spark, d)["orders"]
+    return latest_rows(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"], "max_orderdate")
+
+
+# ------------------------------------------------------------------- client status (K6)
+def _acc(fx: Fixtures) -> DataFrame:
+    return client_status.accounting_items(
+        fx["contracts"], fx["contract_items"], fx["products"], fx["subscriptions"]
+    )
+
+
+@query("accounting_items")
+def q_accounting_items(spark, d):
+    return _acc(_fx(spark, d))
+
+
+@query("unresolved_ticket")
+def q_unresolved_ticket(spark, d):
+    fx = _fx(spark, d)
+    return client_status.unresolved_ticket(fx["tickets"], fx["sku_for_tickets"])
+
+
+@query("last_active")
+def q_last_active(spark, d):
+    return client_status.last_active(_acc(_fx(spark, d)), STATUS_AS_OF)
+
+
+@query("last_inactive")
+def q_last_inactive(spark, d):
+    return client_status.last_inactive(_acc(_fx(spark, d)), STATUS_AS_OF)
+
+
+@query("one_off_last")
+def q_one_off_last(spark, d):
+    return client_status.one_off_last(_acc(_fx(spark, d)))
+
+
+@query("client_status")
+def q_client_status(spark, d):
+    fx = _fx(spark, d)
+    return client_status.client_status(
+        fx["companies"], fx["contracts"], fx["contract_items"], fx["products"],
+        fx["subscriptions"], fx["tickets"], fx["sku_for_tickets"], STATUS_AS_OF, LINK_PREFIX,
+    )
+
+
+# ---------------------------------------------------- subscriptions and tickets
+@query("interval_join")
+def q_interval_join(spark, d):
+    fx = _fx(spark, d)
+    points = fx["contracts"].join(fx["contract_items"], "contract_id").select(
+        "contract_item_id", "company_id", F.to_date("finish_at").alias("finish_date")
+    )
+    years = fx["financial_years"].select(
+        "fy_id", F.col("company_id").alias("fy_company_id"), "start_date", "end_date"
+    )
+    joined = interval_join(
+        points, years, ["company_id"], ["fy_company_id"], "finish_date", "start_date",
+        "end_date", how="left",
+    )
+    return joined.select("p.contract_item_id", "p.company_id", "p.finish_date", "i.fy_id")
+
+
+def _stm(spark, d, **kw) -> DataFrame:
+    fx = _fx(spark, d)
+    return subscriptions.subscription_ticket_match(
+        fx["financial_years"], fx["contracts"], fx["contract_items"], fx["products"],
+        fx["subscriptions"], fx["tickets"], fx["companies"], LINK_PREFIX, **kw,
+    )
+
+
+@query("subscription_ticket_match")
+def q_subscription_ticket_match(spark, d):
+    return _stm(spark, d)
+
+
+@query("subscriptions_missing_ticket")
+def q_subscriptions_missing_ticket(spark, d):
+    return _stm(spark, d, missing_only=True)
+
+
+# ------------------------------------------------- JSON and duplicates (H-json, K7, K8, K11)
+@query("json_value")
+def q_json_value(spark, d):
+    docs = _fx(spark, d)["documents_json"]
+    return docs.select(
+        "document_id",
+        json_value("details", "$.invoiceNumber").alias("invoice_number"),
+        json_value("details", "$.issueDate").alias("issue_date"),
+        json_value("details", "$.amount").alias("total"),
+        json_value("details", "$.externalDetails.source").alias("source"),
+        json_value("details", "$.lineItems").alias("line_items"),
+    )
+
+
+@query("json_text")
+def q_json_text(spark, d):
+    logs = _fx(spark, d)["audit_logs"]
+    return logs.select(
+        "company_key", "actor_user_key", "event_name",
+        json_text("changes", "legalStatus").alias("legal_status"),
+        json_text("changes", "name").alias("changed_name"),
+    )
+
+
+@query("explode_json_array")
+def q_explode_json_array(spark, d):
+    docs = _fx(spark, d)["documents_json"]
+    return docs.select(
+        "document_id", F.explode(json_array("details", "$.lineItems")).alias("line_item")
+    )
+
+
+@query("duplicate_groups")
+def q_duplicate_groups(spark, d):
+    return invoices.duplicate_line_invoices(_fx(spark, d)["documents_json"], INVOICE_AS_OF)
+
+
+@query("duplicate_rate")
+def q_duplicate_rate(spark, d):
+    return invoices.duplicate_invoice_rate(_fx(spark, d)["documents_json"], INVOICE_AS_OF)
+
+
+@query("duplicate_rows")
+def q_duplicate_rows(spark, d):
+    return invoices.repeated_snapshot_keys(_fx(spark, d)["journal_snapshot"])
