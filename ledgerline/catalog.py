@@ -16,9 +16,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.json import json_array, json_text, json_value
 from ledgerline.functions.keys import surrogate_key
-from ledgerline.operators.joins import interval_join
+from ledgerline.operators.joins import anti_join, interval_join, not_in, semi_join
 from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
-from ledgerline.plans import client_status, invoices, paid_calendar, paid_periods, subscriptions
+from ledgerline.plans import (
+    client_base,
+    client_status,
+    invoices,
+    paid_calendar,
+    paid_periods,
+    subscriptions,
+)
 from ledgerline.sources.fixtures import Fixtures
 from ledgerline.sources.tables import Tables
 
@@ -259,3 +266,131 @@ def q_duplicate_rate(spark, d):
 @query("duplicate_rows")
 def q_duplicate_rows(spark, d):
     return invoices.repeated_snapshot_keys(_fx(spark, d)["journal_snapshot"])
+
+
+# ------------------------------------------------ operations reports
+def _base(fx: Fixtures) -> DataFrame:
+    return client_base.client_base(
+        fx["dim_contracts"], fx["dim_contract_items"], fx["fact_products"],
+        fx["dim_companies"], fx["dim_subscriptions"], fx["white_label"],
+    )
+
+
+@query("tag_status")
+def q_tag_status(spark, d):
+    return client_base.tag_statuses(_fx(spark, d)["company_tags"])
+
+
+@query("unassigned_tickets")
+def q_unassigned_tickets(spark, d):
+    fx = _fx(spark, d)
+    return client_base.unassigned_ticket_counts(
+        fx["dim_tickets"], fx["dim_users"], fx["dim_companies"], fx["positions"], BOT_EMAIL
+    )
+
+
+@query("client_base")
+def q_client_base(spark, d):
+    return _base(_fx(spark, d))
+
+
+@query("last_payroll_service")
+def q_last_payroll_service(spark, d):
+    return client_base.last_services(_base(_fx(spark, d)), payroll=True)
+
+
+@query("last_acc_service")
+def q_last_acc_service(spark, d):
+    return client_base.last_services(_base(_fx(spark, d)), payroll=False)
+
+
+@query("connection_info")
+def q_connection_info(spark, d):
+    return client_base.connection_info(_fx(spark, d)["connections"])
+
+
+@query("active_year")
+def q_active_year(spark, d):
+    return client_base.year_in_force(_fx(spark, d)["fact_financial_years"], REPORT_AS_OF)
+
+
+@query("tiers")
+def q_tiers(spark, d):
+    fx = _fx(spark, d)
+    return client_base.tiers(
+        _base(fx), fx["connections"], fx["transactions"], fx["fact_financial_years"],
+        REPORT_AS_OF, LINK_PREFIX,
+    )
+
+
+@query("client_report")
+def q_client_report(spark, d):
+    fx = _fx(spark, d)
+    return client_base.client_report(
+        _base(fx), fx["positions"], fx["connections"], fx["dim_companies_lambda"],
+        fx["fact_financial_years"], REPORT_AS_OF, LINK_PREFIX,
+    )
+
+
+@query("white_label")
+def q_white_label(spark, d):
+    fx = _fx(spark, d)
+    return client_base.white_label_report(
+        fx["white_label"], fx["dim_companies"], fx["dim_contracts"], fx["dim_contract_items"],
+        fx["fact_products"],
+    )
+
+
+@query("documents")
+def q_documents(spark, d):
+    return client_base.document_recipients(_fx(spark, d)["dim_documents"])
+
+
+@query("document_types")
+def q_document_types(spark, d):
+    fx = _fx(spark, d)
+    return client_base.document_types(fx["dim_documents"], fx["dim_companies"])
+
+
+@query("company_lookup")
+def q_company_lookup(spark, d):
+    return client_base.company_lookup(_fx(spark, d)["dim_companies"])
+
+
+@query("status_changes")
+def q_status_changes(spark, d):
+    fx = _fx(spark, d)
+    return client_base.legal_status_changes(
+        fx["status_companies"], fx["audit_logs"], fx["dim_users"]
+    )
+
+
+@query("not_in")
+def q_not_in(spark, d):
+    fx = _fx(spark, d)
+    direct = client_base.accounting_company_keys(
+        fx["dim_contracts"], fx["dim_contract_items"], fx["fact_products"]
+    )
+    wl = fx["white_label"].select("company_key", "contract_key", "invoice_status")
+    return not_in(wl, direct, "company_key", "company_key")
+
+
+@query("anti_join")
+def q_anti_join(spark, d):
+    fx = _fx(spark, d)
+    feeds = fx["transactions"].filter(F.col("transaction_source") == "Bank Feed").select(
+        "company_key"
+    ).distinct()
+    return anti_join(
+        fx["dim_companies"].select("company_key", "company_name"), feeds, "company_key"
+    )
+
+
+@query("semi_join")
+def q_semi_join(spark, d):
+    fx = _fx(spark, d)
+    services = fx["sku_for_tickets"].select("process_definition_key")
+    return semi_join(
+        fx["tickets"].select("ticket_id", "company_id", "process_definition_key"),
+        services, "process_definition_key",
+    )
