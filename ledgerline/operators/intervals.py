@@ -42,16 +42,24 @@ def merge_intervals(
     valid = df.filter(
         F.col(end).isNotNull() & (F.col(start).isNull() | (F.col(start) <= F.col(end)))
     )
-    opens = valid.select(
-        *kcols, F.coalesce(F.col(start), _open_start()).alias("__ll_day"),
-        F.lit(1).alias("__ll_inc"),
-    )
-    closes = valid.select(
-        *kcols, F.date_add(F.col(end), 1).alias("__ll_day"), F.lit(-1).alias("__ll_inc")
+    # Both events of an interval come from one pass over the input (a generator), so
+    # the upstream joins are not evaluated twice as a UNION of two selects would be.
+    events = valid.select(
+        *kcols,
+        F.inline(
+            F.array(
+                F.struct(
+                    F.coalesce(F.col(start), _open_start()).alias("__ll_day"),
+                    F.lit(1).alias("__ll_inc"),
+                ),
+                F.struct(
+                    F.date_add(F.col(end), 1).alias("__ll_day"), F.lit(-1).alias("__ll_inc")
+                ),
+            )
+        ),
     )
     deltas = (
-        opens.unionByName(closes)
-        .groupBy(*keys, "__ll_day")
+        events.groupBy(*keys, "__ll_day")
         .agg(F.sum("__ll_inc").alias("__ll_delta"))
         .filter(F.col("__ll_delta") != 0)
     )
