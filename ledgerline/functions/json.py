@@ -1,15 +1,21 @@
 """Fields of JSON held in text columns (H-json1..H-json5, A4).
 
 The text is parsed into a VARIANT with ``try_parse_json`` (malformed text gives NULL
-instead of failing the job) and the fields are read with ``try_variant_get``.  Every
-helper below repeats the same ``try_parse_json(col)`` expression, so when several fields
-of one column are read in the same projection Spark's common-subexpression elimination
-parses each row once.
+instead of failing the job) and fields are read from it with ``try_variant_get``, which
+walks the binary VARIANT without re-reading the text.
+
+Parse once: a query that *filters* on JSON fields must not repeat the parse.  Catalyst
+pushes a filter below the projection that defines the fields, substituting each field's
+expression into the predicate, and a filter evaluates every copy (it has no
+common-subexpression elimination).  ``with_parsed_json`` therefore adds the parsed VARIANT
+as the output of a one-row generator: predicates on fields read from a generator's output
+stay above it, and each row is parsed exactly once.  The ``variant_*`` helpers then read
+fields from that column; the ``json_*`` helpers are the same readers applied to text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions._util import to_col
@@ -19,32 +25,48 @@ def parse_json_text(col) -> Column:
     return F.try_parse_json(to_col(col))
 
 
-def _get(col, path: str, target: str) -> Column:
-    return F.try_variant_get(parse_json_text(col), path, target)
+def with_parsed_json(df: DataFrame, col: str, alias: str) -> DataFrame:
+    """``df`` plus column ``alias``: the VARIANT parsed from text column ``col``,
+    evaluated once per row (see the module note)."""
+    parsed = F.struct(parse_json_text(col).alias(alias))
+    return df.select("*", F.inline(F.array(parsed)))
 
 
-def json_value(col, path: str) -> Column:
+def variant_value(v, path: str) -> Column:
     """Scalar at ``path`` as text; objects, arrays and JSON null give NULL.
 
     Strings come back unquoted, numbers and booleans as their text (a number is
-    rendered from its parsed value, so ``1.50`` reads ``1.5``).
-    """
-    kind = F.schema_of_variant(_get(col, path, "variant"))
+    rendered from its parsed value, so ``1.50`` reads ``1.5``)."""
+    v = to_col(v)
+    kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(~nested | kind.isNull(), _get(col, path, "string"))
-
+    return F.when(~nested | kind.isNull(), F.try_variant_get(v, path, "string"))
 
-def json_text(col, key: str) -> Column:
-    """Value of top-level ``key`` as text, objects and arrays as JSON text.
 
-    ``key`` is a literal member name, not a path.
-    """
+def variant_text(v, key: str) -> Column:
+    """Value of top-level ``key`` as text, objects and arrays as JSON text (the
+    ``->>`` operator).  ``key`` is a literal member name, not a path."""
     escaped = key.replace("\\", "\\\\").replace("'", "\\'")
-    return _get(col, f"$['{escaped}']", "string")
+    return F.try_variant_get(to_col(v), f"$['{escaped}']", "string")
 
 
-def json_array(col, path: str) -> Column:
+def variant_array(v, path: str) -> Column:
     """Array at ``path`` as ``array<string>`` of JSON texts; NULL when absent or not an
     array, so an inner unnest of it gives no rows."""
-    items = _get(col, path, "array<variant>")
-    return F.transform(items, lambda v: F.to_json(v))
+    items = F.try_variant_get(to_col(v), path, "array<variant>")
+    return F.transform(items, lambda x: F.to_json(x))
+
+
+def json_value(col, path: str) -> Column:
+    """``variant_value`` read from JSON text (``JSON_VALUE``)."""
+    return variant_value(parse_json_text(col), path)
+
+
+def json_text(col, key: str) -> Column:
+    """``variant_text`` read from JSON text (``text::JSON ->> key``)."""
+    return variant_text(parse_json_text(col), key)
+
+
+def json_array(col, path: str) -> Column:
+    """``variant_array`` read from JSON text (``JSON_QUERY_ARRAY``)."""
+    return variant_array(parse_json_text(col), path)

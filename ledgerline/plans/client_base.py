@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import active_at
-from ledgerline.functions.json import json_text
+from ledgerline.functions.json import json_text, variant_text, with_parsed_json
 from ledgerline.functions.keys import link
 from ledgerline.functions.text import tag_status
 from ledgerline.operators.joins import anti_join, not_in, semi_join
@@ -187,13 +187,16 @@ def last_services(base: DataFrame, payroll: bool) -> DataFrame:
 
 def connection_info(connections: DataFrame) -> DataFrame:
     """Tax and plan fields of successful accounting-software connections."""
-    data = "xero_organisation_data"
-    return connections.filter(F.col("status") == "success").select(
+    ok = connections.filter(F.col("status") == "success").select(
+        "company_key", "xero_organisation_data"
+    )
+    parsed = with_parsed_json(ok, "xero_organisation_data", "__ll_json")
+    return parsed.select(
         "company_key",
-        json_text(data, "salesTaxBasis").alias("sales_tax_basis"),
-        json_text(data, "taxNumber").alias("gst_tax_number"),
-        json_text(data, "_class").alias("xero_tier"),
-        json_text(data, "baseCurrency").alias("functional_currency"),
+        variant_text("__ll_json", "salesTaxBasis").alias("sales_tax_basis"),
+        variant_text("__ll_json", "taxNumber").alias("gst_tax_number"),
+        variant_text("__ll_json", "_class").alias("xero_tier"),
+        variant_text("__ll_json", "baseCurrency").alias("functional_currency"),
     )
 
 
@@ -491,7 +494,10 @@ def legal_status_changes(
     """Legal-status updates of the listed companies, with the acting user."""
     logs = audit_logs.filter(
         (F.col("event_name") == "apiCompanyUpdate") & (F.col("object_type") == "Company")
-    ).withColumn("legal_status_update", json_text("changes", "legalStatus"))
+    ).select("company_key", "actor_user_key", "log_created_at", "changes")
+    logs = with_parsed_json(logs, "changes", "__ll_json").withColumn(
+        "legal_status_update", variant_text("__ll_json", "legalStatus")
+    )
     logs = logs.filter(F.col("legal_status_update").isNotNull())
     users = dim_users.select(
         F.col("user_key").alias("actor_user_key"), "user_first_name", "user_last_name"

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.json import json_array, json_value
+from ledgerline.functions.json import variant_array, variant_value, with_parsed_json
 from ledgerline.operators.quality import duplicate_groups, duplicate_rate, duplicate_rows
 
 # The JSON paths of the invoice fields and the filters of the audits.
@@ -38,17 +38,18 @@ def invoice_fields(
     source: str = SOURCE,
 ) -> DataFrame:
     """Invoice fields of documents created in ``[since, as_of]`` from ``source``, with a
-    non-empty invoice number: ``companyid, <fields>, subcategory, details``."""
-    fields = [json_value("details", path).alias(name) for name, path in INVOICE_FIELDS.items()]
+    non-empty invoice number: ``companyid, <fields>, subcategory, __ll_json`` (the parsed
+    details, for further fields).  Each document's JSON is parsed once."""
     day = F.to_date("createdat")
+    docs = documents.filter(
+        day.between(F.lit(since), F.lit(as_of)) & F.col("subcategory").isin(list(subcategories))
+    ).select("companyid", "subcategory", "details")
+    parsed = with_parsed_json(docs, "details", "__ll_json")
+    fields = [variant_value("__ll_json", path).alias(name) for name, path in INVOICE_FIELDS.items()]
     return (
-        documents.filter(
-            day.between(F.lit(since), F.lit(as_of))
-            & F.col("subcategory").isin(list(subcategories))
-        )
-        .select(
-            "companyid", *fields, "subcategory", "details",
-            json_value("details", SOURCE_PATH).alias("__ll_source"),
+        parsed.select(
+            "companyid", *fields, "subcategory", "__ll_json",
+            variant_value("__ll_json", SOURCE_PATH).alias("__ll_source"),
         )
         .filter(
             F.col("invoice_number").isNotNull()
@@ -65,7 +66,7 @@ def duplicate_line_invoices(documents: DataFrame, as_of: dt.date) -> DataFrame:
     As in the reference, an invoice counts once per line item, so one invoice with two
     line items is its own duplicate, and one without line items is not counted."""
     base = invoice_fields(documents, LINE_SINCE, as_of, LINE_SUBCATEGORIES)
-    lines = base.select(*KEY, F.explode(json_array("details", LINE_ITEMS_PATH)).alias("__ll_li"))
+    lines = base.select(*KEY, F.explode(variant_array("__ll_json", LINE_ITEMS_PATH)).alias("__ll_li"))
     return duplicate_groups(lines.drop("__ll_li"), KEY, "number_of_dublicates")
 
 
@@ -75,7 +76,7 @@ def duplicate_invoice_rate(documents: DataFrame, as_of: dt.date) -> DataFrame:
     base = invoice_fields(documents, RATE_SINCE, as_of, RATE_SUBCATEGORIES).filter(
         ~F.col("total").isin("0")
     )
-    groups = duplicate_groups(base.drop("details"), [*KEY, "subcategory"], "number_of_dublicates")
+    groups = duplicate_groups(base.drop("__ll_json"), [*KEY, "subcategory"], "number_of_dublicates")
     return duplicate_rate(groups, ["subcategory"], "number_of_dublicates", "avg_excess_copies")
 
 
