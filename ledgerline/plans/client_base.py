@@ -219,22 +219,29 @@ def tiers(
 
     Tier 0: dormant, yearly reporting or a basic SKU, and never sold the accounting
     software.  Tier 1: a connection whose tax basis is neither accruals nor cash, a year
-    in force ending after the cut-off, not e-commerce, no premium SKU, no bank feed."""
+    in force ending after the cut-off, not e-commerce, no premium SKU, no bank feed.
+
+    The reference builds four DISTINCT company sets from the client base (software
+    sold, tier-0 candidates, premium SKUs, tier-1 candidates).  Each is "some row of the
+    company satisfies X", so all four come from one grouped pass with ``bool_or`` (NULL
+    conditions count as not satisfied, as in a WHERE clause)."""
     now = F.lit(dt.datetime.combine(as_of, dt.time()))
-    xero_sold = base.filter(F.col("item_code").isin(XERO_SKUS)).select("company_key").distinct()
-    tier0 = anti_join(
-        base.filter(
+    not_ecommerce = ~F.array_contains(F.col("company_tags"), "ecommerce") | F.col(
+        "company_tags"
+    ).isNull()
+    flags = base.groupBy("company_key").agg(
+        F.bool_or(F.col("item_code").isin(XERO_SKUS)).alias("__ll_sold"),
+        F.bool_or(
             (F.col("is_dormant") == F.lit(True))
             | (F.col("mr_service_period") == "yearly")
             | F.col("item_code").isin(TIER0_SKUS)
-        ).select("company_key").distinct(),
-        xero_sold,
-        "company_key",
+        ).alias("__ll_t0"),
+        F.bool_or(F.col("item_code").isin(PREMIUM_SKUS)).alias("__ll_premium"),
+        F.bool_or(not_ecommerce).alias("__ll_t1"),
     )
     bank_feed = transactions.filter(
         (F.col("transaction_source") == "Bank Feed") & (F.col("transaction_date") <= now)
     ).select("company_key").distinct()
-    premium = base.filter(F.col("item_code").isin(PREMIUM_SKUS)).select("company_key").distinct()
     conn_ok = (
         connection_info(connections)
         .filter(~F.col("sales_tax_basis").isin(TAX_BASES))
@@ -249,23 +256,22 @@ def tiers(
         .select(F.col("company_id").alias("company_key"))
         .distinct()
     )
-    not_ecommerce = ~F.array_contains(F.col("company_tags"), "ecommerce") | F.col(
-        "company_tags"
-    ).isNull()
-    tier1 = base.filter(not_ecommerce).select("company_key").distinct()
-    tier1 = semi_join(tier1, conn_ok, "company_key")
+    tier1 = semi_join(flags.filter(F.col("__ll_t1")).select("company_key"), conn_ok, "company_key")
     tier1 = semi_join(tier1, year_ok, "company_key")
-    tier1 = anti_join(tier1, premium, "company_key")
     tier1 = anti_join(tier1, bank_feed, "company_key")
-    return (
-        base.join(tier0.withColumn("__ll_t0", F.lit(True)), "company_key", "left")
-        .join(tier1.withColumn("__ll_t1", F.lit(True)), "company_key", "left")
-        .select(
-            "company_key", "company_name", "deal_status", "legal_status", "is_kyc_passed",
-            link(link_prefix, "company_key").alias("company_link"), "mr_service_period",
-            F.when(F.col("__ll_t0"), "tier 0").alias("tier_0"),
-            F.when(F.col("__ll_t1"), "tier 1").alias("tier_1"),
-        )
+    marks = flags.join(tier1.withColumn("__ll_t1_ok", F.lit(True)), "company_key", "left").select(
+        "company_key",
+        F.when(F.col("__ll_t0") & ~F.coalesce(F.col("__ll_sold"), F.lit(False)), "tier 0").alias(
+            "tier_0"
+        ),
+        F.when(
+            F.col("__ll_t1_ok") & ~F.coalesce(F.col("__ll_premium"), F.lit(False)), "tier 1"
+        ).alias("tier_1"),
+    )
+    return base.join(marks, "company_key", "left").select(
+        "company_key", "company_name", "deal_status", "legal_status", "is_kyc_passed",
+        link(link_prefix, "company_key").alias("company_link"), "mr_service_period",
+        "tier_0", "tier_1",
     )
 
 

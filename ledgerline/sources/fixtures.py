@@ -57,6 +57,13 @@ _ITEM_KEY = (
     "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)"
 )
 _EVENT_COMPANY = "(user_id * 10 + event_id % 10)"
+# Comma-separated company tags (a quarter of the companies have none).
+_TAGS = (
+    "CASE c_custkey % 4 WHEN 0 THEN NULL ELSE "
+    "CASE WHEN c_custkey % 3 = 0 THEN 'ecommerce,' ELSE '' END || "
+    "CASE c_custkey % 5 WHEN 0 THEN 'mia' WHEN 1 THEN 'paidStrikeOff' WHEN 2 THEN 'ndStrikeOff' "
+    "ELSE 'none' END END"
+)
 
 # Engine-specific snippets: a six-row generator per customer (financial years 1..6).
 SNIPPETS = {
@@ -172,31 +179,27 @@ SELECT {_EVENT_COMPANY} AS company_key,
   'user-' || CAST(event_id AS STRING) AS user_name,
   CASE WHEN event_id % 53 > 0 THEN CAST(ts AS DATE) END AS appointment_date_key
 FROM {{events}}""",
-    "company_tags": """
-SELECT c_custkey AS company_key,
-  CASE c_custkey % 4 WHEN 0 THEN NULL ELSE
-    CASE WHEN c_custkey % 3 = 0 THEN 'ecommerce,' ELSE '' END ||
-    CASE c_custkey % 5 WHEN 0 THEN 'mia' WHEN 1 THEN 'paidStrikeOff' WHEN 2 THEN 'ndStrikeOff'
-      ELSE 'none' END END AS tags
-FROM {customer}""",
-    "dim_companies": """
-SELECT c.c_custkey AS company_key, c.c_name AS company_name,
-  'UEN' || CAST(c.c_custkey AS STRING) AS uen,
-  CASE c.c_custkey % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'junk' ELSE 'won' END AS deal_status,
-  CASE c.c_nationkey % 4 WHEN 1 THEN 'struck off' WHEN 2 THEN 'dormant' ELSE 'live' END AS legal_status,
-  c.c_acctbal > 1000 AS is_kyc_passed,
-  c.c_custkey % 7 = 1 AS is_wl_client,
-  c.c_custkey % 7 = 2 AS is_wl_partner,
-  CASE c.c_custkey % 11 WHEN 0 THEN TRUE WHEN 1 THEN NULL ELSE FALSE END AS is_dormant,
-  split(t.tags, ',') AS company_tags,
-  CASE WHEN c.c_nationkey % 5 < 3 THEN 'SG' ELSE 'HK' END AS branch_country_key,
-  CASE WHEN c.c_custkey % 13 = 0 THEN 20200101 END AS deleted_date_key,
-  CASE c.c_custkey % 3 WHEN 0 THEN 'yearly' WHEN 1 THEN 'quarterly' ELSE 'monthly' END
+    "company_tags": f"""
+SELECT c_custkey AS company_key, {_TAGS} AS tags
+FROM {{customer}}""",
+    "dim_companies": f"""
+SELECT c_custkey AS company_key, c_name AS company_name,
+  'UEN' || CAST(c_custkey AS STRING) AS uen,
+  CASE c_custkey % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'junk' ELSE 'won' END AS deal_status,
+  CASE c_nationkey % 4 WHEN 1 THEN 'struck off' WHEN 2 THEN 'dormant' ELSE 'live' END AS legal_status,
+  c_acctbal > 1000 AS is_kyc_passed,
+  c_custkey % 7 = 1 AS is_wl_client,
+  c_custkey % 7 = 2 AS is_wl_partner,
+  CASE c_custkey % 11 WHEN 0 THEN TRUE WHEN 1 THEN NULL ELSE FALSE END AS is_dormant,
+  split({_TAGS}, ',') AS company_tags,
+  CASE WHEN c_nationkey % 5 < 3 THEN 'SG' ELSE 'HK' END AS branch_country_key,
+  CASE WHEN c_custkey % 13 = 0 THEN 20200101 END AS deleted_date_key,
+  CASE c_custkey % 3 WHEN 0 THEN 'yearly' WHEN 1 THEN 'quarterly' ELSE 'monthly' END
     AS management_report_service_period,
-  CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'approved' END AS raf_status,
-  CASE WHEN c.c_mktsegment = 'MACHINERY' THEN '{{"q1":"yes"}}' END AS raf_answers,
-  CASE WHEN c.c_acctbal > 5000 THEN 'active' ELSE 'pending' END AS app_status
-FROM {customer} c JOIN {company_tags} t ON t.company_key = c.c_custkey""",
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'approved' END AS raf_status,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN '{{{{"q1":"yes"}}}}' END AS raf_answers,
+  CASE WHEN c_acctbal > 5000 THEN 'active' ELSE 'pending' END AS app_status
+FROM {{customer}}""",
     "dim_contracts": """
 SELECT o_orderkey AS contract_key, o_custkey AS company_key,
   CASE WHEN o_orderstatus = 'F' THEN 'active' WHEN o_orderstatus = 'O' THEN 'draft'
