@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame building blocks."""
 
-from ledgerline.operators.intervals import coverage, merge_intervals, period_grid
+from ledgerline.operators.intervals import coverage, merge_intervals, open_counts, period_grid
 from ledgerline.operators.joins import (
     anti_join,
     interval_join,
@@ -9,7 +9,12 @@ from ledgerline.operators.joins import (
     with_match_flag,
 )
 from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
-from ledgerline.operators.quality import duplicate_groups, duplicate_rate, duplicate_rows
+from ledgerline.operators.quality import (
+    duplicate_groups,
+    duplicate_rate,
+    duplicate_rows,
+    with_key_count,
+)
 from ledgerline.operators.sets import union_all, union_distinct
 
 __all__ = [
@@ -24,9 +29,11 @@ __all__ = [
     "latest_rows",
     "merge_intervals",
     "not_in",
+    "open_counts",
     "period_grid",
     "semi_join",
     "union_all",
     "union_distinct",
+    "with_key_count",
     "with_match_flag",
 ]

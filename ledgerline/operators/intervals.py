@@ -17,59 +17,78 @@ def _open_start():
     return F.lit(OPEN_START).cast("date")
 
 
-def merge_intervals(
+def open_counts(
     df: DataFrame,
     keys: Sequence[str],
     start: str,
     end: str,
-    out_start: str = "start_date",
-    out_end: str = "finish_date",
+    day: str = "day",
+    change: str = "net_change",
+    open_col: str = "open_items",
 ) -> DataFrame:
-    """Merge closed date intervals ``[start, end]`` that overlap or touch, per key.
-
-    Event form: every interval adds +1 on its first day and -1 on the day after its
-    last.  The events are summed per ``(key, day)`` first; that aggregate is combined
-    map-side, so a key holding a third of all intervals reaches the shuffle as at most
-    one row per distinct day.  A running sum over the days of a key then counts the open
-    intervals; a period starts where the count leaves 0 and ends the day before it comes
-    back to 0.
-
-    Rows without an end, or ending before they start, are dropped.  A NULL start is
-    open: it swallows what it overlaps, and the resulting period has no start, so it is
-    dropped as a whole.
+    """Per key, every day on which the number of open intervals changes: the net
+    change and the number open from that day on (W2, the reference's running
+    ``SUM(inc)``).
+
+    Event form: every closed interval ``[start, end]`` adds +1 on its first day and -1
+    on the day after its last.  Both events come from one pass over the input (a
+    generator), and they are summed per ``(key, day)`` before the shuffle: that
+    aggregate is combined map-side, so a key holding a third of all intervals reaches
+    the exchange as at most one row per distinct day.  The running sum is then one
+    window over those few rows.
+
+    Rows without an end, or ending before they start, are dropped; a NULL start counts
+    from ``0001-01-01``.  Days whose events cancel out are left out.
     """
     kcols = [F.col(k) for k in keys]
     valid = df.filter(
         F.col(end).isNotNull() & (F.col(start).isNull() | (F.col(start) <= F.col(end)))
     )
-    # Both events of an interval come from one pass over the input (a generator), so
-    # the upstream joins are not evaluated twice as a UNION of two selects would be.
     events = valid.select(
         *kcols,
         F.inline(
             F.array(
                 F.struct(
-                    F.coalesce(F.col(start), _open_start()).alias("__ll_day"),
-                    F.lit(1).alias("__ll_inc"),
-                ),
-                F.struct(
-                    F.date_add(F.col(end), 1).alias("__ll_day"), F.lit(-1).alias("__ll_inc")
+                    F.coalesce(F.col(start), _open_start()).alias(day), F.lit(1).alias("__ll_inc")
                 ),
+                F.struct(F.date_add(F.col(end), 1).alias(day), F.lit(-1).alias("__ll_inc")),
             )
         ),
     )
     deltas = (
-        events.groupBy(*keys, "__ll_day")
-        .agg(F.sum("__ll_inc").alias("__ll_delta"))
-        .filter(F.col("__ll_delta") != 0)
-    )
-    w = Window.partitionBy(*keys).orderBy("__ll_day")
-    running = deltas.withColumn(
-        "__ll_open", F.sum("__ll_delta").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        events.groupBy(*keys, day)
+        .agg(F.sum("__ll_inc").alias(change))
+        .filter(F.col(change) != 0)
     )
+    w = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
+    return deltas.withColumn(open_col, F.sum(change).over(w))
+
+
+def merge_intervals(
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    out_start: str = "start_date",
+    out_end: str = "finish_date",
+) -> DataFrame:
+    """Merge closed date intervals ``[start, end]`` that overlap or touch, per key (K2).
+
+    From ``open_counts``: a period starts on a day where the count of open intervals
+    leaves 0 and ends the day before it comes back to 0.  The boundary days alternate
+    start, end, start, ... per key, so ``lead`` pairs each start with its end over the
+    same partitioning and order (no further shuffle or sort).
+
+    Rows without an end, or ending before they start, are dropped.  A NULL start is
+    open: it swallows what it overlaps, and the resulting period has no start, so it is
+    dropped as a whole.
+    """
+    kcols = [F.col(k) for k in keys]
+    counts = open_counts(df, keys, start, end, "__ll_day", "__ll_delta", "__ll_open")
     is_first = (F.col("__ll_open") - F.col("__ll_delta")) == 0
     is_after_last = F.col("__ll_open") == 0
-    bounds = running.filter(is_first | is_after_last).withColumn(
+    w = Window.partitionBy(*keys).orderBy("__ll_day")
+    bounds = counts.filter(is_first | is_after_last).withColumn(
         "__ll_next", F.lead("__ll_day").over(w)
     )
     return bounds.filter(is_first & (F.col("__ll_day") != _open_start())).select(

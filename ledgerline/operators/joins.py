@@ -43,9 +43,11 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) ->
     - otherwise: rows whose key is NULL or found in ``right`` are dropped.
 
     Spark plans ``NOT IN`` as a null-aware anti join, which must broadcast the subquery or
-    falls back to a nested-loop join.  Here the two NULL facts are scalar subqueries (one
-    small aggregate each, evaluated once) and the membership test is a plain
-    ``left_anti`` equi-join, which scales like any other shuffle join.
+    falls back to a nested-loop join.  Here the two NULL facts (is ``right`` empty, does
+    it hold a NULL) come from one scalar subquery, a global aggregate evaluated once, and
+    the membership test is a plain ``left_anti`` equi-join against the non-NULL keys,
+    which scales like any other shuffle join (and which AQE broadcasts only when the key
+    set turns out small).
     """
     # 0: right is empty, 1: right holds a NULL, 2: neither.  One scalar subquery.
     state = right.agg(

@@ -45,3 +45,12 @@ def duplicate_rows(df: DataFrame, key: str) -> DataFrame:
         .select("__ll_k")
     )
     return df.join(repeated, F.col(key).eqNullSafe(F.col("__ll_k")), "left_semi")
+
+
+def with_key_count(df: DataFrame, key: str, count_col: str) -> DataFrame:
+    """Every row with the number of rows sharing its ``key`` (``COUNT(*) OVER (PARTITION
+    BY key)``, W6), NULL keys counted as one group.  Counted by a map-side combined
+    aggregate and joined back, instead of a window that holds each key in one task."""
+    counts = df.groupBy(F.col(key).alias("__ll_k")).agg(F.count(F.lit(1)).alias(count_col))
+    joined = df.join(counts, F.col(key).eqNullSafe(F.col("__ll_k")), "inner")
+    return joined.drop("__ll_k")
