@@ -64,3 +64,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: int = 256) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    AQE starts from ``initialPartitionNum`` shuffle partitions and coalesces them toward
+    the advisory size, so the initial number only has to be large enough that no
+    partition of the largest shuffle outgrows an executor's memory.  The models shuffle
+    projected, map-side pre-aggregated columns, a fraction of the bytes they scan, so
+    one partition per target size of *input* is an upper bound; it is capped at 100,000
+    because map-output metadata grows with mappers x reducers.  Scan splits follow the
+    same target, and skew-join splitting starts at four times it.
+    """
+    target = target_partition_mb * 1024 * 1024
+    initial = min(100_000, max(200, input_bytes // target + 1))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 4}m",
+        "spark.executor.cores": str(executor_cores),
+    }
