@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+None of the reference's queries is a stream: every one is a batch SELECT evaluated "as
+of" a date (no watermark, event-time window, trigger, state or late-data handling
+appears anywhere).  The models are therefore batch jobs that take ``as_of`` as a
+parameter and are re-run, or re-materialised with ``ledgerline.plans.chain``, when new
+data lands.  No streaming operator is built, so none is offered here.
+"""
