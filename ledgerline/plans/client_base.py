@@ -358,8 +358,9 @@ def white_label_report(
     dim_contract_items: DataFrame,
     fact_products: DataFrame,
     branch: str = "SG",
+    ordered: bool = True,
 ) -> DataFrame:
-    """White-label invoices of non-direct clients.
+    """White-label invoices of non-direct clients (K18), by partner when ``ordered``.
 
     The reference also joins the contract items and their products without reading a
     column from them, so each row is repeated once per match.  The repeat count is
@@ -379,12 +380,14 @@ def white_label_report(
         "__ll_rep",
         F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col("__ll_n"), F.lit(1)).cast("int"))),
     )
-    return repeated.select(
+    out = repeated.select(
         "company_key", "company_name", "deal_status", "legal_status", "wl_role",
         F.col("partner_company_key").alias("partner"), "partner_company_name",
         "invoice_number", "invoice_status", "invoice_status_xero", "item_code", "item_name",
         "item_description", "item_duration", "item_comment",
     )
+    # The report's order; PostgreSQL sorts NULLs last in ascending order.
+    return out.orderBy(F.col("partner").asc_nulls_last()) if ordered else out
 
 
 def unassigned_ticket_counts(

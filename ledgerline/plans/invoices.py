@@ -60,14 +60,18 @@ def invoice_fields(
     )
 
 
-def duplicate_line_invoices(documents: DataFrame, as_of: dt.date) -> DataFrame:
-    """Invoice keys seen more than once after unnesting the line items (K7).
+def duplicate_line_invoices(
+    documents: DataFrame, as_of: dt.date, ordered: bool = True
+) -> DataFrame:
+    """Invoice keys seen more than once after unnesting the line items (K7), most copies
+    first when ``ordered`` (the report's order; a sort of the small result).
 
     As in the reference, an invoice counts once per line item, so one invoice with two
     line items is its own duplicate, and one without line items is not counted."""
     base = invoice_fields(documents, LINE_SINCE, as_of, LINE_SUBCATEGORIES)
     lines = base.select(*KEY, F.explode(variant_array("__ll_json", LINE_ITEMS_PATH)).alias("__ll_li"))
-    return duplicate_groups(lines.drop("__ll_li"), KEY, "number_of_dublicates")
+    groups = duplicate_groups(lines.drop("__ll_li"), KEY, "number_of_dublicates")
+    return groups.orderBy(F.col("number_of_dublicates").desc()) if ordered else groups
 
 
 def duplicate_invoice_rate(documents: DataFrame, as_of: dt.date) -> DataFrame:
@@ -80,6 +84,9 @@ def duplicate_invoice_rate(documents: DataFrame, as_of: dt.date) -> DataFrame:
     return duplicate_rate(groups, ["subcategory"], "number_of_dublicates", "avg_excess_copies")
 
 
-def repeated_snapshot_keys(snapshot: DataFrame, key: str = "dbt_scd_id") -> DataFrame:
-    """Snapshot rows whose scd id is not unique."""
-    return duplicate_rows(snapshot, key)
+def repeated_snapshot_keys(
+    snapshot: DataFrame, key: str = "dbt_scd_id", ordered: bool = True
+) -> DataFrame:
+    """Snapshot rows whose scd id is not unique (K11), by scd id when ``ordered``."""
+    rows = duplicate_rows(snapshot, key)
+    return rows.orderBy(F.col(key).asc()) if ordered else rows

@@ -314,10 +314,10 @@ FROM {{events}}""",
 _REF = re.compile(r"(?<!\{)\{([a-z_]+)\}(?!\})")
 
 
-def dependencies(name: str) -> list[str]:
+def dependencies(name: str, views: dict[str, str] | None = None) -> list[str]:
     """Base tables and views a view reads, in the order they appear."""
     found = []
-    for dep in _REF.findall(VIEWS[name]):
+    for dep in _REF.findall((views or VIEWS)[name]):
         if dep not in found:
             found.append(dep)
     return found
@@ -330,31 +330,36 @@ def _with_snippets(text: str, engine: str) -> str:
 
 
 class Fixtures:
-    """Spark DataFrames of the derived views over one data directory (lazy, memoised)."""
+    """Spark DataFrames of the derived views over one data directory (lazy, memoised).
 
-    def __init__(self, tables: Tables):
+    ``overrides`` replaces or adds view texts (tests use it for skewed variants); the
+    DuckDB side takes the same mapping in ``duckdb_ctes``."""
+
+    def __init__(self, tables: Tables, overrides: dict[str, str] | None = None):
         self.tables = tables
         self.spark = tables.spark
+        self.views = {**VIEWS, **(overrides or {})}
         self._views: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._views:
             return self._views[name]
-        if name not in VIEWS:
+        if name not in self.views:
             return self.tables[name]
-        frames = {dep: self[dep] for dep in dependencies(name)}
-        df = self.spark.sql(_with_snippets(VIEWS[name], "spark"), **frames)
+        frames = {dep: self[dep] for dep in dependencies(name, self.views)}
+        df = self.spark.sql(_with_snippets(self.views[name], "spark"), **frames)
         self._views[name] = df
         return df
 
 
-def duckdb_ctes(names: list[str]) -> str:
+def duckdb_ctes(names: list[str], overrides: dict[str, str] | None = None) -> str:
     """``WITH`` clause defining ``names`` (and what they read) for DuckDB."""
+    views = {**VIEWS, **(overrides or {})}
     order: list[str] = []
 
     def visit(view: str) -> None:
-        for dep in dependencies(view):
-            if dep in VIEWS:
+        for dep in dependencies(view, views):
+            if dep in views:
                 visit(dep)
         if view not in order:
             order.append(view)
@@ -363,7 +368,7 @@ def duckdb_ctes(names: list[str]) -> str:
         visit(n)
     parts = []
     for view in order:
-        text = _with_snippets(VIEWS[view], "duckdb")
-        text = text.format(**{d: d for d in dependencies(view)})
+        text = _with_snippets(views[view], "duckdb")
+        text = text.format(**{d: d for d in dependencies(view, views)})
         parts.append(f"{view} AS ({text}\n)")
     return "WITH " + ",\n".join(parts) + "\n"
