@@ -22,6 +22,13 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Broadcast only what has been measured: the planner's size estimate does not count
+    # the rows a generator adds (a year expanded into months, an interval into buckets),
+    # so a side estimated small can be large.  Static broadcasting is off; AQE turns a
+    # sort-merge join into a broadcast join once the shuffled side's real size is known
+    # to be under the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
