@@ -225,7 +225,8 @@ def tiers(
     sold, tier-0 candidates, premium SKUs, tier-1 candidates).  Each is "some row of the
     company satisfies X", so all four come from one grouped pass with ``bool_or`` (NULL
     conditions count as not satisfied, as in a WHERE clause)."""
-    now = F.lit(dt.datetime.combine(as_of, dt.time()))
+    # Midnight of ``as_of`` without a time zone, whatever the session's zone is.
+    now = F.lit(as_of).cast("timestamp_ntz")
     not_ecommerce = ~F.array_contains(F.col("company_tags"), "ecommerce") | F.col(
         "company_tags"
     ).isNull()
