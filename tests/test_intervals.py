@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.operators.intervals import coverage, merge_intervals, period_grid
 
@@ -167,3 +166,23 @@ def test_coverage_matches_pairwise_definition(spark):
                       for pk, ps, s, e in periods)
             expected.append((cid, svc, hit))
     assert run_coverage(spark, cells, periods) == sorted(expected, key=repr)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+interval = st.tuples(st.integers(0, 60), st.integers(-3, 20)).map(lambda t: (t[0], t[0] + t[1]))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(groups=st.lists(st.lists(interval, min_size=1, max_size=10), min_size=1, max_size=4))
+def test_merge_property(spark, groups):
+    rows = [(f"k{g}", s, e) for g, ivs in enumerate(groups) for s, e in ivs]
+    got = merged(spark, rows)
+    for g, ivs in enumerate(groups):
+        mine = [(s, e) for (k,), s, e in got if k == f"k{g}"]
+        assert mine == brute_merge(ivs)
+        # disjoint and not touching, covering exactly the input's days
+        assert all(b[0] > a[1] + 1 for a, b in zip(mine, mine[1:]))
+        covered = {d for s, e in mine for d in range(s, e + 1)}
+        assert covered == {d for s, e in ivs if s <= e for d in range(s, e + 1)}
