@@ -1,6 +1,12 @@
 """DataFrame -> DataFrame building blocks."""
 
-from ledgerline.operators.intervals import coverage, merge_intervals, open_counts, period_grid
+from ledgerline.operators.intervals import (
+    coverage,
+    invalid_intervals,
+    merge_intervals,
+    open_counts,
+    period_grid,
+)
 from ledgerline.operators.joins import (
     anti_join,
     interval_join,
@@ -25,6 +31,7 @@ __all__ = [
     "duplicate_rate",
     "duplicate_rows",
     "interval_join",
+    "invalid_intervals",
     "latest_by",
     "latest_rows",
     "merge_intervals",

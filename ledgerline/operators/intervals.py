@@ -64,6 +64,13 @@ def open_counts(
     return deltas.withColumn(open_col, F.sum(change).over(w))
 
 
+def invalid_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
+    """The rows ``open_counts`` and ``merge_intervals`` reject as reversed: an end before
+    the start.  (Rows without an end are excluded by rule, not as errors.)  A filter of
+    the same input, so it can be counted or written alongside the merge."""
+    return df.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) < F.col(start)))
+
+
 def merge_intervals(
     df: DataFrame,
     keys: Sequence[str],

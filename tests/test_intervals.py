@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from ledgerline.operators.intervals import coverage, merge_intervals, period_grid
+from ledgerline.operators.intervals import coverage, invalid_intervals, merge_intervals, period_grid
 
 D0 = dt.date(2024, 1, 1)
 
@@ -186,3 +186,10 @@ def test_merge_property(spark, groups):
         assert all(b[0] > a[1] + 1 for a, b in zip(mine, mine[1:]))
         covered = {d for s, e in mine for d in range(s, e + 1)}
         assert covered == {d for s, e in ivs if s <= e for d in range(s, e + 1)}
+
+
+def test_invalid_intervals_are_the_rejected_rows(spark):
+    rows = [("a", day(5), day(4)), ("a", day(1), day(3)), ("a", None, day(2)), ("a", day(7), None)]
+    df = spark.createDataFrame(rows, "k string, s date, e date")
+    bad = invalid_intervals(df, "s", "e").collect()
+    assert [(r.s, r.e) for r in bad] == [(day(5), day(4))]
