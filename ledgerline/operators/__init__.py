@@ -21,7 +21,7 @@ from ledgerline.operators.quality import (
     duplicate_rows,
     with_key_count,
 )
-from ledgerline.operators.sets import union_all, union_distinct
+from ledgerline.operators.sets import repeat_rows, union_all, union_distinct
 
 __all__ = [
     "anti_join",
@@ -38,6 +38,7 @@ __all__ = [
     "not_in",
     "open_counts",
     "period_grid",
+    "repeat_rows",
     "semi_join",
     "union_all",
     "union_distinct",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -17,3 +18,28 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
     """``UNION``: rows of all inputs, duplicates removed (one aggregate over the union,
     combined map-side)."""
     return union_all(*frames).distinct()
+
+
+def repeat_rows(df: DataFrame, count_col: str, chunk_rows: int = 100_000) -> DataFrame:
+    """Each row of ``df`` repeated ``count_col`` times (the multiplicity a join adds when
+    none of its columns is read); ``count_col`` is dropped.
+
+    A row whose count is at most ``chunk_rows`` expands in place.  A larger count is cut
+    into chunks of ``chunk_rows`` copies first, and the chunks are hash-distributed before
+    they expand, so a row repeated billions of times is produced by many tasks instead of
+    one.
+    """
+    n = F.col(count_col)
+    small = df.filter(n <= chunk_rows).withColumn(
+        "__ll_rep", F.explode(F.array_repeat(F.lit(True), n.cast("int")))
+    )
+    big = df.filter(n > chunk_rows).withColumn(
+        "__ll_chunk",
+        F.explode(F.sequence(F.lit(0).cast("long"), ((n - 1) / chunk_rows).cast("long"))),
+    )
+    spread = big.repartition(*[F.col(c) for c in big.columns])
+    copies = F.least(F.lit(chunk_rows).cast("long"), n - F.col("__ll_chunk") * chunk_rows)
+    expanded = spread.withColumn(
+        "__ll_rep", F.explode(F.array_repeat(F.lit(True), copies.cast("int")))
+    ).drop("__ll_chunk")
+    return union_all(small, expanded).drop("__ll_rep", count_col)

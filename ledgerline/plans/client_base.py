@@ -21,7 +21,7 @@ from ledgerline.functions.keys import link
 from ledgerline.functions.text import tag_status
 from ledgerline.operators.joins import anti_join, not_in, semi_join
 from ledgerline.operators.latest import distinct_on, latest_rows
-from ledgerline.operators.sets import union_distinct
+from ledgerline.operators.sets import repeat_rows, union_distinct
 
 # --- fixed values of the reports ------------------------------------------------------
 XERO_SKUS = ["0008-AT-Xero", "SG-DIGITAL-XERO"]
@@ -366,7 +366,8 @@ def white_label_report(
     The reference also joins the contract items and their products without reading a
     column from them, so each row is repeated once per match.  The repeat count is
     computed per contract first (an aggregate), and the rows are repeated from it; the
-    wide rows never meet the item table."""
+    wide rows never meet the item table, and a contract with a huge count is expanded by
+    many tasks (``repeat_rows``)."""
     rows = white_label_rows(
         white_label, dim_companies, dim_contracts, dim_contract_items, fact_products, branch
     )
@@ -377,10 +378,10 @@ def white_label_report(
         .groupBy("contract_key")
         .agg(F.sum(F.coalesce(F.col("__ll_m"), F.lit(1))).alias("__ll_n"))
     )
-    repeated = rows.join(per_contract, "contract_key", "left").withColumn(
-        "__ll_rep",
-        F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col("__ll_n"), F.lit(1)).cast("int"))),
+    counted = rows.join(per_contract, "contract_key", "left").withColumn(
+        "__ll_n", F.coalesce(F.col("__ll_n"), F.lit(1)).cast("long")
     )
+    repeated = repeat_rows(counted, "__ll_n")
     out = repeated.select(
         "company_key", "company_name", "deal_status", "legal_status", "wl_role",
         F.col("partner_company_key").alias("partner"), "partner_company_name",

@@ -101,3 +101,13 @@ def test_interval_join_matches_brute_force(spark):
         hits = [iid for iid, ik, s, e in ivs if ik == k and s <= d <= e]
         expected += [(pid, h) for h in hits] or [(pid, None)]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_repeat_rows_splits_large_counts(spark):
+    from ledgerline.operators.sets import repeat_rows
+
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2501), ("d", 5000)], "k string, n long")
+    out = repeat_rows(df, "n", chunk_rows=1000)
+    got = {r.k: r.c for r in out.groupBy("k").count().withColumnRenamed("count", "c").collect()}
+    assert got == {"a": 1, "b": 3, "c": 2501, "d": 5000}
+    assert out.columns == ["k"]
