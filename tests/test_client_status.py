@@ -80,3 +80,22 @@ def test_ticket_text_and_link(spark):
     assert rows[4].due_date == dt.date(2024, 5, 1)
     assert rows[5].ticket_name is None
     assert rows[1].link == "p/1"
+
+
+def test_finish_on_as_of_is_active_and_null_finish_is_neither(spark):
+    from ledgerline.plans.client_status import accounting_items, last_active, last_inactive
+
+    contracts = spark.createDataFrame([(1, 1, "active"), (2, 2, "active")],
+                                      "contract_id long, company_id long, status string")
+    items = spark.createDataFrame(
+        [(1, "a", dt.date(2024, 1, 1), AS_OF, 5.0, "yearly", 100, 1),
+         (2, "b", dt.date(2024, 1, 1), None, 5.0, "yearly", 100, 1)],
+        "contract_id long, contract_item_id string, start_at date, finish_at date, price double, "
+        "duration_type string, product_id long, subscription_id long",
+    )
+    products = spark.createDataFrame([(100, "Plan", "accounting", "b")],
+                                     "product_id long, name string, service_group string, main_bucket string")
+    subs = spark.createDataFrame([(1, True, None)], "subscription_id long, is_auto_renew boolean, churn_reason string")
+    acc = accounting_items(contracts, items, products, subs)
+    assert [r.company_id for r in last_active(acc, AS_OF).collect()] == [1]
+    assert last_inactive(acc, AS_OF).count() == 0
