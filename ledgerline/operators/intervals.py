@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import month_end_of, quarter_end_of
+from ledgerline.operators.joins import interval_join
 
 # Stand-in for an open (NULL) start: sorts before any real date.
 OPEN_START = "0001-01-01"
@@ -157,19 +158,32 @@ def coverage(
     grains, which filter on the service).  ``services`` restricts the services.
 
     The reference joins each cell to every period of its company and aggregates; that
-    pairs all cells with all periods of a key.  Here no pair is formed: a cell is covered
-    iff the latest end among the periods starting on or before the cell's start reaches
-    the cell's end.  Periods are first reduced to the latest end per start day (a
-    map-side combined aggregate), then cells and period starts of one (key, service)
-    are merged in date order and a running max answers every cell.  Exact for periods
-    that overlap too.  Periods must have both dates (paid periods always do).
+    pairs all cells with all periods of a key.  Here no pair is formed.  A cell is
+    covered iff the latest end among the periods starting on or before the cell's start
+    reaches the cell's end.  So the periods are reduced to a step function per (key,
+    service): on each day a period starts, the running maximum of their ends, valid
+    until the next start day (a map-side combined aggregate, then a window over at most
+    one row per start day).  Each cell then looks up the one step holding its start with
+    ``interval_join``, bucketed by year, so a key with very many cells is spread over
+    (key, service, year) buckets and AQE can split a hot bucket.  Exact for periods that
+    overlap too.  Periods must have both dates (paid periods always do).
     """
     per = periods.filter(F.col(period_start).isNotNull() & F.col(period_end).isNotNull())
     if services is not None:
         per = per.filter(F.col(service).isin(list(services)))
-    ends = per.groupBy(key, service, F.col(period_start).alias("__ll_day")).agg(
+    ends = per.groupBy(key, service, F.col(period_start).alias("__ll_from")).agg(
         F.max(period_end).alias("__ll_reach")
     )
+    # The last step runs to the latest cell start: nothing later is ever looked up.
+    horizon = cells.agg(F.max(cell_start)).scalar()
+    w = Window.partitionBy(key, service).orderBy("__ll_from")
+    steps = ends.select(
+        F.col(key).alias("__ll_k"),
+        F.col(service).alias("__ll_s"),
+        "__ll_from",
+        F.coalesce(F.date_sub(F.lead("__ll_from").over(w), 1), horizon).alias("__ll_to"),
+        F.max("__ll_reach").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__ll_max"),
+    )
     served = (
         (periods if services is None else periods.filter(F.col(service).isin(list(services))))
         .select(key, service)
@@ -177,30 +191,11 @@ def coverage(
         .withColumn("__ll_served", F.lit(True))
     )
     grid = cells.join(served, key, "left" if keep_unserved else "inner")
-    cell_cols = grid.columns
-    marked = grid.select(
-        *[F.col(c) for c in cell_cols],
-        F.col(cell_start).alias("__ll_day"),
-        F.lit(1).alias("__ll_kind"),
-        F.lit(None).cast("date").alias("__ll_reach"),
-    )
-    starts = ends.select(
-        *[
-            F.col(c) if c in (key, service) else F.lit(None).cast(grid.schema[c].dataType).alias(c)
-            for c in cell_cols
-        ],
-        "__ll_day",
-        F.lit(0).alias("__ll_kind"),
-        "__ll_reach",
-    )
-    w = (
-        Window.partitionBy(key, service)
-        .orderBy(F.col("__ll_day").asc_nulls_first(), "__ll_kind")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    both = marked.unionByName(starts).withColumn("__ll_max", F.max("__ll_reach").over(w))
+    looked_up = interval_join(
+        grid, steps, [key, service], ["__ll_k", "__ll_s"], cell_start, "__ll_from", "__ll_to",
+        how="left", unit="year",
+    ).select(*[F.col(f"p.{c}") for c in grid.columns], F.col("i.__ll_max").alias("__ll_max"))
     covered = F.coalesce(F.col("__ll_max") >= F.col(cell_end), F.lit(False))
-    result = both.filter(F.col("__ll_kind") == 1).withColumn(
-        flag, F.when(F.col("__ll_served"), covered)
+    return looked_up.withColumn(flag, F.when(F.col("__ll_served"), covered)).drop(
+        "__ll_max", "__ll_served"
     )
-    return result.drop("__ll_day", "__ll_kind", "__ll_reach", "__ll_max", "__ll_served")
