@@ -52,11 +52,11 @@ _FIXTURES: dict[tuple, Fixtures] = {}
 
 
 def _fx(spark: SparkSession, data_dir: str, overrides: dict | None = None) -> Fixtures:
-    key = (
-        spark.sparkContext.applicationId,
-        data_dir,
-        tuple(sorted((overrides or {}).items())),
-    )
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect sessions have no SparkContext
+        app = id(spark)
+    key = (app, data_dir, tuple(sorted((overrides or {}).items())))
     if key not in _FIXTURES:
         _FIXTURES[key] = Fixtures(Tables(spark, data_dir), overrides)
     return _FIXTURES[key]
