@@ -169,22 +169,32 @@ def client_base(
     return union_distinct(direct, wl).select(*CLIENT_BASE_COLUMNS)
 
 
-def last_services(base: DataFrame, payroll: bool) -> DataFrame:
-    """Service(s) with the latest paid finish per company, ties kept (K14): payroll
-    items, or every other known service type (a NULL type is in neither)."""
-    kind = F.col("service_type") == "payroll"
-    rows = base.filter(
-        (kind if payroll else ~kind) & F.col("finish_at").isNotNull() & (F.col("price") > 0)
+def _latest_services(base: DataFrame) -> DataFrame:
+    """Latest paid service(s) per company and kind (``payroll`` or ``acc``), ties kept:
+    one distinct-and-rank pass serves both kinds.  A NULL service type is in neither."""
+    kind = F.when(F.col("service_type") == "payroll", "payroll").when(
+        F.col("service_type") != "payroll", "acc"
     )
-    tag = "payroll" if payroll else "acc"
-    out = latest_rows(rows, ["company_key"], "finish_at", ["item_name"], f"max_{tag}_finish")
-    return out.select(
+    rows = base.filter(F.col("finish_at").isNotNull() & (F.col("price") > 0)).withColumn(
+        "__ll_kind", kind
+    ).filter(F.col("__ll_kind").isNotNull())
+    return latest_rows(rows, ["company_key", "__ll_kind"], "finish_at", ["item_name"])
+
+
+def _services_of(latest: DataFrame, tag: str) -> DataFrame:
+    return latest.filter(F.col("__ll_kind") == tag).select(
         F.col("company_key").alias(f"{tag}_company_key"),
         F.col("item_name").alias(f"last_{tag}_service_name"),
-        f"max_{tag}_finish",
+        F.col("finish_at").alias(f"max_{tag}_finish"),
     )
 
 
+def last_services(base: DataFrame, payroll: bool) -> DataFrame:
+    """Service(s) with the latest paid finish per company, ties kept (K14): payroll
+    items, or every other known service type (a NULL type is in neither)."""
+    return _services_of(_latest_services(base), "payroll" if payroll else "acc")
+
+
 def connection_info(connections: DataFrame) -> DataFrame:
     """Tax and plan fields of successful accounting-software connections."""
     ok = connections.filter(F.col("status") == "success").select(
@@ -311,8 +321,9 @@ def client_report(
         "wl_role", "mr_service_period", "partner_company_name",
     ]
     ad = base.select(*company_cols).distinct()
-    payroll = last_services(base, True)
-    acc = last_services(base, False)
+    latest = _latest_services(base)
+    payroll = _services_of(latest, "payroll")
+    acc = _services_of(latest, "acc")
     accountant = assigned_staff(positions, "Accountant", "accountant_name")
     assistant = assigned_staff(positions, "Accounts Assistant", "acc_assistant_name")
     xero = connection_info(connections)
