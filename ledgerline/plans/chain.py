@@ -1,4 +1,5 @@
-"""The paid-period model chain as stored tables (A2 + A6).
+"""Model chains as stored tables (A2 + A6): the paid-period models, and the client base
+with the reports that read it.
 
 The reference's models form one chain: paid periods are a stored model that the year,
 month and quarter models read.  ``run_paid_chain`` keeps that shape: it writes paid
@@ -15,6 +16,7 @@ import os
 
 from pyspark.sql import DataFrame
 
+from ledgerline.plans import client_base as cb
 from ledgerline.plans import paid_calendar, paid_periods
 from ledgerline.sources.tables import save
 
@@ -42,3 +44,54 @@ def run_paid_chain(
     save(paid_calendar.paid_months(financial_years, stored), paths["paid_months"], [SERVICE])
     save(paid_calendar.paid_quarters(financial_years, stored), paths["paid_quarters"], [SERVICE])
     return paths
+
+
+def run_report_chain(
+    dim_contracts: DataFrame,
+    dim_contract_items: DataFrame,
+    fact_products: DataFrame,
+    dim_companies: DataFrame,
+    dim_subscriptions: DataFrame,
+    white_label: DataFrame,
+    connections: DataFrame,
+    transactions: DataFrame,
+    fact_financial_years: DataFrame,
+    positions: DataFrame,
+    dim_companies_lambda: DataFrame,
+    as_of,
+    link_prefix: str,
+    out_dir: str,
+) -> dict[str, str]:
+    """Write the client base once, then the reports that read it (tiers, the
+    consolidated report, the latest payroll and accounting services) from the stored
+    table; return the paths.  Each report reads the base several times, so storing it
+    first replaces several recomputations of its joins and union with Parquet scans."""
+    spark = dim_contracts.sparkSession
+    paths = {
+        name: os.path.join(out_dir, name)
+        for name in (
+            "client_base", "tiers", "client_report", "last_payroll_service", "last_acc_service",
+        )
+    }
+    save(
+        cb.client_base(
+            dim_contracts, dim_contract_items, fact_products, dim_companies, dim_subscriptions,
+            white_label,
+        ),
+        paths["client_base"],
+    )
+    base = spark.read.parquet(paths["client_base"])
+    save(
+        cb.tiers(base, connections, transactions, fact_financial_years, as_of, link_prefix),
+        paths["tiers"],
+    )
+    save(
+        cb.client_report(
+            base, positions, connections, dim_companies_lambda, fact_financial_years, as_of,
+            link_prefix,
+        ),
+        paths["client_report"],
+    )
+    save(cb.last_services(base, payroll=True), paths["last_payroll_service"])
+    save(cb.last_services(base, payroll=False), paths["last_acc_service"])
+    return paths

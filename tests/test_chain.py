@@ -3,7 +3,8 @@
 import tempfile
 
 import __spark_entry__ as entry
-from ledgerline.plans.chain import run_paid_chain
+from ledgerline.catalog import LINK_PREFIX, REPORT_AS_OF
+from ledgerline.plans.chain import run_paid_chain, run_report_chain
 from ledgerline.session import checkpoint_dir
 from ledgerline.sources.fixtures import Fixtures
 from ledgerline.sources.tables import Tables, materialize
@@ -41,3 +42,18 @@ def test_materialize_uses_the_session_checkpoint_dir(spark):
         return uri.split(":", 1)[-1].lstrip("/")
 
     assert path(back.inputFiles()[0]).startswith(path(checkpoint_dir(spark)))
+
+
+def test_report_chain_matches_direct_queries(spark):
+    fx = Fixtures(Tables(spark, SF_SMALL))
+    out = tempfile.mkdtemp(prefix="ledgerline-reports-")
+    paths = run_report_chain(
+        fx["dim_contracts"], fx["dim_contract_items"], fx["fact_products"], fx["dim_companies"],
+        fx["dim_subscriptions"], fx["white_label"], fx["connections"], fx["transactions"],
+        fx["fact_financial_years"], fx["positions"], fx["dim_companies_lambda"], REPORT_AS_OF,
+        LINK_PREFIX, out,
+    )
+    for name in ("client_base", "tiers", "client_report", "last_payroll_service", "last_acc_service"):
+        got = spark.read.parquet(paths[name])
+        want = entry.queries()[name](spark, SF_SMALL)
+        assert _rows(got) == _rows(want), name
