@@ -56,8 +56,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised models.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it.  Only when it is unset (a
-    local test session) a fresh scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir`` as the cluster names it.  Only when it is unset in a
+    local session (tests) a fresh scratch folder is created and registered; on a cluster
+    an unset folder is an error, never a machine-local fallback.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -67,6 +68,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder every executor can reach"
+        )
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
