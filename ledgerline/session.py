@@ -101,3 +101,15 @@ def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: i
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 4}m",
         "spark.executor.cores": str(executor_cores),
     }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, **kw) -> dict:
+    """Set the SQL settings of ``scale_conf`` (and ``SCALE_CONF``) on an existing session,
+    e.g. the platform's session on a cluster.  Only ``spark.sql.*`` keys are runtime
+    settings; the rest of ``scale_conf`` belongs in the cluster's launch configuration.
+    Returns what was set."""
+    wanted = {**SCALE_CONF, **scale_conf(input_bytes, **kw)}
+    applied = {k: v for k, v in wanted.items() if k.startswith("spark.sql.")}
+    for key, value in applied.items():
+        spark.conf.set(key, value)
+    return applied

@@ -10,3 +10,19 @@ def test_scale_conf_grows_with_input():
     assert int(mid["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 40961
     assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 100_000
     assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+
+
+def test_apply_scale_conf_sets_sql_settings(spark):
+    from ledgerline.session import apply_scale_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        applied = apply_scale_conf(spark, 10 * 1024**4)
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "40961"
+        assert all(k.startswith("spark.sql.") for k in applied)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
