@@ -49,14 +49,17 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) ->
     which scales like any other shuffle join (and which AQE broadcasts only when the key
     set turns out small).
     """
-    # 0: right is empty, 1: right holds a NULL, 2: neither.  One scalar subquery.
-    state = right.agg(
+    # Both the NULL facts and the anti join read one distinct set of the right keys (NULL
+    # kept as one value), so the right side's source is evaluated once and its exchange
+    # is shared.  0: right is empty, 1: right holds a NULL, 2: neither.
+    distinct_keys = right.select(F.col(right_col).alias("__ll_k")).distinct()
+    state = distinct_keys.agg(
         F.when(F.count(F.lit(1)) == 0, F.lit(0))
-        .when(F.count_if(F.col(right_col).isNull()) > 0, F.lit(1))
+        .when(F.count_if(F.col("__ll_k").isNull()) > 0, F.lit(1))
         .otherwise(F.lit(2))
     ).scalar()
     keep = (state == 0) | ((state == 2) & F.col(left_col).isNotNull())
-    keys = right.select(F.col(right_col).alias("__ll_k")).filter(F.col("__ll_k").isNotNull())
+    keys = distinct_keys.filter(F.col("__ll_k").isNotNull())
     return (
         left.filter(keep)
         .join(keys, F.col(left_col) == F.col("__ll_k"), "left_anti")
