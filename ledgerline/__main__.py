@@ -24,7 +24,8 @@ CHAINED = {
 }
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, spark=None) -> dict[str, str]:
+    """Build the models; returns name -> path.  A session passed in is left running."""
     parser = argparse.ArgumentParser(prog="python -m ledgerline")
     parser.add_argument("--data", required=True, help="folder with the input tables")
     parser.add_argument("--out", required=True, help="folder for the model tables")
@@ -32,7 +33,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master", default=None, help="Spark master for a local run")
     args = parser.parse_args(argv)
 
-    spark = build_session(master=args.master) if args.master else build_session()
+    owned = spark is None
+    if owned:
+        spark = build_session(master=args.master) if args.master else build_session()
     only = {n for n in args.only.split(",") if n}
     fx = catalog._fx(spark, args.data)
     done: dict[str, str] = {}
@@ -57,7 +60,9 @@ def main(argv: list[str] | None = None) -> None:
         save(fn(spark, args.data), path)
         done[name] = path
     print(f"wrote {len(done)} tables to {args.out} in {time.perf_counter() - t:.1f}s")
-    spark.stop()
+    if owned:
+        spark.stop()
+    return done
 
 
 if __name__ == "__main__":

@@ -57,3 +57,14 @@ def test_report_chain_matches_direct_queries(spark):
         got = spark.read.parquet(paths[name])
         want = entry.queries()[name](spark, SF_SMALL)
         assert _rows(got) == _rows(want), name
+
+
+def test_model_builder_writes_requested_tables(spark):
+    from ledgerline.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="ledgerline-cli-")
+    done = main(["--data", SF_SMALL, "--out", out, "--only", "surrogate_key,tag_status"], spark=spark)
+    assert set(done) == {"surrogate_key", "tag_status"}
+    for name in done:
+        got = spark.read.parquet(done[name])
+        assert _rows(got) == _rows(entry.queries()[name](spark, SF_SMALL))
