@@ -19,7 +19,7 @@ from ledgerline.functions.dates import active_at
 from ledgerline.functions.json import json_text, variant_text, with_parsed_json
 from ledgerline.functions.keys import link
 from ledgerline.functions.text import tag_status
-from ledgerline.operators.joins import anti_join, not_in, semi_join
+from ledgerline.operators.joins import anti_join, broadcast_if_small, not_in, semi_join
 from ledgerline.operators.latest import distinct_on, latest_rows
 from ledgerline.operators.sets import repeat_rows, union_distinct
 
@@ -67,8 +67,10 @@ def accounting_company_keys(
 ) -> DataFrame:
     """Companies with an active contract holding a paid accounting item."""
     items = dim_contract_items.filter(F.col("price") > 0).select("contract_key", "product_key")
-    prods = fact_products.filter(F.col("item_bucket") == "accounting").select(
-        F.col("item_key").alias("product_key")
+    prods = broadcast_if_small(
+        fact_products.filter(F.col("item_bucket") == "accounting").select(
+            F.col("item_key").alias("product_key")
+        )
     )
     return (
         dim_contracts.filter(F.col("contract_status") == "active")
@@ -118,8 +120,10 @@ def client_base(
         ~F.col("deal_status").isin(EXCLUDED_DEALS)
     )
     svc = dim_subscriptions.select("contract_item_key", "service_type")
-    prods = fact_products.filter(F.col("item_bucket") == "accounting").select(
-        F.col("item_key").alias("product_key"), "item_code", "item_name"
+    prods = broadcast_if_small(
+        fact_products.filter(F.col("item_bucket") == "accounting").select(
+            F.col("item_key").alias("product_key"), "item_code", "item_name"
+        )
     )
     direct = (
         dim_contracts.filter(F.col("contract_status") == "active")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import link
-from ledgerline.operators.joins import semi_join, with_match_flag
+from ledgerline.operators.joins import broadcast_if_small, semi_join, with_match_flag
 from ledgerline.operators.latest import latest_by
 
 # Tie-break when two items end (or start) on the same day: the later item id wins, so
@@ -36,10 +36,14 @@ def accounting_items(
         F.to_date("start_at").alias("start_date"), F.to_date("finish_at").alias("finish_date"),
         "price", "duration_type", "product_id", "subscription_id",
     ).filter(F.col("price") > 0)
-    prods = products.filter(F.col("service_group") == "accounting").select(
-        "product_id", "name", "service_group", "main_bucket"
+    prods = broadcast_if_small(
+        products.filter(F.col("service_group") == "accounting").select(
+            "product_id", "name", "service_group", "main_bucket"
+        )
+    )
+    subs = broadcast_if_small(
+        subscriptions.select("subscription_id", "is_auto_renew", "churn_reason")
     )
-    subs = subscriptions.select("subscription_id", "is_auto_renew", "churn_reason")
     active = contracts.filter(F.col("status") == "active").select("contract_id", "company_id")
     return (
         active.join(items, "contract_id", "inner")
@@ -51,7 +55,7 @@ def accounting_items(
 def unresolved_ticket(tickets: DataFrame, sku_for_tickets: DataFrame) -> DataFrame:
     """Latest unresolved ticket of a ticketed service, per company: ``company_id,
     ticket_id, ticket_name, due_date``."""
-    services = sku_for_tickets.select("process_definition_key").distinct()
+    services = broadcast_if_small(sku_for_tickets.select("process_definition_key").distinct())
     open_tickets = semi_join(
         tickets.filter(F.col("status") != "resolved"), services, "process_definition_key"
     )

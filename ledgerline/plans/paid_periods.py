@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import surrogate_key
 from ledgerline.operators.intervals import merge_intervals
+from ledgerline.operators.joins import broadcast_if_small
 
 ITEMS_BY_SERVICE_COLUMNS = [
     "contract_id",
@@ -33,7 +34,9 @@ def items_by_service(
     The reference writes left joins and then rejects NULLs on both right sides, so the
     joins are inner.  Items without an end or with price <= 0 are dropped.
     """
-    sku = sku_for_tickets.select("item_code", "process_definition_key").distinct()
+    sku = broadcast_if_small(
+        sku_for_tickets.select("item_code", "process_definition_key").distinct()
+    )
     items = contract_items.select(
         "contract_id",
         F.to_date("start_at").alias("start_date"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import link
-from ledgerline.operators.joins import interval_join
+from ledgerline.operators.joins import broadcast_if_small, interval_join
 
 # SKUs that are not subscriptions, and the ticket filters.
 EXCLUDED_SKUS = ["SG-AC-OTHR", "0008-AT-FCC month", "0008-AT-FCC year", "0009-PH-Y"]
@@ -46,11 +46,13 @@ def subscription_items(
         & ~F.col("product_sku").isin(list(excluded_skus))
         & (F.col("duration_type") != "monthly")
     )
-    prods = products.filter(
-        (F.col("service_group") == "accounting") & (F.col("branch") == branch)
-    ).select("product_id", "name")
+    prods = broadcast_if_small(
+        products.filter(
+            (F.col("service_group") == "accounting") & (F.col("branch") == branch)
+        ).select("product_id", "name")
+    )
     active = contracts.filter(F.col("status") == "active").select("contract_id", "company_id")
-    subs = subscriptions.select("subscription_id")
+    subs = broadcast_if_small(subscriptions.select("subscription_id"))
     return (
         active.join(items, "contract_id", "inner")
         .join(prods, "product_id", "inner")
