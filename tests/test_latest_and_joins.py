@@ -111,3 +111,20 @@ def test_repeat_rows_splits_large_counts(spark):
     got = {r.k: r.c for r in out.groupBy("k").count().withColumnRenamed("count", "c").collect()}
     assert got == {"a": 1, "b": 3, "c": 2501, "d": 5000}
     assert out.columns == ["k"]
+
+
+def test_broadcast_if_small_only_under_the_bound(spark):
+    from ledgerline.operators.joins import broadcast_if_small
+
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.createDataFrame([(i, f"d{i}") for i in range(10)], "k long, name string")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    small = facts.join(broadcast_if_small(dim, max_rows=10), "k")
+    assert "BroadcastHashJoin" in plan(small)
+    assert small.count() == 10
+    large = facts.join(broadcast_if_small(dim.filter("k >= 0"), max_rows=9), "k")
+    assert "BroadcastHashJoin" not in plan(large)  # left to the shuffle join and AQE
+    assert large.count() == 10
