@@ -10,7 +10,6 @@ splits skewed shuffle partitions, and coalesces small ones.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -54,28 +53,17 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and materialised models.
+    """The shared folder for checkpoints and stored intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it.  Only when it is unset in a
-    local session (tests) a fresh scratch folder is created and registered; on a cluster
-    an unset folder is an error, never a machine-local fallback.
+    Read from ``spark.checkpoint.dir`` as the cluster names it.  Where that is unset, a
+    folder beside the warehouse tables is used, which every executor reaches as well; a
+    machine-local temporary folder never is.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
-        raise ValueError(
-            "spark.checkpoint.dir is not set: name a folder every executor can reach"
-        )
-    local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not sc.getCheckpointDir():
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: int = 256) -> dict:
