@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerline.llm.byte_bpe import op4_byte_bpe
 from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
+from ledgerline.llm.pii import op9_pii
 from ledgerline.llm.token_files import op2_token_files
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op9_pii": op9_pii,
 }
 
 ORACLE_SQL = {
