@@ -7,6 +7,7 @@ from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
 from ledgerline.llm.pii import op9_pii
 from ledgerline.llm.token_files import op2_token_files
+from ledgerline.llm.warc import op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_pii": op9_pii,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL = {

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stage, work_dir
+from ledgerline.llm.common import open_folder, stage, work_dir
 from ledgerline.llm.memo import WordMemo, slices
 from ledgerline.sources.tables import Tables
 
@@ -41,11 +40,6 @@ FILE_BYTES = 256 << 20  # aimed size of a .bin file
 _ENCODERS: dict[tuple, WordMemo] = {}
 
 
-def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a URI as Spark writes it, and the path on it."""
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-
-
 def word_encoder(tokenizer_path: str, dtype: str) -> WordMemo:
     """Encode words with a ``tokenizers`` file whose pre-tokenizer drops white space: each
     run of other characters is encoded by itself, so a word is encoded once and remembered."""
