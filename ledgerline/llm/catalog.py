@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.llm.byte_bpe import op4_byte_bpe
+from ledgerline.llm.decontaminate import op6_decontaminate
 from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
 from ledgerline.llm.pii import op9_pii
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_decontaminate": op6_decontaminate,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
 }
