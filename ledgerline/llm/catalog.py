@@ -8,6 +8,7 @@ from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
 from ledgerline.llm.pii import op9_pii
 from ledgerline.llm.token_files import op2_token_files
+from ledgerline.llm.toxicity import op7_toxicity
 from ledgerline.llm.warc import op10_warc
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
 }

@@ -5,24 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 
-class WordMemo(dict):
+class WordMemo:
     """word -> encoded bytes.  Unknown words of a text are encoded together; when more than
     ``limit`` words are held the memo starts again, so its memory is bounded and the result
     never depends on it."""
 
     def __init__(self, encode_many: Callable[[list], Iterable[bytes]], limit: int):
-        super().__init__()
         self.encode_many = encode_many
         self.limit = limit
+        self.known: dict = {}  # a plain dict: set.difference looks into no other kind
 
     def encode(self, words: list) -> bytes:
-        new = list(set(words).difference(self))
-        if len(self) + len(new) > self.limit:
-            self.clear()
+        new = list(set(words).difference(self.known))
+        if len(self.known) + len(new) > self.limit:
+            self.known = {}
             new = list(set(words))
         if new:
-            self.update(zip(new, self.encode_many(new)))
-        return b"".join(map(self.__getitem__, words))
+            self.known.update(zip(new, self.encode_many(new)))
+        return b"".join(map(self.known.__getitem__, words))
 
 
 def slices(items: list, size: int) -> Iterator[list]:
