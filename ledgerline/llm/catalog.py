@@ -7,6 +7,7 @@ from ledgerline.llm.decontaminate import op6_decontaminate
 from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
 from ledgerline.llm.pii import op9_pii
+from ledgerline.llm.quality import op8_quality
 from ledgerline.llm.token_files import op2_token_files
 from ledgerline.llm.toxicity import op7_toxicity
 from ledgerline.llm.warc import op10_warc
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
 }

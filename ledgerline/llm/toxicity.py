@@ -8,7 +8,7 @@ other tokens are clean.  The field is fitted to these; forward-backward marginal
 texts give the offending offsets, and a logistic regression of their sums and maxima on
 the document labels gives the score.
 
-The model is fitted on a bounded sample (MAX_TOXIC, MAX_CLEAN, MAX_BYTES) and sent to the
+The model is fitted on a bounded sample (MAX_TOXIC, MAX_CLEAN, samples.MAX_BYTES) and sent to the
 tasks; every document is scored where it lies.
 """
 
@@ -19,18 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
+from ledgerline.llm.samples import held_out, labelled_sample
 from ledgerline.llm.words import ALNUM, Words, mix, words_of
 from ledgerline.sources.tables import Tables
 
 CHAIN = 256  # words of a chain at most
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
-MAX_TOXIC, MAX_CLEAN = 3_000, 6_000  # documents of the fitting sample
-MAX_BYTES = 20 << 20  # and all their text; they are taken in the order of a hash
-MAX_DOCUMENT = 256 << 10  # longer texts are scored, but not fitted on
+MAX_TOXIC, MAX_CLEAN = 3_000, 6_000  # documents of the fitting sample at most
 MIN_CONTEXTS = 6  # distinct words before a feature, in toxic documents
 MIN_LOG_ODDS = 1.5  # of a feature, in toxic against other documents
 TAG_LOG_ODDS = 2.0  # from which its words count as toxic in toxic documents
@@ -269,34 +268,13 @@ def fit_scores(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _held_out(doc_id: Column) -> Column:
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
-
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a sample of the labelled documents whose crc32(doc_id) mod 4 is not 2.
-
-    At most MAX_TOXIC toxic and MAX_CLEAN other documents of up to MAX_DOCUMENT bytes, the
-    first by a hash of the id, as far as MAX_BYTES of text go.  A document with several
-    labels is toxic if one says so; null labels and ids are no labels.  Without a toxic and
-    a clean document there is nothing to learn, and every document scores 0.
-    """
-    marked = (
-        labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~_held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    )
-    first = lambda toxic, n: marked.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    chosen = first(1, MAX_TOXIC).unionByName(first(0, MAX_CLEAN))
-    in_order = Window.orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    sample = (
-        docs.select(F.col("doc_id"), F.col("text")).filter(F.octet_length("text") <= MAX_DOCUMENT)
-        .join(F.broadcast(chosen), "doc_id")
-        .withColumn("order", F.xxhash64("doc_id"))
-        .orderBy("order", "doc_id").limit(MAX_TOXIC + MAX_CLEAN)
-        .withColumn("bytes", F.sum(F.octet_length("text")).over(in_order))
-        .filter(F.col("bytes") <= MAX_BYTES).select("text", "toxic").toArrow().combine_chunks()
-    )
-    toxic = np.array(sample["toxic"].to_pylist()) == 1
+    """Fit on the sample of ``labelled_sample``, which leaves out the documents whose
+    crc32(doc_id) mod 4 is 2.  Without a toxic and a clean document there is nothing to
+    learn, and every document scores 0."""
+    sample, size = labelled_sample(docs, labels, "toxic", {0: MAX_CLEAN, 1: MAX_TOXIC})
+    toxic = np.array(sample["label"].to_pylist()) == 1
     if toxic.all() or not toxic.any():
         return Model(Field(np.empty(0, np.uint64), np.empty(0), -30.0, np.zeros((2, 2))), np.array([-1e3, 0, 0, 0, 0, 0]))
     groups, at = [], 0
@@ -305,8 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         at += n
     model = Model(fit_field(groups), np.zeros(6))
     x = np.concatenate([document_features(words, model.tag(words)) for words, _ in groups])
-    share = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    weight = np.where(toxic, share[1] / toxic.sum(), share[0] / (~toxic).sum())  # back to their share among all labels
+    weight = np.where(toxic, size[1] / toxic.sum(), size[0] / (~toxic).sum())  # back to their share among all labels
     model.weights = fit_scores(x, toxic.astype(float), weight / weight.mean())
     return model
 
@@ -358,6 +335,6 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Tables(spark, sf_dir)
     docs = tables["documents"]
     return score(docs, learn(docs, tables["labels"])).select(
-        F.col("doc.doc_id").alias("doc_id"), _held_out(F.col("doc.doc_id")).alias("held_out"), "score",
+        F.col("doc.doc_id").alias("doc_id"), held_out(F.col("doc.doc_id")).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
