@@ -11,7 +11,7 @@ class WordMemo:
     never depends on it."""
 
     def __init__(self, encode_many: Callable[[list], Iterable[bytes]], limit: int):
-        self.encode_many = encode_many
+        self.encode_many = encode_many  # may look up and add parts of words in ``known``
         self.limit = limit
         self.known: dict = {}  # a plain dict: set.difference looks into no other kind
 

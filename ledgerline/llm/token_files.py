@@ -35,14 +35,16 @@ from ledgerline.llm.common import open_folder, stage, work_dir
 from ledgerline.llm.memo import WordMemo, slices
 from ledgerline.sources.tables import Tables
 
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_000_000
+MARKS = b".,;:!?"
 FILE_BYTES = 256 << 20  # aimed size of a .bin file
 _ENCODERS: dict[tuple, WordMemo] = {}
 
 
 def word_encoder(tokenizer_path: str, dtype: str) -> WordMemo:
-    """Encode words with a ``tokenizers`` file whose pre-tokenizer drops white space: each
-    run of other characters is encoded by itself, so a word is encoded once and remembered."""
+    """Encode words with a ``tokenizers`` file whose pre-tokenizer drops white space and
+    keeps letters, digits and marks apart: each run of other characters is encoded by
+    itself, and a single mark after an ASCII letter or digit apart from what it follows."""
     key = (tokenizer_path, dtype)
     if key not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,13 +52,23 @@ def word_encoder(tokenizer_path: str, dtype: str) -> WordMemo:
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
 
-        def encode_many(words: list[bytes]) -> Iterator[bytes]:
+        def ids_of(words: list[bytes]) -> Iterator[bytes]:
             for part in slices(words, 4096):
                 texts = [w.decode() for w in part]
                 for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
                     yield np.array(e.ids, dtype).tobytes()
 
-        _ENCODERS[key] = WordMemo(encode_many, MEMO_WORDS)
+        marks = dict(zip(MARKS, ids_of([bytes([m]) for m in MARKS])))
+
+        def encode_many(words: list[bytes]) -> Iterator[bytes]:
+            known = memo.known
+            stems = [w[:-1] if w[-1] in marks and w[-2:-1].isalnum() else w for w in words]
+            new = list(set(stems).difference(known))
+            known.update(zip(new, ids_of(new)))
+            for word, stem in zip(words, stems):
+                yield known[stem] + marks[word[-1]] if len(stem) < len(word) else known[stem]
+
+        memo = _ENCODERS[key] = WordMemo(encode_many, MEMO_WORDS)
     return _ENCODERS[key]
 
 
@@ -66,67 +78,68 @@ def id_type(tokenizer_path: str) -> str:
     return "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def encode(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
-    """One row per document: doc_id, row (a number of its own), n_tokens, ids (flat bytes,
-    end id included).  A null text is empty and has the end id alone."""
-    dtype = id_type(tokenizer_path)
-    width = np.dtype(dtype).itemsize
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.large_binary())])
+def tokenizer_lowers(tokenizer_path: str) -> bool:
+    from tokenizers import Tokenizer
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_encoder(tokenizer_path, dtype)
-        end = np.array([end_id], dtype).tobytes()
-        for batch in batches:
-            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                # bytes.split() cuts at ASCII white space, which the tokenizer drops
-                ids = [memo.encode((t.as_buffer().to_pybytes() if t.is_valid else b"").split()) + end for t in part["text"]]
-                n = [len(x) // width for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["row"], pa.array(n, pa.int64()), pa.array(ids, pa.large_binary())], schema=schema
-                )
-
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
-        F.col(text_col).alias("text"),
-    )
-    return rows.mapInArrow(run, "doc_id long, row long, n_tokens long, ids binary")
-
-
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, **columns) -> dict:
+    return Tokenizer.from_file(tokenizer_path).normalizer.normalize_str("AZ") == "az"
+
+
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
+
+def words_to_encode(text: bytes, lower: bool) -> list[bytes]:
+    """The words of a text, cut at ASCII white space.  For a tokenizer that composes
+    characters and lower-cases, A-Z are lower-cased first, so that more words are alike;
+    not where a combining mark could compose differently, or a special token might stand."""
+    if lower and not (b"\xcc" in text or b"\xcd" in text or b"<|" in text):
+        text = text.translate(LOWER)
+    return text.split()
+
+
+def write_token_files(
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+) -> dict:
     """Encode ``docs`` and write them as a token set at ``path``; returns the manifest.
 
-    Documents are in ascending id order, null ids first; documents of equal id follow each
-    other.  Encoded documents are stored once, so that the range partitioning samples ids
-    and not the encoding.  An empty table gives a set without parts.
+    Documents are in ascending id order, null ids first, each followed by ``end_id``;
+    documents of equal id follow each other, dealt out by a hash of their text.  A null
+    text is empty and has the end id alone.  An empty table gives a set without parts.
+    Texts are range-partitioned and sorted first, so that each task encodes and writes one
+    part and ids are never shuffled.
     """
     spark = docs.sparkSession
     dtype = id_type(tokenizer_path)
-    encoded = stage(encode(docs, tokenizer_path, end_id, **columns), "token-ids")
-    size = (encoded.agg(F.sum("n_tokens")).first()[0] or 0) * np.dtype(dtype).itemsize
+    width = np.dtype(dtype).itemsize
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // FILE_BYTES + 1)
     folder, base = open_folder(path)
     folder.create_dir(base, recursive=True)
+    lower = tokenizer_lowers(tokenizer_path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex[:8]}"
         store, at = open_folder(path)
+        memo, end = word_encoder(tokenizer_path, dtype), np.array([end_id], dtype).tobytes()
         lengths, ids, valid = [], [], []
         out = None
         for batch in batches:
             if out is None:
                 out = store.open_output_stream(f"{at}/{name}.bin")
-            for x in batch["ids"]:
-                out.write(x.as_buffer())
-            lengths.append(batch["n_tokens"].to_numpy())
+            for text in batch["text"]:
+                found = memo.encode(words_to_encode(text.as_buffer().to_pybytes() if text.is_valid else b"", lower))
+                out.write(found)
+                out.write(end)
+                lengths.append(len(found) // width + 1)
             ids.append(batch["doc_id"].fill_null(0).to_numpy())
             valid.append(batch["doc_id"].is_valid().to_numpy(zero_copy_only=False))
         if out is None:
             return
         out.close()
-        ends = np.cumsum(np.concatenate(lengths))
+        ends = np.cumsum(lengths)
         with store.open_output_stream(f"{at}/{name}.idx") as f:
-            f.write(np.concatenate([[0], ends]).astype("<i8").tobytes())
+            f.write(np.append(0, ends).astype("<i8").tobytes())
         with store.open_output_stream(f"{at}/{name}.doc") as f:
             f.write(np.concatenate(ids).astype("<i8").tobytes())
             f.write(np.concatenate(valid).astype("u1").tobytes())
@@ -134,14 +147,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             {"part": [part], "file": [name], "docs": [len(ends)], "tokens": [int(ends[-1])]}
         )
 
-    ordered = encoded.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), "row").sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "row"
-    )
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     parts = stage(ordered.mapInArrow(write, "part long, file string, docs long, tokens long"), "token-parts")
-    rows = [r.asDict() for r in parts.orderBy("part").collect()]  # a row for each file
-    for row, end in zip(rows, accumulate(r["tokens"] for r in rows)):
-        row["base"] = end - row["tokens"]
-    manifest = {"dtype": dtype, "end_id": end_id, "parts": rows}
+    listed = [r.asDict() for r in parts.orderBy("part").collect()]  # a row for each file
+    for row, last in zip(listed, accumulate(r["tokens"] for r in listed)):
+        row["base"] = last - row["tokens"]
+    manifest = {"dtype": dtype, "end_id": end_id, "parts": listed}
     with folder.open_output_stream(f"{base}/manifest.json") as f:
         f.write(json.dumps(manifest).encode())
     return manifest
