@@ -6,6 +6,7 @@ from ledgerline.llm.byte_bpe import op4_byte_bpe
 from ledgerline.llm.decontaminate import op6_decontaminate
 from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
+from ledgerline.llm.ngram_join import op5_ngram_join
 from ledgerline.llm.pii import op9_pii
 from ledgerline.llm.quality import op8_quality
 from ledgerline.llm.token_files import op2_token_files
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_ngram_join": op5_ngram_join,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
