@@ -65,33 +65,42 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """``docs`` with the columns n_lines, n_dropped and kept_text added.  A document that
-    loses all lines keeps the empty text; one that loses none keeps its text as it is."""
-    masks = F.map_from_entries("_dropped")
-    last = F.floor((F.size("_lines") - 1) / WORD).cast("int")
-    words = F.transform(F.sequence(F.lit(0), last), lambda w: F.coalesce(F.element_at("_masks", w), F.lit(0).cast("long")))
-    goes = lambda i: F.call_function("getbit", F.get("_words", F.floor(i / WORD).cast("int")), i % WORD) == 1
-    kept = F.filter("_lines", lambda _, i: ~goes(i))
-    out = (
-        docs.withColumn("_document", _document(id_col, text_col))
-        .join(bitmaps.select(F.col("document").alias("_document"), F.col("dropped").alias("_dropped")), "_document", "left")
-        .withColumn("_lines", _lines(F.col(text_col)))
-        .withColumn("_masks", masks)
-        .withColumn("_words", F.when(F.col("_dropped").isNotNull(), words))
-        .withColumn("_kept", F.when(F.col("_dropped").isNotNull(), kept).otherwise(F.col("_lines")))
+    """One row per document: doc (a struct of all its columns), n_lines, n_dropped and
+    kept_text.  A document that loses all lines keeps the empty text; one that loses none
+    keeps its text, a null one the empty text."""
+    last = F.floor((F.size("lines") - 1) / WORD).cast("int")
+    words = F.transform(F.sequence(F.lit(0), last), lambda w: F.coalesce(F.element_at("masks", w), F.lit(0).cast("long")))
+    goes = lambda i: F.call_function("getbit", F.get("words", F.floor(i / WORD).cast("int")), i % WORD) == 1
+    kept = F.filter("lines", lambda _, i: ~goes(i))
+    loses = F.col("dropped").isNotNull()
+    return (
+        docs.select(F.struct("*").alias("doc"), _document(id_col, text_col).alias("document"), _lines(F.col(text_col)).alias("lines"))
+        .join(bitmaps, "document", "left")
+        .select("doc", "lines", "dropped", F.map_from_entries("dropped").alias("masks"))
+        .withColumn("words", F.when(loses, words))
+        .withColumn("kept", F.when(loses, kept).otherwise(F.col("lines")))
+        .select(
+            "doc", F.size("lines").cast("long").alias("n_lines"),
+            (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text"),
+        )
     )
-    return out.select(
-        *docs.columns,
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
-        F.array_join("_kept", "\n").alias("kept_text"),
+
+
+def drop_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """``docs`` with the lines that ``min_docs`` documents share taken out of ``text``, and
+    ``n_chars``, where there is one, counted anew."""
+    new = {"text": F.when(F.col("doc.text").isNotNull(), F.col("kept_text")), "n_chars": F.length("kept_text").cast("long")}
+    return apply_bitmaps(docs, drop_bitmaps(docs, min_docs)).select(
+        *[new[c].alias(c) if c in new else F.col("doc").getField(c).alias(c) for c in docs.columns]
     )
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir)["documents"].select("doc_id", "text")
     out = apply_bitmaps(docs, drop_bitmaps(docs))
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+    return out.select(
+        "doc.doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    )
 
 
 OP3_SQL = r"""

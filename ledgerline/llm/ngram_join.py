@@ -339,8 +339,9 @@ def find_links(blocks: DataFrame) -> DataFrame:
 
 
 def group_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, key (a hash of id and text), n_shingles, class, and
-    component_id, the smallest doc_id that its links reach.
+    """One row per document: doc_id, key (a hash of id and text), n_shingles, label (of the
+    component, null without shingles), and component_id, the smallest doc_id that its links
+    reach.
 
     Null and empty texts, and texts of white space, have no shingle and are linked with
     nothing: their component is their own id.  Documents of null id take part; they are
@@ -366,12 +367,23 @@ def group_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     labels = connected(ends).select(F.col("item").alias("class"), "label")
     named = stage(classes.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")), "labelled")
     least = named.groupBy("label").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("classes"))
-    named = stage(lookup(named, stage(least, "components"), "label", "classes").select("class", "component_id", "copies"), "class-components")
+    named = stage(lookup(named, stage(least, "components"), "label", "classes").select("class", "label", "component_id", "copies"), "class-components")
     with_words = lookup(each.filter("n > 0"), named, "class", "copies")
-    without = each.filter("n = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "key", F.col("n").alias("n_shingles"), "class", "component_id"]
+    without = each.filter("n = 0").select("*", F.lit(None).cast("binary").alias("label"), F.col("doc_id").alias("component_id"))
+    columns = ["doc_id", "key", F.col("n").alias("n_shingles"), "label", "component_id"]
     return with_words.select(columns).unionByName(without.select(columns))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group: that of the smallest doc_id, null ids
+    last, one row of it.  Documents without words stay."""
+    found = stage(group_near_copies(docs), "near-copies").filter("n_shingles > 0")
+    best = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"))
+    rows = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"))
+    with_words = rows.join(best.select(F.col("best.key").alias("key")), "key", "left_semi").dropDuplicates(["key"])
+    without = docs.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return with_words.select("doc.*").unionByName(without)
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_near_copies(Tables(spark, sf_dir)["documents"]).select("doc_id", "n_shingles", "component_id")
