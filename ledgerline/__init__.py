@@ -9,7 +9,6 @@ Layout
 - ``plans``      the ready models built from the operators (paid periods, paid
                  years/months/quarters, client status, subscription/ticket match,
                  duplicate invoices, client reports)
-- ``streaming``  incremental re-materialisation of the models
 """
 
 from ledgerline.session import build_session, checkpoint_dir

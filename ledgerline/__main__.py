@@ -3,8 +3,9 @@
     python -m ledgerline --data /root/testdata/sf0.01 --out /shared/models [--only a,b]
 
 The two model chains (paid periods -> years/months/quarters; client base -> reports) are
-written as stored chains; every other registered query is written as its own table.  On
-a cluster, ``--out`` must be a folder every executor can reach.
+written as stored chains; every other registered query is written as its own table.  The
+session is the platform's (``spark-submit -m ledgerline ...``), sized by the input.  On a
+cluster, ``--out`` must be a folder every executor can reach.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ import time
 
 from ledgerline import catalog
 from ledgerline.plans.chain import run_paid_chain, run_report_chain
-from ledgerline.session import build_session
-from ledgerline.sources.tables import save
+from ledgerline.session import apply_scale_conf, platform_session
+from ledgerline.sources.tables import input_bytes, save
 
 CHAINED = {
-    "merge_intervals", "paid_years", "paid_months", "paid_quarters",
+    "merge_intervals", "rejected_intervals", "paid_years", "paid_months", "paid_quarters",
     "client_base", "tiers", "client_report", "last_payroll_service", "last_acc_service",
 }
 
@@ -30,17 +31,20 @@ def main(argv: list[str] | None = None, spark=None) -> dict[str, str]:
     parser.add_argument("--data", required=True, help="folder with the input tables")
     parser.add_argument("--out", required=True, help="folder for the model tables")
     parser.add_argument("--only", default="", help="comma-separated query names")
-    parser.add_argument("--master", default=None, help="Spark master for a local run")
+    parser.add_argument("--master", default=None, help="Spark master, for a run without spark-submit")
     args = parser.parse_args(argv)
 
     owned = spark is None
     if owned:
-        spark = build_session(master=args.master) if args.master else build_session()
+        spark = platform_session(args.master)
+        apply_scale_conf(spark, input_bytes(spark, args.data))
     only = {n for n in args.only.split(",") if n}
     fx = catalog._fx(spark, args.data)
     done: dict[str, str] = {}
     t = time.perf_counter()
-    if not only or only & {"merge_intervals", "paid_years", "paid_months", "paid_quarters"}:
+    if not only or only & {
+        "merge_intervals", "rejected_intervals", "paid_years", "paid_months", "paid_quarters"
+    }:
         done.update(run_paid_chain(
             fx["contracts"], fx["contract_items"], fx["sku_for_tickets"], fx["financial_years"],
             args.out,

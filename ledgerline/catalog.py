@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.json import json_array, json_text, json_value
 from ledgerline.functions.keys import surrogate_key
-from ledgerline.operators.intervals import open_counts
+from ledgerline.operators.intervals import open_counts, rejected_intervals
 from ledgerline.operators.joins import anti_join, interval_join, not_in, semi_join
 from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
 from ledgerline.operators.quality import with_key_count
@@ -33,7 +33,7 @@ from ledgerline.plans import (
     subscriptions,
 )
 from ledgerline.sources.fixtures import Fixtures
-from ledgerline.sources.tables import Tables
+from ledgerline.sources.tables import Tables, materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -43,23 +43,13 @@ INVOICE_AS_OF = dt.date(2024, 6, 30)
 REPORT_AS_OF = dt.date(2024, 6, 30)
 LINK_PREFIX = "https://agent.example/companies/"
 BOT_EMAIL = "bot@example.com"
-
-
-# Input views are built once per Spark application, data directory and override set, and
-# shared by every query of the session (file listing, footer reads and view analysis are
-# driver-side work that does not need repeating; DataFrames are immutable).
-_FIXTURES: dict[tuple, Fixtures] = {}
+LOOKUP_COMPANY = 52
+LOOKUP_DOCUMENT = 33
 
 
 def _fx(spark: SparkSession, data_dir: str, overrides: dict | None = None) -> Fixtures:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # Spark Connect sessions have no SparkContext
-        app = id(spark)
-    key = (app, data_dir, tuple(sorted((overrides or {}).items())))
-    if key not in _FIXTURES:
-        _FIXTURES[key] = Fixtures(Tables(spark, data_dir), overrides)
-    return _FIXTURES[key]
+    """The input views of one call: files are listed anew each time."""
+    return Fixtures(Tables(spark, data_dir), overrides)
 
 
 QUERIES: dict[str, QueryFn] = {}
@@ -94,6 +84,13 @@ def q_merge_intervals(spark, d, overrides=None):
     return _periods(_fx(spark, d, overrides))
 
 
+@query("rejected_intervals")
+def q_rejected_intervals(spark, d, overrides=None):
+    """Items the merge leaves out, counted per service."""
+    items = _items(_fx(spark, d, overrides))
+    return rejected_intervals(items, ["process_definition_key"], "start_date", "finish_date")
+
+
 # ------------------------------------------------------- paid calendar (K3, K4, H-str4)
 @query("month_grid")
 def q_month_grid(spark, d, overrides=None):
@@ -295,6 +292,11 @@ def _base(fx: Fixtures) -> DataFrame:
     )
 
 
+def _stored_base(fx: Fixtures) -> DataFrame:
+    """The client base as a stored table, for the reports that read it several times."""
+    return materialize(_base(fx), "client_base")
+
+
 @query("tag_status")
 def q_tag_status(spark, d, overrides=None):
     return client_base.tag_statuses(_fx(spark, d, overrides)["company_tags"])
@@ -337,7 +339,7 @@ def q_active_year(spark, d, overrides=None):
 def q_tiers(spark, d, overrides=None):
     fx = _fx(spark, d, overrides)
     return client_base.tiers(
-        _base(fx), fx["connections"], fx["transactions"], fx["fact_financial_years"],
+        _stored_base(fx), fx["connections"], fx["transactions"], fx["fact_financial_years"],
         REPORT_AS_OF, LINK_PREFIX,
     )
 
@@ -346,7 +348,7 @@ def q_tiers(spark, d, overrides=None):
 def q_client_report(spark, d, overrides=None):
     fx = _fx(spark, d, overrides)
     return client_base.client_report(
-        _base(fx), fx["positions"], fx["connections"], fx["dim_companies_lambda"],
+        _stored_base(fx), fx["positions"], fx["connections"], fx["dim_companies_lambda"],
         fx["fact_financial_years"], REPORT_AS_OF, LINK_PREFIX,
     )
 
@@ -362,7 +364,25 @@ def q_white_label(spark, d, overrides=None):
 
 @query("documents")
 def q_documents(spark, d, overrides=None):
-    return client_base.document_recipients(_fx(spark, d, overrides)["dim_documents"])
+    fx = _fx(spark, d, overrides)
+    return client_base.document_recipients(fx["dim_documents"], fx["dim_companies"])
+
+
+# Lookups of one company or document, as the reference's analysts run them.
+@query("subscriptions_of_company")
+def q_subscriptions_of_company(spark, d, overrides=None):
+    return _stm(spark, d, overrides).filter(F.col("company_id") == LOOKUP_COMPANY)
+
+
+@query("one_document")
+def q_one_document(spark, d, overrides=None):
+    fx = _fx(spark, d, overrides)
+    return client_base.document_recipients(fx["dim_documents"], fx["dim_companies"], LOOKUP_DOCUMENT)
+
+
+@query("one_company")
+def q_one_company(spark, d, overrides=None):
+    return client_base.company_lookup(_fx(spark, d, overrides)["dim_companies"], LOOKUP_COMPANY)
 
 
 @query("document_types")

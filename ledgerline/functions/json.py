@@ -15,13 +15,16 @@ fields from that column; the ``json_*`` helpers are the same readers applied to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions._util import to_col
 
 
 def parse_json_text(col) -> Column:
+    """The VARIANT of a JSON text, NULL for malformed text.  An object that repeats a member
+    keeps the last one (without the setting it would be malformed as a whole)."""
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return F.try_parse_json(to_col(col))
 
 

@@ -2,10 +2,10 @@
 
 from ledgerline.operators.intervals import (
     coverage,
-    invalid_intervals,
     merge_intervals,
     open_counts,
     period_grid,
+    rejected_intervals,
 )
 from ledgerline.operators.joins import (
     anti_join,
@@ -31,13 +31,13 @@ __all__ = [
     "duplicate_rate",
     "duplicate_rows",
     "interval_join",
-    "invalid_intervals",
     "latest_by",
     "latest_rows",
     "merge_intervals",
     "not_in",
     "open_counts",
     "period_grid",
+    "rejected_intervals",
     "repeat_rows",
     "semi_join",
     "union_all",

@@ -10,14 +10,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import month_end_of, quarter_end_of
 from ledgerline.operators.joins import interval_join
 
-# Stand-in for an open (NULL) start: sorts before any real date.
-OPEN_START = "0001-01-01"
-
-
-def _open_start():
-    return F.lit(OPEN_START).cast("date")
-
-
 def open_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,8 +30,9 @@ def open_counts(
     the exchange as at most one row per distinct day.  The running sum is then one
     window over those few rows.
 
-    Rows without an end, or ending before they start, are dropped; a NULL start counts
-    from ``0001-01-01``.  Days whose events cancel out are left out.
+    Rows without an end are left out by rule, rows ending before they start as errors
+    (``rejected_intervals`` counts them).  A NULL start is open: it counts from the NULL
+    day, which sorts before every date.  Days whose events cancel out are left out.
     """
     kcols = [F.col(k) for k in keys]
     valid = df.filter(
@@ -49,9 +42,7 @@ def open_counts(
         *kcols,
         F.inline(
             F.array(
-                F.struct(
-                    F.coalesce(F.col(start), _open_start()).alias(day), F.lit(1).alias("__ll_inc")
-                ),
+                F.struct(F.col(start).alias(day), F.lit(1).alias("__ll_inc")),
                 F.struct(F.date_add(F.col(end), 1).alias(day), F.lit(-1).alias("__ll_inc")),
             )
         ),
@@ -65,11 +56,16 @@ def open_counts(
     return deltas.withColumn(open_col, F.sum(change).over(w))
 
 
-def invalid_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
-    """The rows ``open_counts`` and ``merge_intervals`` reject as reversed: an end before
-    the start.  (Rows without an end are excluded by rule, not as errors.)  A filter of
-    the same input, so it can be counted or written alongside the merge."""
-    return df.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) < F.col(start)))
+def rejected_intervals(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
+    """Per ``by``: the number of intervals, of those that ``open_counts`` and
+    ``merge_intervals`` reject as reversed (an end before the start), and of those without a
+    start, whose periods the merge leaves out.  One grouped count, to be stored beside the
+    merge."""
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count_if(F.col(end) < F.col(start)).alias("reversed_items"),
+        F.count_if(F.col(start).isNull()).alias("items_without_start"),
+    )
 
 
 def merge_intervals(
@@ -87,9 +83,9 @@ def merge_intervals(
     start, end, start, ... per key, so ``lead`` pairs each start with its end over the
     same partitioning and order (no further shuffle or sort).
 
-    Rows without an end, or ending before they start, are dropped.  A NULL start is
+    Rows without an end, or ending before they start, take no part.  A NULL start is
     open: it swallows what it overlaps, and the resulting period has no start, so it is
-    dropped as a whole.
+    left out as a whole.  ``rejected_intervals`` counts both.
     """
     kcols = [F.col(k) for k in keys]
     counts = open_counts(df, keys, start, end, "__ll_day", "__ll_delta", "__ll_open")
@@ -99,7 +95,7 @@ def merge_intervals(
     bounds = counts.filter(is_first | is_after_last).withColumn(
         "__ll_next", F.lead("__ll_day").over(w)
     )
-    return bounds.filter(is_first & (F.col("__ll_day") != _open_start())).select(
+    return bounds.filter(is_first & F.col("__ll_day").isNotNull()).select(
         *kcols,
         F.col("__ll_day").alias(out_start),
         F.date_sub(F.col("__ll_next"), 1).alias(out_end),
@@ -149,53 +145,33 @@ def coverage(
     keep_unserved: bool = True,
 ) -> DataFrame:
     """Flag, per cell and per service the key has any period for, whether one single
-    period covers the whole cell (K4): ``OR`` over the key's periods of that service of
-    ``period.start <= cell.start AND cell.end <= period.end``.
+    period covers the whole cell (K4): ``period.start <= cell.start AND cell.end <=
+    period.end``.
 
-    Output: every column of ``cells``, plus ``service`` and ``flag``, one row per cell
+    Output: the distinct rows of ``cells``, plus ``service`` and ``flag``, one row per cell
     and service.  With ``keep_unserved`` a cell of a key without any period is kept with
     service and flag NULL (the year grain); otherwise it is dropped (month and quarter
-    grains, which filter on the service).  ``services`` restricts the services.
-
-    The reference joins each cell to every period of its company and aggregates; that
-    pairs all cells with all periods of a key.  Here no pair is formed.  A cell is
-    covered iff the latest end among the periods starting on or before the cell's start
-    reaches the cell's end.  So the periods are reduced to a step function per (key,
-    service): on each day a period starts, the running maximum of their ends, valid
-    until the next start day (a map-side combined aggregate, then a window over at most
-    one row per start day).  Each cell then looks up the one step holding its start with
-    ``interval_join``, bucketed by year, so a key with very many cells is spread over
-    (key, service, year) buckets and AQE can split a hot bucket.  Exact for periods that
-    overlap too.  Periods must have both dates (paid periods always do).
+    grains, which filter on the service).  ``services`` restricts the services.  A cell
+    without a bound is covered by nothing.
+
+    ``periods`` are the disjoint periods of ``merge_intervals``, so at most one period of
+    a key and service holds a cell's start, and the cell is covered iff that period
+    reaches the cell's end.  The lookup is ``interval_join`` by year: no cell meets the
+    periods of other years, a period is expanded over its own years only, and a key with
+    very many cells is spread over (key, service, year) buckets that AQE can split.
     """
-    per = periods.filter(F.col(period_start).isNotNull() & F.col(period_end).isNotNull())
-    if services is not None:
-        per = per.filter(F.col(service).isin(list(services)))
-    ends = per.groupBy(key, service, F.col(period_start).alias("__ll_from")).agg(
-        F.max(period_end).alias("__ll_reach")
-    )
-    # The last step runs to the latest cell start: nothing later is ever looked up.
-    horizon = cells.agg(F.max(cell_start)).scalar()
-    w = Window.partitionBy(key, service).orderBy("__ll_from")
-    steps = ends.select(
-        F.col(key).alias("__ll_k"),
-        F.col(service).alias("__ll_s"),
-        "__ll_from",
-        F.coalesce(F.date_sub(F.lead("__ll_from").over(w), 1), horizon).alias("__ll_to"),
-        F.max("__ll_reach").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__ll_max"),
-    )
-    served = (
-        (periods if services is None else periods.filter(F.col(service).isin(list(services))))
-        .select(key, service)
-        .distinct()
-        .withColumn("__ll_served", F.lit(True))
+    per = periods if services is None else periods.filter(F.col(service).isin(list(services)))
+    served = per.select(key, service).distinct().withColumn("__ll_served", F.lit(True))
+    grid = cells.distinct().join(served, key, "left" if keep_unserved else "inner")
+    spans = per.select(
+        F.col(key).alias("__ll_k"), F.col(service).alias("__ll_s"),
+        F.col(period_start).alias("__ll_from"), F.col(period_end).alias("__ll_to"),
     )
-    grid = cells.join(served, key, "left" if keep_unserved else "inner")
     looked_up = interval_join(
-        grid, steps, [key, service], ["__ll_k", "__ll_s"], cell_start, "__ll_from", "__ll_to",
+        grid, spans, [key, service], ["__ll_k", "__ll_s"], cell_start, "__ll_from", "__ll_to",
         how="left", unit="year",
-    ).select(*[F.col(f"p.{c}") for c in grid.columns], F.col("i.__ll_max").alias("__ll_max"))
-    covered = F.coalesce(F.col("__ll_max") >= F.col(cell_end), F.lit(False))
+    ).select(*[F.col(f"p.{c}") for c in grid.columns], F.col("i.__ll_to").alias("__ll_to"))
+    covered = F.coalesce(F.col("__ll_to") >= F.col(cell_end), F.lit(False))
     return looked_up.withColumn(flag, F.when(F.col("__ll_served"), covered)).drop(
-        "__ll_max", "__ll_served"
+        "__ll_to", "__ll_served"
     )

@@ -15,31 +15,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions._util import to_col
 
 
-# Row counts of measured dimension sides, per Spark application and plan (semantic hash):
-# a dimension used by several queries of one session is counted once.
-_MEASURED: dict[tuple, int] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` is proven small, else ``df`` unchanged.
-
-    For dimension-like inputs (a SKU-to-service map, a product catalogue).  One counting
-    job measures the side (remembered for the session); at most ``max_rows`` rows (a few
-    columns, so a few MB) it is broadcast and the large side of the join is never
-    shuffled.  Beyond that the join stays a shuffle join, which AQE may still broadcast
-    once the shuffled size is known.  The planner's own size estimate is not used (it
-    misses rows added by generators).
-    """
-    try:
-        app = df.sparkSession.sparkContext.applicationId
-    except Exception:  # Spark Connect
-        app = id(df.sparkSession)
-    key = (app, df.semanticHash())
-    if key not in _MEASURED:
-        _MEASURED[key] = df.count()
-    return F.broadcast(df) if _MEASURED[key] <= max_rows else df
-
-
 def with_match_flag(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], flag: str
 ) -> DataFrame:
@@ -121,7 +96,11 @@ def interval_join(
     ``(key, bucket)``, so a point meets only the intervals of its own bucket.  Each match
     still appears once, since a point falls in exactly one bucket.  Columns of
     ``points`` are reachable as ``p.<name>``, those of ``intervals`` as ``i.<name>``.
+    ``how`` is ``inner`` or ``left``: intervals without a bound have no bucket, so a join
+    that must keep unmatched intervals would lose them.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"interval_join is inner or left, not {how!r}")
     p = points.withColumn("__ll_pb", F.trunc(F.col(point), unit)).alias("p")
     i = (
         intervals.withColumn("__ll_ib", F.explode(bucket_sequence(start, end, unit)))

@@ -20,26 +20,23 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
     return union_all(*frames).distinct()
 
 
-def repeat_rows(df: DataFrame, count_col: str, chunk_rows: int = 100_000) -> DataFrame:
+REPEAT_CHUNK = 10_000  # copies made from one row by one task at a time
+
+
+def repeat_rows(df: DataFrame, count_col: str) -> DataFrame:
     """Each row of ``df`` repeated ``count_col`` times (the multiplicity a join adds when
-    none of its columns is read); ``count_col`` is dropped.
+    none of its columns is read); ``count_col`` is dropped.  A NULL count, and one below 1,
+    gives no row.
 
-    A row whose count is at most ``chunk_rows`` expands in place.  A larger count is cut
-    into chunks of ``chunk_rows`` copies first, and the chunks are hash-distributed before
-    they expand, so a row repeated billions of times is produced by many tasks instead of
-    one.
+    Every count is cut into chunks of at most REPEAT_CHUNK copies, and the chunks are dealt
+    out by hash to a fixed number of partitions, which AQE leaves as it is, before they
+    expand: the copies of one row are made by many tasks.
     """
-    n = F.col(count_col)
-    small = df.filter(n <= chunk_rows).withColumn(
-        "__ll_rep", F.explode(F.array_repeat(F.lit(True), n.cast("int")))
-    )
-    big = df.filter(n > chunk_rows).withColumn(
-        "__ll_chunk",
-        F.explode(F.sequence(F.lit(0).cast("long"), ((n - 1) / chunk_rows).cast("long"))),
-    )
-    spread = big.repartition(*[F.col(c) for c in big.columns])
-    copies = F.least(F.lit(chunk_rows).cast("long"), n - F.col("__ll_chunk") * chunk_rows)
-    expanded = spread.withColumn(
-        "__ll_rep", F.explode(F.array_repeat(F.lit(True), copies.cast("int")))
-    ).drop("__ll_chunk")
-    return union_all(small, expanded).drop("__ll_rep", count_col)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = F.col(count_col).cast("long")
+    numbers = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / REPEAT_CHUNK))
+    chunks = df.withColumn("__ll_chunk", F.explode(F.when(n > 0, numbers)))
+    dealt = chunks.repartition(parts, F.xxhash64(*df.columns), "__ll_chunk")
+    copies = F.least(F.lit(REPEAT_CHUNK).cast("long"), n - F.col("__ll_chunk") * REPEAT_CHUNK)
+    expanded = dealt.withColumn("__ll_rep", F.explode(F.array_repeat(F.lit(True), copies.cast("int"))))
+    return expanded.drop("__ll_rep", "__ll_chunk", count_col)

@@ -16,6 +16,7 @@ import os
 
 from pyspark.sql import DataFrame
 
+from ledgerline.operators.intervals import rejected_intervals
 from ledgerline.plans import client_base as cb
 from ledgerline.plans import paid_calendar, paid_periods
 from ledgerline.sources.tables import save
@@ -30,16 +31,20 @@ def run_paid_chain(
     financial_years: DataFrame,
     out_dir: str,
 ) -> dict[str, str]:
-    """Write ``paid_periods``, ``paid_financial_years``, ``paid_months`` and
-    ``paid_quarters`` under ``out_dir`` (a shared folder on a cluster); return paths."""
-    spark = contracts.sparkSession
+    """Write ``paid_periods``, the counts of the items it rejects, ``paid_financial_years``,
+    ``paid_months`` and ``paid_quarters`` under ``out_dir`` (a shared folder on a cluster);
+    return paths."""
     paths = {
         name: os.path.join(out_dir, name)
-        for name in ("paid_periods", "paid_financial_years", "paid_months", "paid_quarters")
+        for name in (
+            "paid_periods", "rejected_intervals", "paid_financial_years", "paid_months",
+            "paid_quarters",
+        )
     }
     items = paid_periods.items_by_service(contracts, contract_items, sku_for_tickets)
-    save(paid_periods.paid_periods(items), paths["paid_periods"], [SERVICE])
-    stored = spark.read.parquet(paths["paid_periods"])
+    rejected = rejected_intervals(items, [SERVICE], "start_date", "finish_date")
+    save(rejected, paths["rejected_intervals"])
+    stored = save(paid_periods.paid_periods(items), paths["paid_periods"], [SERVICE])
     save(paid_calendar.paid_years(financial_years, stored), paths["paid_financial_years"], [SERVICE])
     save(paid_calendar.paid_months(financial_years, stored), paths["paid_months"], [SERVICE])
     save(paid_calendar.paid_quarters(financial_years, stored), paths["paid_quarters"], [SERVICE])
@@ -66,21 +71,19 @@ def run_report_chain(
     consolidated report, the latest payroll and accounting services) from the stored
     table; return the paths.  Each report reads the base several times, so storing it
     first replaces several recomputations of its joins and union with Parquet scans."""
-    spark = dim_contracts.sparkSession
     paths = {
         name: os.path.join(out_dir, name)
         for name in (
             "client_base", "tiers", "client_report", "last_payroll_service", "last_acc_service",
         )
     }
-    save(
+    base = save(
         cb.client_base(
             dim_contracts, dim_contract_items, fact_products, dim_companies, dim_subscriptions,
             white_label,
         ),
         paths["client_base"],
     )
-    base = spark.read.parquet(paths["client_base"])
     save(
         cb.tiers(base, connections, transactions, fact_financial_years, as_of, link_prefix),
         paths["tiers"],

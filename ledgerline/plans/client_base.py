@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import active_at
-from ledgerline.functions.json import json_text, variant_text, with_parsed_json
+from ledgerline.functions.json import variant_text, with_parsed_json
 from ledgerline.functions.keys import link
 from ledgerline.functions.text import tag_status
-from ledgerline.operators.joins import anti_join, broadcast_if_small, not_in, semi_join
-from ledgerline.operators.latest import distinct_on, latest_rows
+from ledgerline.operators.joins import anti_join, not_in, semi_join
+from ledgerline.operators.latest import latest_rows
 from ledgerline.operators.sets import repeat_rows, union_distinct
 
 # --- fixed values of the reports ------------------------------------------------------
@@ -67,11 +67,9 @@ def accounting_company_keys(
 ) -> DataFrame:
     """Companies with an active contract holding a paid accounting item."""
     items = dim_contract_items.filter(F.col("price") > 0).select("contract_key", "product_key")
-    prods = broadcast_if_small(
-        fact_products.filter(F.col("item_bucket") == "accounting").select(
+    prods = fact_products.filter(F.col("item_bucket") == "accounting").select(
             F.col("item_key").alias("product_key")
         )
-    )
     return (
         dim_contracts.filter(F.col("contract_status") == "active")
         .select("contract_key", "company_key")
@@ -120,11 +118,9 @@ def client_base(
         ~F.col("deal_status").isin(EXCLUDED_DEALS)
     )
     svc = dim_subscriptions.select("contract_item_key", "service_type")
-    prods = broadcast_if_small(
-        fact_products.filter(F.col("item_bucket") == "accounting").select(
+    prods = fact_products.filter(F.col("item_bucket") == "accounting").select(
             F.col("item_key").alias("product_key"), "item_code", "item_name"
         )
-    )
     direct = (
         dim_contracts.filter(F.col("contract_status") == "active")
         .select("contract_key", "company_key")
@@ -174,8 +170,9 @@ def client_base(
 
 
 def _latest_services(base: DataFrame) -> DataFrame:
-    """Latest paid service(s) per company and kind (``payroll`` or ``acc``), ties kept:
-    one distinct-and-rank pass serves both kinds.  A NULL service type is in neither."""
+    """Latest paid service(s) per company and kind (``payroll`` or ``acc``), ties kept.  A
+    NULL service type is in neither.  A filter on the kind goes below the ranking, so each
+    kind reads ``base`` for itself: give it a stored one."""
     kind = F.when(F.col("service_type") == "payroll", "payroll").when(
         F.col("service_type") != "payroll", "acc"
     )
@@ -290,19 +287,18 @@ def tiers(
     )
 
 
-def assigned_staff(positions: DataFrame, position: str, alias: str) -> DataFrame:
-    """Current acting staff member per company for ``position``: the latest appointment
-    (unknown dates first, as PostgreSQL's DESC sorts), ties by user name."""
+def acting_staff(positions: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """Current acting staff member per company for each position of ``aliases`` (position ->
+    column): the latest appointment (unknown dates first, as PostgreSQL's DESC sorts), ties
+    by user name.  One grouped pass, combined map-side, for all positions."""
     acting = positions.filter(
-        (F.col("position_name") == position)
-        & (F.col("fcurp_status") == "Acting")
+        F.col("position_name").isin(list(aliases)) & (F.col("fcurp_status") == "Acting")
         & (F.col("fcur_status") == "active")
     )
-    first = distinct_on(
-        acting, ["company_key"],
-        [F.col("appointment_date_key").desc_nulls_first(), F.col("user_name").desc()],
+    rank = F.struct(F.col("appointment_date_key").isNull(), "appointment_date_key", "user_name")
+    return acting.groupBy("company_key").agg(
+        *[F.max_by("user_name", F.when(F.col("position_name") == p, rank)).alias(a) for p, a in aliases.items()]
     )
-    return first.select("company_key", F.col("user_name").alias(alias))
 
 
 def client_report(
@@ -328,19 +324,20 @@ def client_report(
     latest = _latest_services(base)
     payroll = _services_of(latest, "payroll")
     acc = _services_of(latest, "acc")
-    accountant = assigned_staff(positions, "Accountant", "accountant_name")
-    assistant = assigned_staff(positions, "Accounts Assistant", "acc_assistant_name")
-    xero = connection_info(connections)
+    staff = acting_staff(
+        positions, {"Accountant": "accountant_name", "Accounts Assistant": "acc_assistant_name"}
+    )
+    # The result is DISTINCT, so every side is reduced to its distinct rows before it joins.
+    xero = connection_info(connections).distinct()
     dcl = dim_companies_lambda.select(
         "company_key", F.col("partner_company_name").alias("dcl_partner_company_name")
-    )
+    ).distinct()
     fye = year_in_force(fact_financial_years, as_of).select(
         F.col("company_id").alias("company_key"), "fye"
-    )
+    ).distinct()
     joined = (
         ad.withColumnRenamed("partner_company_name", "wl_partner_company_name")
-        .join(accountant, "company_key", "left")
-        .join(assistant, "company_key", "left")
+        .join(staff, "company_key", "left")
         .join(xero, "company_key", "left")
         .join(dcl, "company_key", "left")
         .join(payroll, F.col("company_key") == F.col("payroll_company_key"), "left")
@@ -374,9 +371,10 @@ def white_label_report(
     dim_contract_items: DataFrame,
     fact_products: DataFrame,
     branch: str = "SG",
-    ordered: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
-    """White-label invoices of non-direct clients (K18), by partner when ``ordered``.
+    """White-label invoices of non-direct clients (K18); by partner and invoice, for
+    showing, when ``ordered``.
 
     The reference also joins the contract items and their products without reading a
     column from them, so each row is repeated once per match.  The repeat count is
@@ -404,7 +402,7 @@ def white_label_report(
         "item_description", "item_duration", "item_comment",
     )
     # The report's order; PostgreSQL sorts NULLs last in ascending order.
-    return out.orderBy(F.col("partner").asc_nulls_last()) if ordered else out
+    return out.orderBy(F.col("partner").asc_nulls_last(), "invoice_number", "company_key") if ordered else out
 
 
 def unassigned_ticket_counts(
@@ -422,38 +420,34 @@ def unassigned_ticket_counts(
     The reference groups by three of the five listed columns; all five are grouping
     columns here."""
 
-    def assigned(position: str, flag: str) -> DataFrame:
-        return (
-            positions.filter(
-                (F.col("position_name") == position)
-                & (F.col("fcurp_status") == "Acting")
-                & (F.col("fcur_status") == "active")
-            )
-            .select("company_key")
-            .distinct()
-            .withColumn(flag, F.lit(True))
-        )
-
-    users = dim_users.select(F.col("user_key").alias("report_to_user_key"), "user_email")
-    comp = dim_companies.select(
-        "company_key", "is_kyc_passed", "branch_country_key", "deleted_date_key", "deal_status"
-    )
+    is_position = lambda p: F.bool_or(F.when(F.col("position_name") == p, True))
+    assigned = (
+        positions.filter((F.col("fcurp_status") == "Acting") & (F.col("fcur_status") == "active"))
+        .groupBy("company_key")
+        .agg(is_position("Accountant").alias("is_acc_assigned"),
+             is_position("Accounts Assistant").alias("is_ass_assigned"))
+    )
+    # Tickets reported to nobody get a join key of their own: NULL would gather them.
+    bots = dim_users.filter(F.col("user_email") == bot_email).select(
+        F.col("user_key").cast("string").alias("__ll_to")
+    ).distinct().withColumn("__ll_bot", F.lit(True))
+    reported = F.coalesce(
+        F.col("report_to_user_key").cast("string"), F.concat(F.lit("nobody "), F.col("ticket_key"))
+    )
+    comp = _live_companies(dim_companies, branch).filter(
+        ~F.col("deal_status").isin(EXCLUDED_DEALS)
+    ).select("company_key", "is_kyc_passed")
     t = (
         dim_tickets.filter(
             F.col("process_definition_name").isin(list(ticket_types))
             & (F.col("ticket_status") != "deleted")
         )
-        .join(users, "report_to_user_key", "left")
-        .join(comp, "company_key", "left")
-        .join(assigned("Accountant", "is_acc_assigned"), "company_key", "left")
-        .join(assigned("Accounts Assistant", "is_ass_assigned"), "company_key", "left")
-        .filter(
-            (F.col("report_to_user_key").isNull() | (F.col("user_email") == bot_email))
-            & (F.col("branch_country_key") == branch)
-            & F.col("deleted_date_key").isNull()
-            & ~F.col("deal_status").isin(EXCLUDED_DEALS)
-            & (F.col("is_acc_assigned").isNull() | F.col("is_ass_assigned").isNull())
-        )
+        .withColumn("__ll_to", reported)
+        .join(bots, "__ll_to", "left")
+        .filter(F.col("report_to_user_key").isNull() | F.col("__ll_bot"))
+        .join(comp, "company_key")
+        .join(assigned, "company_key", "left")
+        .filter(F.col("is_acc_assigned").isNull() | F.col("is_ass_assigned").isNull())
     )
     return t.groupBy(
         "ticket_status", "process_definition_name", "is_kyc_passed", "is_acc_assigned",
@@ -469,31 +463,29 @@ def raf_companies(dim_companies: DataFrame) -> DataFrame:
 
 
 def document_recipients(
-    dim_documents: DataFrame, document_key: int | None = None, category: str = "corporate"
+    dim_documents: DataFrame,
+    dim_companies: DataFrame,
+    document_key: int | None = None,
+    category: str = "corporate",
 ) -> DataFrame:
-    """Recipient fields read from each corporate document's JSON.
+    """All columns of each corporate document and the recipient fields read from its JSON,
+    which is parsed once (K19).
 
     The reference's second ``signed_at`` (the ``companyUserId`` field) is named
-    ``signed_by_company_user_id``; the document columns follow once each.  Its join to
-    the risk-assessment companies reads no column and matches at most one row, so it is
-    left out."""
+    ``signed_by_company_user_id``.  Its outer join to the risk-assessed companies reads no
+    column, but repeats a document for each row of its company, and is kept."""
     docs = dim_documents.filter(F.col("document_category") == category)
     if document_key is not None:
         docs = docs.filter(F.col("document_key") == document_key)
-    r = "recipients"
-    return docs.select(
-        "document_key", "document_created_date_key", "document_updated_at",
-        "uploader_user_key", "document_type",
-        json_text(r, "id").alias("recipient_id"),
-        json_text(r, "userId").alias("recipient_user_id"),
-        json_text(r, "signed").alias("is_signed"),
-        json_text(r, "signedAt").alias("signed_at"),
-        json_text(r, "status").alias("doc_status"),
-        json_text(r, "needSign").alias("is_need_sign"),
-        json_text(r, "companyUserId").alias("signed_by_company_user_id"),
-        "company_key", "document_category", "document_classification_category",
-        "document_classification_label", "document_subcategory", "recipients",
-    )
+    fields = {
+        "id": "recipient_id", "userId": "recipient_user_id", "signed": "is_signed",
+        "signedAt": "signed_at", "status": "doc_status", "needSign": "is_need_sign",
+        "companyUserId": "signed_by_company_user_id",
+    }
+    parsed = with_parsed_json(docs, "recipients", "__ll_json").select(
+        *docs.columns, *[variant_text("__ll_json", key).alias(alias) for key, alias in fields.items()]
+    )
+    return parsed.join(raf_companies(dim_companies).select("company_key"), "company_key", "left")
 
 
 def document_types(dim_documents: DataFrame, dim_companies: DataFrame) -> DataFrame:

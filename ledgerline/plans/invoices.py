@@ -61,17 +61,18 @@ def invoice_fields(
 
 
 def duplicate_line_invoices(
-    documents: DataFrame, as_of: dt.date, ordered: bool = True
+    documents: DataFrame, as_of: dt.date, ordered: bool = False
 ) -> DataFrame:
-    """Invoice keys seen more than once after unnesting the line items (K7), most copies
-    first when ``ordered`` (the report's order; a sort of the small result).
+    """Invoice keys seen more than once after unnesting the line items (K7); with
+    ``ordered`` most copies first, the report's order, which is for showing: nearly all
+    groups have the same count, and a stored result is not sorted.
 
     As in the reference, an invoice counts once per line item, so one invoice with two
     line items is its own duplicate, and one without line items is not counted."""
     base = invoice_fields(documents, LINE_SINCE, as_of, LINE_SUBCATEGORIES)
     lines = base.select(*KEY, F.explode(variant_array("__ll_json", LINE_ITEMS_PATH)).alias("__ll_li"))
     groups = duplicate_groups(lines.drop("__ll_li"), KEY, "number_of_dublicates")
-    return groups.orderBy(F.col("number_of_dublicates").desc()) if ordered else groups
+    return groups.orderBy(F.col("number_of_dublicates").desc(), *KEY) if ordered else groups
 
 
 def duplicate_invoice_rate(documents: DataFrame, as_of: dt.date) -> DataFrame:
@@ -85,8 +86,9 @@ def duplicate_invoice_rate(documents: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def repeated_snapshot_keys(
-    snapshot: DataFrame, key: str = "dbt_scd_id", ordered: bool = True
+    snapshot: DataFrame, key: str = "dbt_scd_id", ordered: bool = False
 ) -> DataFrame:
-    """Snapshot rows whose scd id is not unique (K11), by scd id when ``ordered``."""
+    """Snapshot rows whose scd id is not unique (K11); by scd id and the other columns, so
+    that a hot id can be split, when ``ordered`` for showing."""
     rows = duplicate_rows(snapshot, key)
-    return rows.orderBy(F.col(key).asc()) if ordered else rows
+    return rows.orderBy(key, *[c for c in snapshot.columns if c != key]) if ordered else rows

@@ -1,7 +1,7 @@
 """Session settings that the operators are designed around.
 
-On a cluster the session comes from the platform; ``build_session`` is for tests, the
-bench and local runs.  The settings that matter at scale are the AQE ones: every join in
+On a cluster the session comes from the platform (``platform_session``); ``build_session``
+is for tests, the bench and local runs.  The settings that matter at scale are the AQE ones: every join in
 the library is written as a plain equi-join and left to AQE, which turns a sort-merge join
 into a broadcast join only after it has *measured* the build side (a proven size bound),
 splits skewed shuffle partitions, and coalesces small ones.
@@ -28,15 +28,26 @@ SCALE_CONF = {
     # to be under the threshold.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # JSON objects may repeat a member; the last one counts and the others are no error.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
+def platform_session(master: str | None = None, app_name: str = "ledgerline") -> SparkSession:
+    """The session of the platform (``spark-submit``, a notebook), with the settings the
+    library relies on.  Master, memory and executors are the platform's; ``master`` is for
+    a run without one."""
+    builder = SparkSession.builder.appName(app_name).config(map=SCALE_CONF)
+    return (builder.master(master) if master else builder).getOrCreate()
+
+
 def build_session(
     master: str = "local[8]",
     shuffle_partitions: int = 8,
     app_name: str = "ledgerline",
     extra: dict | None = None,
 ) -> SparkSession:
+    """A local session for tests and the bench."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -73,12 +84,11 @@ def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: i
     the advisory size, so the initial number only has to be large enough that no
     partition of the largest shuffle outgrows an executor's memory.  The models shuffle
     projected, map-side pre-aggregated columns, a fraction of the bytes they scan, so
-    one partition per target size of *input* is an upper bound; it is capped at 100,000
-    because map-output metadata grows with mappers x reducers.  Scan splits follow the
+    one partition per target size of *input* is an upper bound.  Scan splits follow the
     same target, and skew-join splitting starts at four times it.
     """
     target = target_partition_mb * 1024 * 1024
-    initial = min(100_000, max(200, input_bytes // target + 1))
+    initial = max(200, input_bytes // target + 1)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),

@@ -8,8 +8,10 @@ so both engines start from identical inputs and every view grows with the base t
 
 Text conventions: ``{name}`` is a base table or another view; ``{{`` and ``}}`` are literal
 braces (JSON); ``<<name>>`` is one of the few engine-specific snippets in ``SNIPPETS``.
-Rows are never sampled or capped: each view covers its whole base table (the connection
-and status views select on a business category, not on ids).
+Rows are never sampled or capped: each view covers its whole base table, and the number
+of its keys grows with the data.  Odd inputs that the models must handle are part of the
+views: missing, reversed and very early starts, repeated and far-off financial years,
+malformed JSON and objects that repeat a member.
 
 Company keys: customers are ``0..N-1``; event users are ``0..N/10-1``, so an event belongs
 to company ``user_id * 10 + event_id % 10`` and every company gets its share of events.
@@ -25,7 +27,7 @@ from ledgerline.sources.tables import Tables
 
 # --- fixed values shared with the reference's queries ---------------------------------
 # SKU codes that the reference's queries test by name (tier lists, Xero products, the
-# subscription exclusions).  Part keys 1..16 carry them, in this order; every other part
+# subscription exclusions).  Part keys 1..26 carry them, in this order; every other part
 # gets a code of its own, so item codes stay unique per product.
 NAMED_SKUS = [
     "0008-AT-Xero",
@@ -44,6 +46,16 @@ NAMED_SKUS = [
     "SG-AC-UNIC-REV-HW",
     "SG-AC-OTHR",
     "0009-PH-Y",
+    "SG-AC-UNIC-REV",
+    "SG-AC-EC-UNICORN-Y",
+    "SG-AC-UNI-G-AB",
+    "SG-AC-UNI-AB",
+    "SG-AC-ROCK-REV",
+    "SG-AC-EC-ROCK-Y",
+    "SG-AC-ROCK-G-AB",
+    "SG-AC-ROCK-AB",
+    "0008-AT-FCC month",
+    "0008-AT-FCC year",
 ]
 
 
@@ -89,12 +101,15 @@ FROM {orders}""",
     # start_at / finish_at hold dates here; the models apply DATE() as the reference does.
     "contract_items": f"""
 SELECT l_orderkey AS contract_id, {_ITEM_KEY} AS contract_item_id,
-  CAST(l_shipdate AS DATE) AS start_at,
+  CASE WHEN l_orderkey % 101 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN DATE '0001-01-01'
+    WHEN l_orderkey % 53 = 0 THEN CAST(l_shipdate AS DATE) + 301
+    ELSE CAST(l_shipdate AS DATE) END AS start_at,
   CASE WHEN l_linenumber < 7 THEN CAST(l_shipdate AS DATE) + CAST(l_quantity * 6 AS INT) END AS finish_at,
   CASE WHEN l_discount > 0 THEN l_extendedprice ELSE 0.0 END AS price,
   CASE l_returnflag WHEN 'A' THEN 'one-time' WHEN 'N' THEN 'monthly' ELSE 'yearly' END AS duration_type,
   l_partkey AS product_id, l_suppkey AS subscription_id, p_type AS package_name,
-  CASE WHEN p_size = 50 THEN 'SG-AC-OTHR' ELSE p_brand END AS product_sku
+  CASE p_size WHEN 50 THEN 'SG-AC-OTHR' WHEN 49 THEN '0009-PH-Y' WHEN 48 THEN '0008-AT-FCC month'
+    WHEN 47 THEN '0008-AT-FCC year' ELSE p_brand END AS product_sku
 FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey""",
     "products": """
 SELECT p_partkey AS product_id,
@@ -128,7 +143,9 @@ FROM {{events}}""",
 SELECT DISTINCT item_code, process_definition_key FROM (
   SELECT p_brand AS item_code,
     CASE TRY_CAST(substr(p_brand, 7) AS INT) % 4 WHEN 0 THEN 'ac-gst-report-internal'
-      WHEN 1 THEN 'ac-payslip-report-internal' WHEN 2 THEN 'ac-ir8a-report-internal' END
+      WHEN 1 THEN 'ac-payslip-report-internal' WHEN 2 THEN 'ac-ir8a-report-internal'
+      WHEN 3 THEN CASE WHEN TRY_CAST(substr(p_brand, 7) AS INT) > 20
+        THEN 'ac-accounting-compliance-nd-review' END END
       AS process_definition_key
   FROM {part}
   UNION ALL
@@ -138,30 +155,34 @@ SELECT DISTINCT item_code, process_definition_key FROM (
       AS process_definition_key
   FROM {part}
 ) s""",
-    # Six consecutive years per company; odd companies start on the 15th of a month.
+    # Six consecutive years per company; odd companies start on the 15th of a month.  Some
+    # years are there twice, and some companies have a year far off.
     "financial_years": """
 SELECT c_custkey * 10 + i AS fy_id, c_custkey AS company_id,
   make_date(1994 + i, 1 + CAST(c_custkey % 12 AS INT), 1 + 14 * CAST(c_custkey % 2 AS INT)) AS start_date,
   make_date(1995 + i, 1 + CAST(c_custkey % 12 AS INT), 1 + 14 * CAST(c_custkey % 2 AS INT)) - 1 AS end_date,
   CASE WHEN i = 3 THEN 'restated' END AS remarks
-FROM (SELECT c_custkey, <<six>> AS i FROM {customer}) g""",
+FROM (SELECT c_custkey, <<six>> AS i FROM {customer}
+  UNION ALL SELECT c_custkey, 2 AS i FROM {customer} WHERE c_custkey % 9 = 0
+  UNION ALL SELECT c_custkey, 8003 AS i FROM {customer} WHERE c_custkey % 50 = 1) g""",
     # ---------------- documents with JSON details (S8) ----------------
     "documents_json": """
-SELECT event_id AS document_id, user_id % 20 AS companyid, ts AS createdat,
+SELECT event_id AS document_id, user_id AS companyid, ts AS createdat,
   CASE event_type WHEN 'view' THEN 'invoice' WHEN 'click' THEN 'invoiceIn'
     WHEN 'signup' THEN 'invoiceOut' WHEN 'purchase' THEN 'receipt' ELSE 'other' END AS subcategory,
   '{{"invoiceNumber":' ||
     CASE WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN '""'
       WHEN event_id % 23 = 0 THEN '{{"v":1}}'
-      ELSE '"INV-' || CAST(event_id % 40 AS STRING) || '"' END ||
+      ELSE '"INV-' || CAST(event_id % 6 AS STRING) || '"' END ||
     ',"issueDate":"2024-01-0' || CAST(1 + event_id % 3 AS STRING) ||
-    '","currency":"SGD","subTotal":"' || CAST(event_id % 2 AS STRING) ||
+    '","currency":"SGD"' || CASE WHEN event_id % 29 = 0 THEN ',"memo":"a","memo":"b"' ELSE '' END ||
+    ',"subTotal":"' || CAST(event_id % 2 AS STRING) ||
     '","amount":"' || CAST(event_id % 2 AS STRING) ||
     '","externalDetails":{{"source":"' ||
     CASE WHEN event_id % 5 = 0 THEN 'manual' ELSE 'bluesheets' END || '"}}' ||
     CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN ',"lineItems":[]'
       WHEN 2 THEN ',"lineItems":[{{"n":1}}]' ELSE ',"lineItems":[{{"n":1}},{{"n":2}}]' END ||
-    '}}' AS details
+    CASE WHEN event_id % 31 = 0 THEN '' ELSE '}}' END AS details
 FROM {events}""",
     # Snapshot whose scd id repeats: (orderkey, linenumber) is not unique in lineitem.
     "journal_snapshot": """
@@ -232,15 +253,15 @@ SELECT o.o_custkey AS company_key, c.c_name AS company_name, o.o_orderkey AS con
     ELSE o.o_totalprice END AS price,
   CAST(o.o_orderdate AS DATE) + 365 AS finish_at,
   CASE WHEN o.o_orderkey % 2 = 0 THEN 'client' ELSE 'partner' END AS wl_role,
-  o.o_custkey % 97 + 1 AS partner_company_key,
-  'Partner ' || CAST(o.o_custkey % 97 + 1 AS STRING) AS partner_company_name,
+  o.o_custkey - o.o_custkey % 10 AS partner_company_key,
+  'Partner ' || CAST(o.o_custkey - o.o_custkey % 10 AS STRING) AS partner_company_name,
   'INV-' || CAST(o.o_orderkey AS STRING) AS invoice_number,
   CASE o.o_orderstatus WHEN 'O' THEN 'draft' WHEN 'F' THEN 'paid' ELSE 'sent' END AS invoice_status,
   CASE o.o_orderstatus WHEN 'F' THEN 'PAID' ELSE 'AUTHORISED' END AS invoice_status_xero
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey""",
-    # Connections of urgent orders: several per company, some failed.
+    # A connection for each order: several per company, some failed.
     "connections": """
-SELECT o_custkey AS company_key,
+SELECT o_custkey AS company_key, o_orderpriority AS priority,
   CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'failed' END AS status,
   '{{"salesTaxBasis":' ||
     CASE o_orderkey % 4 WHEN 0 THEN '"ACCRUALS"' WHEN 1 THEN '"CASH"' WHEN 2 THEN '"NONE"' ELSE 'null' END ||
@@ -248,8 +269,7 @@ SELECT o_custkey AS company_key,
     ',"_class":' || CASE o_orderkey % 3 WHEN 0 THEN '"PREMIUM"' WHEN 1 THEN '"STANDARD"' ELSE '"STARTER"' END ||
     ',"baseCurrency":' || CASE WHEN o_orderkey % 5 = 0 THEN '"USD"' ELSE '"SGD"' END || '}}'
     AS xero_organisation_data
-FROM {orders}
-WHERE o_orderpriority = '1-URGENT'""",
+FROM {orders}""",
     "transactions": f"""
 SELECT {_EVENT_COMPANY} AS company_key,
   CASE event_type WHEN 'purchase' THEN 'Bank Feed' ELSE 'Manual' END AS transaction_source,
@@ -277,11 +297,11 @@ SELECT event_id AS ticket_key,
   CASE WHEN value < 20 THEN 'deleted' WHEN value < 200 THEN 'open' ELSE 'done' END AS ticket_status,
   CASE event_type WHEN 'view' THEN 'ac-accounting-start' WHEN 'click' THEN 'ac-accounting-start'
     WHEN 'error' THEN 'ac-follow-up' ELSE 'ac-bank-statements-chasing' END AS process_definition_name,
-  CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 1000 END AS report_to_user_key,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id * 10 + event_id % 9 END AS report_to_user_key,
   {_EVENT_COMPANY} AS company_key
 FROM {{events}}""",
     "dim_documents": """
-SELECT doc_id AS document_key, doc_id % 1000 AS company_key,
+SELECT doc_id AS document_key, doc_id - doc_id % 2 AS company_key,
   20240101 + doc_id % 28 AS document_created_date_key,
   DATE '2024-02-01' + CAST(doc_id % 28 AS INT) AS document_updated_at,
   doc_id % 100 AS uploader_user_key,
@@ -297,10 +317,9 @@ SELECT doc_id AS document_key, doc_id % 1000 AS company_key,
     ',"companyUserId":' || CAST(doc_id % 50 AS STRING) || '}}' AS recipients
 FROM {documents}""",
     "status_companies": """
-SELECT c_custkey AS company_key FROM {customer}
-WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+SELECT c_custkey AS company_key, c_mktsegment AS segment FROM {customer}""",
     "audit_logs": f"""
-SELECT {_EVENT_COMPANY} AS company_key, event_id % 1000 AS actor_user_key,
+SELECT {_EVENT_COMPANY} AS company_key, user_id * 10 + event_id % 7 AS actor_user_key,
   ts AS log_created_at,
   CASE event_type WHEN 'signup' THEN '{{{{"legalStatus":"live"}}}}'
     WHEN 'error' THEN '{{{{"legalStatus":null}}}}' WHEN 'click' THEN '{{{{"name":"x"}}}}'

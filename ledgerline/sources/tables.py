@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,26 +39,44 @@ class Tables:
         return self._frames[name]
 
 
-def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Model materialisation (A6): one model, one overwritten Parquet dataset.
+def input_bytes(spark: SparkSession, base: str) -> int:
+    """Bytes of all files under ``base``, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(path).getLength()
 
-    The write is a job of its own; Spark's commit protocol makes the output appear only
-    when every task has succeeded, so a lost executor means a retried task, not a torn
-    table.
+
+def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Model materialisation (A6): write the model as the Parquet dataset at ``path`` and
+    return the stored table.
+
+    The new table is written and committed beside ``path`` first and takes the place of the
+    old one after that: a failed job leaves the old table as it was.  With ``partition_by``
+    the rows are rebalanced by those columns before the write, so a value's rows come from
+    a few tasks (a hot value from as many as its size asks for) instead of all of them.
     """
-    writer = df.write.mode("overwrite")
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(fresh)
+    else:
+        df.write.parquet(fresh)
+    new, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(place):
+        fs.delete(place, True)
+    if not fs.rename(new, place):
+        raise OSError(f"the new table {fresh} could not be moved to {path}")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+    """Write ``df`` as a table of its own in the shared checkpoint folder and read it back.
 
-    Used between models of the chain (paid periods -> paid years/months/quarters) so the
+    Used between models (paid periods -> paid years, client base -> reports) so the
     downstream models start from a stored table instead of recomputing the lineage.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "models", name)
-    save(df, path)
-    return spark.read.parquet(path)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

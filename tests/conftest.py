@@ -12,9 +12,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ledgerline.session import build_session
 
-    session = build_session(master="local[*]", shuffle_partitions=8)
+    shared = tmp_path_factory.mktemp("shared")
+    places = {"spark.checkpoint.dir": f"{shared}/checkpoints", "spark.sql.warehouse.dir": f"{shared}/warehouse"}
+    session = build_session(master="local[*]", shuffle_partitions=8, extra=places)
     yield session
     session.stop()

@@ -24,6 +24,7 @@ def test_chain_matches_direct_queries(spark):
     )
     pairs = {
         "paid_periods": "merge_intervals",
+        "rejected_intervals": "rejected_intervals",
         "paid_financial_years": "paid_years",
         "paid_months": "paid_months",
         "paid_quarters": "paid_quarters",
@@ -68,3 +69,18 @@ def test_model_builder_writes_requested_tables(spark):
     for name in done:
         got = spark.read.parquet(done[name])
         assert _rows(got) == _rows(entry.queries()[name](spark, SF_SMALL))
+
+
+def test_save_replaces_a_table_only_by_a_whole_one(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources.tables import save
+
+    path = tempfile.mkdtemp(prefix="ledgerline-save-") + "/t"
+    save(spark.range(10).withColumn("svc", F.lit("7")), path, ["svc"])
+    bad = spark.range(5).withColumn("svc", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        save(bad, path)
+    kept = save(spark.read.schema("id long, svc string").parquet(path), path + "2", ["svc"])
+    assert kept.count() == 10 and dict(kept.dtypes)["svc"] == "string"

@@ -4,7 +4,7 @@ import importlib
 import os
 import re
 
-import __spark_entry__ as entry
+from ledgerline.catalog import QUERIES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,4 +32,4 @@ def test_readme_query_table_lists_registered_queries():
     for row in table.splitlines():
         if row.startswith("| `"):
             cited |= set(re.findall(r"`(\w+)`", row.split("|")[1]))
-    assert cited == set(entry.queries())
+    assert cited == set(QUERIES)

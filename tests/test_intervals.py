@@ -5,7 +5,12 @@ import random
 
 import pytest
 
-from ledgerline.operators.intervals import coverage, invalid_intervals, merge_intervals, period_grid
+from ledgerline.operators.intervals import (
+    coverage,
+    merge_intervals,
+    period_grid,
+    rejected_intervals,
+)
 
 D0 = dt.date(2024, 1, 1)
 
@@ -153,9 +158,13 @@ def test_coverage_matches_pairwise_definition(spark):
         for i in range(rng.randint(0, 6)):
             s = rng.randint(0, 100)
             cells.append((f"k{k}", f"k{k}-{i}", s, s + rng.randint(0, 30)))
-        for _ in range(rng.randint(0, 8)):
-            s = rng.randint(0, 100)
-            periods.append((f"k{k}", rng.choice("ab"), s, s + rng.randint(0, 60)))
+        for svc in "ab":  # disjoint, as merged periods are
+            s = 0
+            for _ in range(rng.randint(0, 4)):
+                s += rng.randint(0, 30)
+                e = s + rng.randint(0, 30)
+                periods.append((f"k{k}", svc, s, e))
+                s = e + 2
     expected = []
     for k, cid, cs, ce in cells:
         svcs = sorted({svc for pk, svc, _, _ in periods if pk == k})
@@ -188,8 +197,27 @@ def test_merge_property(spark, groups):
         assert covered == {d for s, e in ivs if s <= e for d in range(s, e + 1)}
 
 
-def test_invalid_intervals_are_the_rejected_rows(spark):
-    rows = [("a", day(5), day(4)), ("a", day(1), day(3)), ("a", None, day(2)), ("a", day(7), None)]
+def test_rejected_intervals_are_counted(spark):
+    rows = [("a", day(5), day(4)), ("a", day(1), day(3)), ("a", None, day(2)), ("b", day(7), None)]
     df = spark.createDataFrame(rows, "k string, s date, e date")
-    bad = invalid_intervals(df, "s", "e").collect()
-    assert [(r.s, r.e) for r in bad] == [(day(5), day(4))]
+    got = sorted(map(tuple, rejected_intervals(df, ["k"], "s", "e").collect()))
+    assert got == [("a", 3, 1, 1), ("b", 1, 0, 0)]
+
+
+def test_the_first_day_of_the_calendar_is_a_date_like_others(spark):
+    rows = [("a", dt.date(1, 1, 1), dt.date(1, 1, 9)), ("b", None, dt.date(1, 1, 9))]
+    df = spark.createDataFrame(rows, "k string, s date, e date")
+    got = [tuple(r) for r in merge_intervals(df, ["k"], "s", "e").collect()]
+    assert got == [("a", dt.date(1, 1, 1), dt.date(1, 1, 9))]
+
+
+def test_equal_cells_are_one(spark):
+    cell = [("c", "x", 1, 10)] * 3
+    assert run_coverage(spark, cell, [("c", "a", 1, 10)]) == [("x", "a", True)]
+
+
+def test_a_year_far_off_costs_no_rows(spark):
+    far = spark.createDataFrame([("c", "x", dt.date(9999, 1, 1), dt.date(9999, 12, 31))], "k string, cell string, cs date, ce date")
+    p = spark.createDataFrame([("c", "a", day(1), day(9))], "k string, svc string, start_date date, finish_date date")
+    out = coverage(far, p, "k", "svc", "cs", "ce", "paid")
+    assert [(r.svc, r.paid) for r in out.collect()] == [("a", False)]

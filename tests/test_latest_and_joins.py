@@ -103,28 +103,29 @@ def test_interval_join_matches_brute_force(spark):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
-def test_repeat_rows_splits_large_counts(spark):
-    from ledgerline.operators.sets import repeat_rows
+def test_repeat_rows_splits_large_counts(spark, monkeypatch):
+    from ledgerline.operators import sets
 
-    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2501), ("d", 5000)], "k string, n long")
-    out = repeat_rows(df, "n", chunk_rows=1000)
+    monkeypatch.setattr(sets, "REPEAT_CHUNK", 1000)
+    rows = [("a", 1), ("b", 3), ("c", 2501), ("d", 5000), ("none", None), ("zero", 0)]
+    out = sets.repeat_rows(spark.createDataFrame(rows, "k string, n long"), "n")
     got = {r.k: r.c for r in out.groupBy("k").count().withColumnRenamed("count", "c").collect()}
     assert got == {"a": 1, "b": 3, "c": 2501, "d": 5000}
     assert out.columns == ["k"]
 
 
-def test_broadcast_if_small_only_under_the_bound(spark):
-    from ledgerline.operators.joins import broadcast_if_small
+def test_twenty_million_repeats_are_made_by_many_tasks(spark):
+    from ledgerline.operators.sets import repeat_rows
+
+    one = spark.createDataFrame([("a", 20_000_000)], "k string, n long")
+    made = repeat_rows(one, "n").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in made) == 20_000_000
+    assert len(made) >= 4 and max(r["count"] for r in made) < 10_000_000
 
-    facts = spark.range(1000).withColumnRenamed("id", "k")
-    dim = spark.createDataFrame([(i, f"d{i}") for i in range(10)], "k long, name string")
 
-    def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
+def test_interval_join_refuses_what_it_cannot_keep(spark):
+    import pytest
 
-    small = facts.join(broadcast_if_small(dim, max_rows=10), "k")
-    assert "BroadcastHashJoin" in plan(small)
-    assert small.count() == 10
-    large = facts.join(broadcast_if_small(dim.filter("k >= 0"), max_rows=9), "k")
-    assert "BroadcastHashJoin" not in plan(large)  # left to the shuffle join and AQE
-    assert large.count() == 10
+    df = spark.createDataFrame([(1, None, None)], "k int, s date, e date")
+    with pytest.raises(ValueError):
+        interval_join(df, df, ["k"], ["k"], "s", "s", "e", how="right")

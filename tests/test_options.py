@@ -34,9 +34,9 @@ def test_subscription_filters_are_restrictions_of_the_full_match(spark):
 
 def test_point_lookups(spark):
     fx = _fx(spark, SF_CHECK)
-    docs = client_base.document_recipients(fx["dim_documents"])
+    docs = client_base.document_recipients(fx["dim_documents"], fx["dim_companies"])
     key = docs.select("document_key").first().document_key
-    one = client_base.document_recipients(fx["dim_documents"], document_key=key)
+    one = client_base.document_recipients(fx["dim_documents"], fx["dim_companies"], document_key=key)
     assert [r.document_key for r in one.collect()] == [key]
     comps = client_base.company_lookup(fx["dim_companies"])
     ck = comps.select("company_key").first().company_key

@@ -33,8 +33,8 @@ HOT = {
         "CASE WHEN event_id % 3 = 0 THEN 0 ELSE (user_id * 10 + event_id % 10) END AS company_id",
     ),
     "documents_json": _swap(
-        "documents_json", "user_id % 20 AS companyid",
-        "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id % 20 END AS companyid",
+        "documents_json", "user_id AS companyid",
+        "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS companyid",
     ),
     "journal_snapshot": _swap(
         "journal_snapshot",
