@@ -16,6 +16,8 @@ matches of a document sums the lengths up to offsets in code points.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -39,7 +41,7 @@ BASE = {
 
 # High-recall patterns of the generators, by kind.
 GENERATORS = {
-    "email": r"(?i)[A-Z0-9._%+-]{1,64}\s?(?:@|[(\[]at[)\]])\s?[A-Z0-9-]{1,63}(?:\s?(?:\.|[(\[]dot[)\]])\s?[A-Z0-9-]{1,63}){1,4}",
+    "email": r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]{1,64}\s?(?:@|[(\[]at[)\]])\s?[A-Z0-9-]{1,63}(?:\s?(?:\.|[(\[]dot[)\]])\s?[A-Z0-9-]{1,63}){1,4}",
     "ip": r"(?<![0-9])[0-9]{1,3}(?:\s?[.,]\s?[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){11,18}(?![0-9])",
     "phone": r"(?<![0-9])(?:00)?\(?[0-9]{1,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,4}\)?){2,4}(?![0-9])",
@@ -48,7 +50,7 @@ GENERATORS = {
 # A text without any of these has no match of any pattern.
 MAY_MATCH = r"(?i)@|[(\[]at[)\]]|[0-9][^A-Za-z]*[0-9]"
 
-MAX_FIT = 20_000  # candidates the trees are fitted and calibrated on, by hash order
+MAX_FIT = 8_000  # candidates the trees are fitted and calibrated on, by hash order
 PRECISION = 0.99  # of the calibration candidates at or above a kind's threshold
 CONTEXT = 16  # characters kept on either side
 
@@ -138,14 +140,18 @@ def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = P
     Without candidates of both classes there is nothing to learn and nothing is added.
     """
     features = _features()
-    base = matches.filter(~F.col("generated") & _valid(F.col("kind"), F.col("hit")))
-    spans = base.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("base"))
-    crosses = lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))
+    generated = F.col("generated")
+    # The base spans of a kind are disjoint, so of those starting before a candidate's end
+    # the last reaches farthest: a running maximum tells whether one crosses the candidate.
+    points = matches.filter(generated | _valid(F.col("kind"), F.col("hit"))).withColumn("at", F.when(generated, F.col("end")).otherwise(F.col("start")))
+    before = Window.partitionBy("row").orderBy("at", F.desc("generated")).rowsBetween(Window.unboundedPreceding, 0)
+    reach = {k: F.max(F.when(~generated & (F.col("kind") == k), F.col("end"))).over(before).alias(f"reach_{k}") for k in KINDS}
+    crossed = {k: F.coalesce(F.col(f"reach_{k}") > F.col("start"), F.lit(False)) for k in KINDS}
+    own = F.coalesce(*[F.when(F.col("kind") == k, c) for k, c in crossed.items()])
     labelled = (
-        matches.filter("generated").join(spans, "row", "left")
-        .withColumn("base", F.coalesce("base", F.array().cast(spans.schema["base"].dataType)))
-        .withColumn("covered", F.exists("base", crosses))
-        .withColumn("label", F.exists("base", lambda s: crosses(s) & (s["kind"] == F.col("kind"))).cast("double"))
+        points.select("*", *reach.values()).filter("generated")
+        .withColumn("covered", reduce(Column.__or__, crossed.values()))
+        .withColumn("label", own.cast("double"))
         .withColumn("order", F.xxhash64("doc_id", "row", "kind", "start"))
         .select("doc_id", "row", "kind", "start", "end", "covered", "label", "order",
                 *[c.cast("double").alias(f"f_{n}") for n, c in features.items()])
@@ -153,10 +159,11 @@ def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = P
     rows = VectorAssembler(inputCols=[f"f_{n}" for n in features], outputCol="features").transform(stage(labelled, "pii-candidates"))
     sample = stage(rows.orderBy("order").limit(max_fit).select("order", "kind", "label", "features"), "pii-sample")
     none = rows.filter(F.lit(False)).select("doc_id", "row", "kind", "start", "end")
-    fit, held = sample.filter("pmod(order, 4) != 0"), sample.filter("pmod(order, 4) = 0")
+    fit, held = sample.filter("pmod(order, 4) != 0").cache(), sample.filter("pmod(order, 4) = 0")
     if fit.select("label").distinct().count() < 2:
         return none
     model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=1, cacheNodeIds=False).fit(fit)
+    fit.unpersist()
     score = lambda df: model.transform(df).withColumn("score", vector_to_array("probability")[1])
     best_first = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
     thresholds = (
@@ -169,7 +176,7 @@ def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = P
     )
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = PRECISION) -> DataFrame:
     """One row per document: doc_id, base and spans, arrays of (start, order, end, kind)
     sorted by start and then by kind as in KINDS; ``spans`` holds the base ones and the ones
     the trees add.  Null texts are empty; ids may be null or repeated (each row is a
@@ -178,7 +185,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = matches.select(
         "doc_id", "row", F.when(~F.col("generated") & _valid(F.col("kind"), F.col("hit")), F.col("kind")).alias("kind"),
         "start", "end", F.lit(True).alias("is_base"),
-    ).unionByName(added_spans(matches).withColumn("is_base", F.lit(False)))
+    ).unionByName(added_spans(matches, precision=precision).withColumn("is_base", F.lit(False)))
     order = F.array_position(F.lit(list(KINDS)), F.col("kind"))
     span = F.when(F.col("kind").isNotNull(), F.struct("start", order.alias("order"), "end", "kind"))
     return (

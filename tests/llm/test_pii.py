@@ -51,13 +51,20 @@ def test_rules_on_adversarial_texts(make_docs):
 def test_chosen_texts_nulls_repeats_and_long_runs(make_docs):
     texts = [
         None, "", "a@b.c%d@e.f", "1.2.3.4.5.6.7.8", "4111 1111-1111 1111", "+1 (555) 555-0199 and +123456789012345678", "user@host", "@x.y a@b.c",
-        "1" * 100_000, "1-" * 60_000, "a@" * 50_000, "+" * 50_000, "1." * 50_000, "000000001.2.3.4", "x" * 300_000 + " a@b.cd", "mail a@b.c. Then",
+        "1" * 3_000, "1-" * 3_000, "a@" * 3_000, "+" * 3_000, "1." * 3_000, "000000001.2.3.4", "x" * 3_000 + " a@b.cd", "mail a@b.c. Then",
         "99999999999999999999.1.1.1", "٣.٣.٣.٣ +٣٣",
     ]
     pairs = [*enumerate(texts), (5, texts[5]), (None, texts[4]), (None, texts[4])]
     check(make_docs, pairs)
 
 
+def test_very_long_runs_take_linear_time(make_docs):
+    # the brute force would take quadratic time on these
+    texts = ["1" * 100_000, "1-" * 60_000, "a@" * 50_000, "+" * 50_000, "x" * 300_000 + " a@b.cd"]
+    got = {r.doc_id: [tuple(x) for x in r.base] for r in find_spans(make_docs(list(enumerate(texts)))).collect()}
+    assert got == {0: [], 1: [], 2: [], 3: [], 4: [(300_001, 1, 300_007, "email")]}
+
+
 def test_empty_table(make_docs):
     assert run(make_docs([])) == []
 
@@ -67,7 +74,8 @@ def test_trees_add_spans_that_look_like_confirmed_ones(spark, make_docs):
     number = lambda: f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
     pairs = [(i, f"please call +1 {number()} today about order no {rng.randint(1, 99)}.{rng.randint(1, 99)}.{rng.randint(2000, 2024)} x") for i in range(300)]
     pairs += [(1000 + i, f"please call 1 {number()} today") for i in range(20)] + [(2000 + i, "nothing personal here") for i in range(20)]
-    found = {r.doc_id: r for r in find_spans(make_docs(pairs)).collect()}
+    # the 20 count against precision, as no rule confirms them
+    found = {r.doc_id: r for r in find_spans(make_docs(pairs), precision=0.9).collect()}
     assert all(len(r.spans) == len(r.base) == 0 for i, r in found.items() if i >= 2000)
     assert all(len(r.base) == 1 for i, r in found.items() if i < 1000)
     added = [r for i, r in found.items() if 1000 <= i < 2000 and r.spans]
