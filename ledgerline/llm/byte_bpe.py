@@ -21,10 +21,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import small_batches
 from ledgerline.llm.memo import WordMemo, slices
 from ledgerline.sources.tables import Tables
 
-MEMO_TOKENS = 600_000
+MEMO_TOKENS = 250_000
 UNKNOWN = "<unk>"  # piece 0; token n is piece n + 1
 
 
@@ -117,7 +118,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text
                 yield pa.RecordBatch.from_arrays([part["doc_id"], n, pa.array(ids, pa.large_binary())], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return small_batches(rows).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -135,7 +136,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                     [part["doc_id"], part["n_tokens"], ids, pa.array(texts, pa.large_binary())], schema=schema
                 )
 
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
+    return small_batches(encoded).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:

@@ -15,6 +15,8 @@ from ledgerline.session import checkpoint_dir
 # fewer than HOT_KEYS such keys, whatever the data, so a table of them can be broadcast.
 HOT_KEYS = 4096
 
+BATCH_ROWS = 512
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
@@ -29,6 +31,16 @@ def open_folder(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on its session sends at most BATCH_ROWS rows at a time to Python, so
+    that a batch of long texts stays small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return df
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, so a lost
     executor costs the reading of a file and not the steps before it."""

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from ledgerline.llm.common import small_batches
 from ledgerline.llm.words import ALNUM, words_of
 from ledgerline.sources.tables import Tables
 
@@ -155,23 +156,25 @@ def find_contamination(
     benchmark hits nothing.
     """
     keep = keep or ["doc_id"]
-    rows = docs.select(F.struct(*keep).alias("doc"), F.col(text_col).alias("text"))
+    inside = text_col in keep  # then the text is sent once, within the struct
+    rows = docs.select(F.struct(*keep).alias("doc"), (F.lit(None) if inside else F.col(text_col)).cast("string").alias("text"))
     state = StructType([
         rows.schema["doc"], StructField("text", StringType()), StructField("n_words", LongType()),
         StructField("ranges", ArrayType(LongType())), StructField("items", ArrayType(StringType())),
     ])
     searchers = _searchers(benchmark, window, item_col, "text")
     for k, searcher in enumerate(searchers):
-        rows = rows.mapInArrow(_pass(searcher, last=k == len(searchers) - 1), state)
+        last = k == len(searchers) - 1
+        rows = small_batches(rows).mapInArrow(_pass(searcher, text_col if inside else None, last), state)
     return rows.drop("text")
 
 
-def _pass(searcher: Searcher, last: bool):
+def _pass(searcher: Searcher, field: str | None, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             before = batch.to_pydict() if "ranges" in batch.schema.names else None
             counts, ranges, items = [], [], []
-            for n, w in words_of(batch["text"], ALNUM):
+            for n, w in words_of(batch["doc"].field(field) if field else batch["text"], ALNUM):
                 numbers = searcher.numbers(w.hashes)
                 for i in range(n):
                     lo, hi = w.first[i], w.first[i + 1]

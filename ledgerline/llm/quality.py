@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from ledgerline.llm.common import small_batches
 from ledgerline.llm.samples import held_out, labelled_sample
 from ledgerline.llm.words import NOT_SPACE, Words, hash_words, mix, words_of
 from ledgerline.sources.tables import Tables
@@ -170,7 +171,9 @@ def rate(docs: DataFrame, model: Model | None, keep: list[str] | None = None, te
     expected_grade, tail (the chance of a grade of at least ``least``, by default the
     highest), tails (the chances of at least each grade but the lowest).  Null and empty
     texts are rated by their length class; without a model all three are null."""
-    rows = docs.select(F.struct(*(keep or ["doc_id"])).alias("doc"), F.col(text_col).alias("text"))
+    keep = keep or ["doc_id"]
+    inside = text_col in keep  # then the text is sent once, within the struct
+    rows = docs.select(F.struct(*keep).alias("doc"), *([] if inside else [F.col(text_col).alias("text")]))
     number = DoubleType()
     if model is None:
         none = F.lit(None)
@@ -184,7 +187,7 @@ def rate(docs: DataFrame, model: Model | None, keep: list[str] | None = None, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            found = [model.chances(model.position(words, raw)) for _, words, raw in texts_with_capitals(batch["text"])]
+            found = [model.chances(model.position(words, raw)) for _, words, raw in texts_with_capitals(batch["doc"].field(text_col) if inside else batch["text"])]
             chances = np.concatenate(found)
             columns = [
                 batch["doc"], pa.array(model.grades[0] + chances @ steps), pa.array(np.ascontiguousarray(chances[:, tail])),
@@ -192,7 +195,7 @@ def rate(docs: DataFrame, model: Model | None, keep: list[str] | None = None, te
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "expected_grade", "tail", "tails"])
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def select_good(docs: DataFrame, labels: DataFrame, chance: float = KEEP) -> DataFrame:

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BYTES = 20 << 20  # of text; documents are taken in the order of a hash of their id
+MAX_BYTES = 12 << 20  # of text; documents are taken in the order of a hash of their id
 MAX_DOCUMENT = 256 << 10  # longer texts are scored, but not fitted on
 
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import open_folder, stage, work_dir
+from ledgerline.llm.common import open_folder, small_batches, stage, work_dir
 from ledgerline.llm.memo import WordMemo, slices
 from ledgerline.sources.tables import Tables
 
@@ -149,7 +149,7 @@ def write_token_files(
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    parts = stage(ordered.mapInArrow(write, "part long, file string, docs long, tokens long"), "token-parts")
+    parts = stage(small_batches(ordered).mapInArrow(write, "part long, file string, docs long, tokens long"), "token-parts")
     listed = [r.asDict() for r in parts.orderBy("part").collect()]  # a row for each file
     for row, last in zip(listed, accumulate(r["tokens"] for r in listed)):
         row["base"] = last - row["tokens"]

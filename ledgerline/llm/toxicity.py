@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
+from ledgerline.llm.common import small_batches
 from ledgerline.llm.samples import held_out, labelled_sample
 from ledgerline.llm.words import ALNUM, Words, mix, words_of
 from ledgerline.sources.tables import Tables
@@ -310,20 +311,22 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, text_col
     """One row per document: doc (a struct of the ``keep`` columns, by default doc_id),
     score (0 to 1), spans (flat starts and ends of the offending runs of words, in code
     points).  Null and empty texts have the score of a text without words."""
-    rows = docs.select(F.struct(*(keep or ["doc_id"])).alias("doc"), F.col(text_col).alias("text"))
+    keep = keep or ["doc_id"]
+    inside = text_col in keep  # then the text is sent once, within the struct
+    rows = docs.select(F.struct(*keep).alias("doc"), *([] if inside else [F.col(text_col).alias("text")]))
     schema = StructType([rows.schema["doc"], StructField("score", DoubleType()), StructField("spans", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             scores, spans = [], []
-            for _, words in words_of(batch["text"], ALNUM):
+            for _, words in words_of(batch["doc"].field(text_col) if inside else batch["text"], ALNUM):
                 tagged = model.tag(words)
                 scores.append(model.score(words, tagged))
                 spans += _spans(words, tagged)
             columns = [batch["doc"], pa.array(np.concatenate(scores)), pa.array(spans, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "score", "spans"])
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
