@@ -202,7 +202,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def redact(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` (doc_id unique) with each span of its document replaced by ``[kind]``; of
     spans that cross each other the first is replaced and the rest go with it."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
     step = lambda a, s: F.when(
         s["start"] >= a["at"],
         F.struct(
@@ -212,8 +212,11 @@ def redact(docs: DataFrame, spans: DataFrame) -> DataFrame:
     ).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at")))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     done = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
-    joined = docs.join(spans.select("doc_id", "spans"), "doc_id", "left")
-    return joined.withColumn("text", F.when(F.size("spans") > 0, done).otherwise(F.col("text"))).select(*docs.columns)
+    joined = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id")).join(
+        spans.select(F.col("doc_id").alias("id"), "spans"), "id", "left"
+    )
+    redacted = F.when(F.size("spans") > 0, done).otherwise(F.col("doc.text")).alias("text")
+    return joined.select(*[redacted if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def _joined(spans: str) -> Column:
