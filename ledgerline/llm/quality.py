@@ -11,7 +11,7 @@ Fitted on a bounded sample; every document is scored where it lies.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,25 +97,22 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - position[:, None], -30, 30)))
 
 
-def fit(groups: list[tuple[int, Words, np.ndarray]], rating: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> Model:
+def fit(groups: Iterable[tuple[int, Words, np.ndarray]], rating: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> Model:
     """``rating`` and ``weight`` of each document of the groups, in order."""
     grades, y = np.unique(rating, return_inverse=True)
-    document, number, value = [], [], []
-    at = 0
+    data, at = [], 0  # of each group: its first document, and document, number and value of its features
     for n, words, raw in groups:
         rows, length = features(words, raw)
         size = np.diff(words.first)
         owner = np.repeat(np.arange(n), size)
+        document, number, value = [np.arange(n, dtype=np.int32)], [length.astype(np.uint16)], [np.ones(n, np.float32)]
         for row in rows:  # shares of the features of each document, equal ones summed
             key, count = np.unique(owner << BITS | row, return_counts=True)
-            document.append((key >> BITS) + at)
-            number.append(key & ((1 << BITS) - 1))
-            value.append(count / size[key >> BITS])
-        document.append(np.arange(n) + at)
-        number.append(length)
-        value.append(np.ones(n))
+            document.append((key >> BITS).astype(np.int32))
+            number.append((key & ((1 << BITS) - 1)).astype(np.uint16))
+            value.append((count / size[key >> BITS]).astype(np.float32))
+        data.append((slice(at, at + n), *(np.concatenate(x) for x in (document, number, value))))
         at += n
-    document, number, value = (np.concatenate(x) for x in (document, number, value))
     levels = len(grades) - 1
     reached = np.cumsum(np.bincount(y, weight, levels + 1)[::-1])[::-1][1:] / weight.sum()
     start = -np.log(reached / (1 - reached))  # thresholds that give the shares of the grades
@@ -127,7 +124,7 @@ def fit(groups: list[tuple[int, Words, np.ndarray]], rating: np.ndarray, weight:
     for step in range(1, rounds + 1):
         w, spread = values[: 1 << BITS], np.exp(values[(1 << BITS) + 1 :])
         thresholds = values[lowest][0] + np.append(0.0, np.cumsum(spread))
-        position = np.bincount(document, w[number] * value, len(y))
+        position = np.concatenate([np.bincount(document, w[number] * value, of.stop - of.start) for of, document, number, value in data])
         below = 1 / (1 + np.exp(np.clip(position[:, None] - thresholds, -30, 30)))
         padded = np.concatenate([np.zeros((len(y), 1)), below, np.ones((len(y), 1))], axis=1)
         rows = np.arange(len(y))
@@ -139,7 +136,8 @@ def fit(groups: list[tuple[int, Words, np.ndarray]], rating: np.ndarray, weight:
         np.add.at(d_threshold, edge[y], weight * d_low / chance * (y > 0))
         np.add.at(d_threshold, edge[y + 1], -weight * d_high / chance * (y < levels))
         slope = 1e-2 * values
-        slope[: 1 << BITS] += np.bincount(number, d_position[document] * value, 1 << BITS)
+        for of, document, number, value in data:
+            slope[: 1 << BITS] += np.bincount(number, d_position[of][document] * value, 1 << BITS)
         slope[lowest] = d_threshold.sum()
         if levels > 1:
             slope[(1 << BITS) + 1 :] = np.cumsum(d_threshold[::-1])[::-1][1:] * spread
@@ -163,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Model
         return None
     share = {g: size[g] / (rating == g).sum() for g in np.unique(rating).tolist()}
     weight = np.array([share[g] for g in rating.tolist()])  # back to their share among all labels
-    return fit(list(texts_with_capitals(sample["text"].combine_chunks())), rating, weight / weight.mean())
+    return fit(texts_with_capitals(sample["text"].combine_chunks()), rating, weight / weight.mean())
 
 
 def rate(docs: DataFrame, model: Model | None, keep: list[str] | None = None, text_col: str = "text", least=None) -> DataFrame:

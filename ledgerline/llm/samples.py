@@ -6,7 +6,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BYTES = 12 << 20  # of text; documents are taken in the order of a hash of their id
+from ledgerline.llm.common import stage
+
+MAX_BYTES = 32 << 20  # of text, shared by the labels; each takes documents in the order of a hash of their id
 MAX_DOCUMENT = 256 << 10  # longer texts are scored, but not fitted on
 
 
@@ -24,21 +26,47 @@ def fitting_labels(labels: DataFrame, column: str) -> DataFrame:
     )
 
 
+def shares(need: dict[int, int], most: dict[int, int], total: int) -> dict[int, int]:
+    """Bytes that each label may take: shares in the proportion of ``most``, and what a label
+    doesn't need is left to the others."""
+    out, rest = {}, sum(most[k] for k in need)
+    for label in sorted(need, key=lambda k: (need[k] / most[k], k)):
+        out[label] = total * most[label] // rest
+        total -= min(need[label], out[label])
+        rest -= most[label]
+    return out
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: dict[int, int]) -> tuple[pa.Table, dict[int, int]]:
     """Text and label of at most ``most[label]`` documents of each label, the first by a
-    hash of the id, as far as MAX_BYTES go; and the number of documents of each label."""
+    hash of the id, as far as the label's share of MAX_BYTES goes; and the number of
+    documents of each label.  A label without any text to fit on is an error, unless there
+    are no documents."""
     marked = fitting_labels(labels, column)
     size = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect() if r["label"] in most}
     chosen = marked.limit(0)
     for label in size:
         some = marked.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[label])
         chosen = chosen.unionByName(some)
-    in_order = Window.orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    table = (
-        docs.select("doc_id", "text").filter(F.octet_length("text") <= MAX_DOCUMENT)
-        .join(F.broadcast(chosen), "doc_id").withColumn("order", F.xxhash64("doc_id"))
-        .orderBy("order", "doc_id").limit(sum(most.values()))
-        .withColumn("bytes", F.sum(F.octet_length("text")).over(in_order))
-        .filter(F.col("bytes") <= MAX_BYTES).select("text", "label").toArrow()
+    texts = stage(
+        docs.select("doc_id", "text").filter(F.octet_length("text") <= MAX_DOCUMENT).join(F.broadcast(chosen), "doc_id")
+        .select(
+            F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id").alias("order"), "doc_id", "label",
+            F.octet_length("text").cast("long").alias("bytes"), "text",
+        ),
+        "labelled-texts",
+    )
+    # The bound is applied to the lengths, so that only the texts that are taken meet.
+    in_order = Window.partitionBy("label").orderBy("order", "doc_id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = lambda values: F.coalesce(*[F.when(F.col("label") == k, F.lit(v)) for k, v in values.items()], F.lit(0))
+    lengths = (
+        texts.select("row", "order", "doc_id", "label", "bytes")
+        .select("row", "label", "bytes", F.row_number().over(in_order).alias("number"), F.sum("bytes").over(in_order).alias("sum"))
+        .filter(F.col("number") <= each(most))
     )
+    need = {r["label"]: r["need"] for r in lengths.groupBy("label").agg(F.sum("bytes").alias("need")).collect()}
+    if set(size) - set(need) and not docs.isEmpty():
+        raise ValueError(f"no text to fit on for {column} {sorted(set(size) - set(need))}")
+    taken = lengths.filter(F.col("sum") <= each(shares(need, most, MAX_BYTES))).select("row")
+    table = texts.join(F.broadcast(taken), "row").orderBy("order", "doc_id", "row").select("text", "label").toArrow()
     return table.combine_chunks(), size

@@ -41,18 +41,19 @@ TABLE_BITS = 22
 ROWS = 512
 
 
-def features(words: Words) -> np.ndarray:
+def features(words: Words, kinds: range = range(1 + len(PREFIXES))) -> np.ndarray:
     """A row of hashes for each kind of feature, a column for each word; 0 is none."""
     size = words.ends - words.starts
-    out = np.zeros((1 + len(PREFIXES), len(size)), np.uint64)
-    out[0] = words.hashes
+    out = np.zeros((len(kinds), len(size)), np.uint64)
+    if 0 in kinds:
+        out[kinds.index(0)] = words.hashes
     power = np.uint64(0x100000001B3)
     prefix = np.full(len(size), 0xCBF29CE484222325, np.uint64)
     padded = np.concatenate([words.lower, np.zeros(max(PREFIXES), np.uint8)])
-    for k in range(max(PREFIXES)):
+    for k in range(PREFIXES[kinds[-1] - 1] if kinds[-1] else 0):
         prefix = (prefix ^ padded[words.starts + k]) * power
-        if k + 1 in PREFIXES:
-            row = 1 + PREFIXES.index(k + 1)
+        if k + 1 in PREFIXES and 1 + PREFIXES.index(k + 1) in kinds:
+            row = kinds.index(1 + PREFIXES.index(k + 1))
             out[row] = np.where(size >= k + 1, mix(prefix + np.uint64(k + 1)), 0)
     return out
 
@@ -149,19 +150,23 @@ class Field:
         return np.exp(np.clip(self.weights[numbers].sum(0) + self.bias, -30, 30))
 
 
-def choose_features(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and log odds of the features that mark toxic documents.  ``found``: of each
-    group of texts, its features, the hash of the word before, and whether toxic."""
+def choose_features(groups: list[tuple[Words, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and log odds of the features that mark toxic documents.  One kind of feature
+    is laid out at a time, as all of them would be several times the texts."""
     names, log_odds = [np.empty(0, np.uint64)], [np.empty(0)]
     for kind in range(1 + len(PREFIXES)):
+        seen = {True: [np.empty((2, 0), np.uint64)], False: [np.empty((2, 0), np.uint64)]}
+        for words, is_toxic in groups:
+            hashes = features(words, range(kind, kind + 1))[0]
+            before = np.append(np.uint64(0), words.hashes[:-1])[: len(words.hashes)]
+            before[words.first[:-1][words.first[:-1] < len(before)]] = 0
+            for toxic in (True, False):
+                row = hashes[is_toxic == toxic]
+                pair = np.stack([row, mix(row ^ before[is_toxic == toxic])])[:, row > 0]
+                seen[toxic].append(pair[:, np.unique(pair[1], return_index=True)[1]])
         counts = []
         for toxic in (True, False):
-            seen = [np.empty((2, 0), np.uint64)]
-            for hashes, before, is_toxic in found:
-                row = hashes[kind][is_toxic == toxic]
-                pair = np.stack([row, mix(row ^ before[is_toxic == toxic])])[:, row > 0]
-                seen.append(pair[:, np.unique(pair[1], return_index=True)[1]])
-            pair = np.concatenate(seen, axis=1)
+            pair = np.concatenate(seen.pop(toxic), axis=1)
             pair = pair[0, np.unique(pair[1], return_index=True)[1]]
             counts.append((*np.unique(pair, return_counts=True), max(1, len(pair))))
         (some, n, all_n), (others, m, all_m) = counts
@@ -177,18 +182,13 @@ def choose_features(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> t
 
 def fit_field(groups: list[tuple[Words, np.ndarray]], rounds: int = ROUNDS) -> Field:
     """``groups``: words of some texts, and of each word whether its document is toxic."""
-    found = []
-    for words, toxic in groups:
-        before = np.append(np.uint64(0), words.hashes[:-1])[: len(words.hashes)]
-        before[words.first[:-1][words.first[:-1] < len(before)]] = 0
-        found.append((features(words), before, toxic))
-    hashes, log_odds = choose_features(found)
+    hashes, log_odds = choose_features(groups)
     field = Field(hashes, np.zeros(len(hashes)), -4.0, np.zeros((2, 2)))
     strong = np.append(0.0, log_odds)
     data, plain = [], np.zeros(CHAIN + 1)
-    for (words, toxic), (hashed, _, _) in zip(groups, found):
+    for words, toxic in groups:
         # chains without any feature differ by length alone: they are counted
-        numbers, laid = field.numbers(hashed), chains(words)
+        numbers, laid = field.numbers(features(words)), chains(words)
         rich = np.zeros(len(laid.lengths), bool)
         rich[laid.row[numbers.any(0)]] = True
         plain += np.bincount(laid.lengths[~rich], minlength=CHAIN + 1)
@@ -201,7 +201,6 @@ def fit_field(groups: list[tuple[Words, np.ndarray]], rounds: int = ROUNDS) -> F
     row = np.repeat(np.arange(len(lengths)), lengths)
     none = np.empty(0, np.int64)
     data.append((none, none, np.zeros(len(row), bool), Chains(row, row, lengths), plain[lengths]))
-    del found
     # what the tags have of each parameter: features, the bias, and the four moves
     seen = np.zeros(len(strong) + 5)
     for word, number, tags, laid, weight in data:

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerline.llm import quality, toxicity
+from ledgerline.llm import quality, samples, toxicity
 from ledgerline.llm.words import ALNUM, words_of
 from tests.conftest import SF_CHECK
 
@@ -128,3 +128,46 @@ def test_words_are_the_patterns_words():
     find = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     assert got == [[x.encode() for x in find((t or "").translate(lower))] for t in texts]
+
+
+RUDE = ["gromp", "snarv", "blick", "drofe", "plung", "twerb"]
+
+
+def rare_toxic(spark, make_docs):
+    """4,000 documents of 100 bytes, 4% of them toxic."""
+    rude = {i: RUDE[i // 25 % len(RUDE)] for i in range(0, 4000, 25)}
+    docs = make_docs([(i, f"w{i % 97} says x{i % 89} {rude.get(i, 'fine')} to y{i % 83} ".ljust(100, "z")) for i in range(4000)])
+    return docs, spark.createDataFrame([(i, int(i in rude), int(i not in rude)) for i in range(4000)], "doc_id long, toxic int, quality int"), rude
+
+
+@pytest.mark.parametrize("column", ["toxic", "quality"])
+def test_the_byte_bound_leaves_the_rare_label_its_share(spark, make_docs, monkeypatch, column):
+    monkeypatch.setattr(samples, "MAX_BYTES", 40_000)
+    docs, labels, rude = rare_toxic(spark, make_docs)
+    sample, size = samples.labelled_sample(docs, labels, column, {0: 2000, 1: 2000})
+    got = sample["label"].to_pylist()
+    rare = 1 if column == "toxic" else 0
+    assert got.count(rare) == size[rare] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in rude)
+    assert got.count(1 - rare) == 400 - size[rare]
+
+
+def test_held_out_recall_where_the_byte_bound_binds(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(samples, "MAX_BYTES", 40_000)
+    docs, labels, rude = rare_toxic(spark, make_docs)
+    rows = toxicity.score(docs, toxicity.learn(docs, labels)).collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc.doc_id).encode()) % 4 == 2]
+    assert [r.doc.doc_id for r in held if (r.score >= toxicity.THRESHOLD) != (r.doc.doc_id in rude)] == []
+
+
+def test_shares_of_the_byte_bound():
+    assert samples.shares({0: 5, 1: 100, 2: 100}, {0: 9, 1: 9, 2: 9}, 60) == {0: 20, 1: 27, 2: 28}
+    assert samples.shares({0: 500, 1: 500}, {0: 60, 1: 30}, 90) == {0: 60, 1: 30}
+    assert samples.shares({0: 50, 1: 1}, {0: 2, 1: 2}, 1000) == {1: 500, 0: 999} and samples.shares({}, {}, 10) == {}
+
+
+def test_a_label_without_any_text_is_an_error(spark, make_docs):
+    docs = make_docs([(i, f"fine words {i}") for i in range(50)])
+    labels = spark.createDataFrame([(i, 1, int(i >= 1000)) for i in [*range(50), *range(1000, 1020)]], "doc_id long, quality int, toxic int")
+    with pytest.raises(ValueError, match="no text to fit on"):
+        toxicity.learn(docs, labels)
+    toxicity.learn(make_docs([]), labels)
