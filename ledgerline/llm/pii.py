@@ -6,7 +6,7 @@ the shape of the span and the characters around it, and a threshold for each kin
 calibrated on held-out candidates, selects the ones that are added.
 
 There are no span labels, so the trees learn from the rules: a candidate is a positive
-when a base span of its kind covers or crosses it.  The features leave out what only the
+when a base span of its kind covers or crosses it, and unknown otherwise.  The features leave out what only the
 rules see (the plus sign, the exact separators), so that a candidate scoring as high as
 the confirmed ones is one that looks like them and stands where they stand.
 
@@ -50,8 +50,9 @@ GENERATORS = {
 # A text without any of these has no match of any pattern.
 MAY_MATCH = r"(?i)@|[(\[]at[)\]]|[0-9][^A-Za-z]*[0-9]"
 
-MAX_FIT = 8_000  # candidates the trees are fitted and calibrated on, by hash order
-PRECISION = 0.99  # of the calibration candidates at or above a kind's threshold
+MAX_FIT = 8_000  # candidates the trees are fitted on, by hash order
+PRECISION = 0.99  # estimated, of the held-out candidates at or above a kind's threshold
+BINS = 1000  # of the scores of held-out candidates
 CONTEXT = 16  # characters kept on either side
 
 
@@ -110,8 +111,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return each.withColumn("end", end).withColumn("start", F.col("end") - length).drop("gap", "i")
 
 
+def _plain() -> Column:
+    """The hit as a rule would have it: the loose ways of writing a kind are made one."""
+    sub = lambda c, *pairs: reduce(lambda x, p: F.regexp_replace(x, *p), pairs, c)
+    hit = F.col("hit")
+    return (
+        F.when(F.col("kind") == "email", sub(hit, (r"(?i)\s?(?:@|[(\[]at[)\]])\s?", "@"), (r"(?i)\s?(?:\.|[(\[]dot[)\]])\s?", ".")))
+        .when(F.col("kind") == "ip", sub(hit, (r"\s?[.,]\s?", ".")))
+        .when(F.col("kind") == "card", sub(hit, (r"[\x20./_-]+", " ")))
+        .otherwise(sub(hit, (r"^00", ""), (r"[\x20()./-]+", " "), (r"^ | $", "")))
+    )
+
+
 def _features() -> dict[str, Column]:
-    """Shape of the span and of what stands around it."""
+    """Shape of the span, however loosely written, and of what stands around it."""
     digits, parts = _digits(F.col("hit")), F.split("hit", "[^A-Za-z0-9]+")
     return {
         "length": F.length("hit"),
@@ -134,10 +147,14 @@ def _features() -> dict[str, Column]:
 def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = PRECISION) -> DataFrame:
     """The generated candidates that the trees select: doc_id, row, kind, start, end.
 
-    The trees are fitted on at most ``max_fit`` candidates, the first by hash of document
-    and offset; a quarter of them is held out to calibrate the thresholds.  All candidates
-    are scored.  Candidates crossing a base span of any kind add nothing and are left out.
-    Without candidates of both classes there is nothing to learn and nothing is added.
+    The trees are fitted on at most ``max_fit`` candidates, the first by hash of
+    document and offset.  A quarter of all candidates is held out of the fit; the
+    threshold of a kind comes from the counts of all of these by score.  A candidate that no
+    rule confirms is not an error, but unknown: of true candidates the rules confirm some
+    share, which is taken from the best-scored half of the confirmed ones, and a threshold
+    needs ``precision`` of that share.  Candidates crossing a base span of any kind add
+    nothing and are left out.  Without candidates of both classes there is nothing to learn
+    and nothing is added; a kind without a confirmed held-out candidate adds nothing.
     """
     features = _features()
     generated = F.col("generated")
@@ -153,22 +170,32 @@ def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = P
         .withColumn("covered", reduce(Column.__or__, crossed.values()))
         .withColumn("label", own.cast("double"))
         .withColumn("order", F.xxhash64("doc_id", "row", "kind", "start"))
+        .withColumn("hit", _plain()).withColumn("before", F.regexp_replace("before", r"\+$", ""))
         .select("doc_id", "row", "kind", "start", "end", "covered", "label", "order",
                 *[c.cast("double").alias(f"f_{n}") for n, c in features.items()])
     )
     rows = VectorAssembler(inputCols=[f"f_{n}" for n in features], outputCol="features").transform(stage(labelled, "pii-candidates"))
-    sample = stage(rows.orderBy("order").limit(max_fit).select("order", "kind", "label", "features"), "pii-sample")
+    held_out = F.pmod("order", F.lit(4)) == 0
+    fit = stage(rows.filter(~held_out).orderBy("order").limit(max_fit).select("label", "features"), "pii-sample")
     none = rows.filter(F.lit(False)).select("doc_id", "row", "kind", "start", "end")
-    fit, held = sample.filter("pmod(order, 4) != 0").cache(), sample.filter("pmod(order, 4) = 0")
     if fit.select("label").distinct().count() < 2:
         return none
+    fit = fit.cache()
     model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=1, cacheNodeIds=False).fit(fit)
     fit.unpersist()
     score = lambda df: model.transform(df).withColumn("score", vector_to_array("probability")[1])
-    best_first = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
+    counts = (
+        score(rows.filter(held_out)).groupBy("kind", F.floor(F.col("score") * BINS).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("confirmed"), F.min("score").alias("least"))
+    )
+    best_first = Window.partitionBy("kind").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("kind")
+    share = F.col("up_to") / F.col("of")
     thresholds = (
-        score(held).withColumn("share", F.avg("label").over(best_first))
-        .filter(F.col("share") >= precision).groupBy("kind").agg(F.min("score").alias("threshold"))
+        counts.withColumn("up_to", F.sum("confirmed").over(best_first)).withColumn("of", F.sum("n").over(best_first))
+        .withColumn("all", F.sum("confirmed").over(whole)).filter(F.col("all") > 0)
+        .withColumn("usual", F.max_by(share, F.when(F.col("up_to") * 2 >= F.col("all"), F.col("bin"))).over(whole))
+        .filter(share >= F.lit(precision) * F.col("usual")).groupBy("kind").agg(F.min("least").alias("threshold"))
     )
     return (
         score(rows.filter(~F.col("covered"))).join(F.broadcast(thresholds), "kind")

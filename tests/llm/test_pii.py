@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from ledgerline.llm.pii import find_spans, redact
 
 RULES = {
@@ -93,3 +95,20 @@ def test_no_python_in_the_plans(make_docs):
     docs = make_docs([(1, "a@b.cd")])
     plan = find_spans(docs)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "InPandas" not in plan and "InArrow" not in plan
+
+
+@pytest.mark.parametrize("loose", [8, 80, 800])
+def test_loose_forms_are_added_at_the_production_precision(make_docs, loose):
+    # 1%, 10% and 50% of the numbers and of the addresses are written loosely
+    rng = random.Random(loose)
+    number = lambda: f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+    name = lambda: "".join(rng.choices("abcdefgh", k=6))
+    other = lambda: f"order no {rng.randint(1, 99)}.{rng.randint(1, 99)}.{rng.randint(2000, 2024)} x"
+    pairs = [(i, f"please call +1 {number()} today about {other()} or write to {name()}@{name()}.org now") for i in range(800)]
+    pairs += [(1000 + i, f"please call 1 {number()} today about {other()} or write to {name()} [at] {name()} [dot] org now") for i in range(loose)]
+    found = {r.doc_id: r for r in find_spans(make_docs(pairs, clashing=False)).collect()}
+    for kind in ("phone", "email"):
+        added = [s for i, r in found.items() if i >= 1000 for s in r.spans if s.kind == kind]
+        assert len(added) >= 0.9 * loose, (kind, len(added))
+    texts = dict(pairs)
+    assert not any("." in texts[i][s.start:s.end] for i, r in found.items() for s in r.spans if s.kind == "phone")
