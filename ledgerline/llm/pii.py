@@ -50,7 +50,7 @@ GENERATORS = {
 # A text without any of these has no match of any pattern.
 MAY_MATCH = r"(?i)@|[(\[]at[)\]]|[0-9][^A-Za-z]*[0-9]"
 
-MAX_FIT = 8_000  # candidates the trees are fitted on, by hash order
+MAX_FIT = 8_000  # candidates the trees are fitted on, an equal part of each kind and label, by hash order
 PRECISION = 0.99  # estimated, of the held-out candidates at or above a kind's threshold
 BINS = 1000  # of the scores of held-out candidates
 CONTEXT = 16  # characters kept on either side
@@ -147,8 +147,8 @@ def _features() -> dict[str, Column]:
 def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = PRECISION) -> DataFrame:
     """The generated candidates that the trees select: doc_id, row, kind, start, end.
 
-    The trees are fitted on at most ``max_fit`` candidates, the first by hash of
-    document and offset.  A quarter of all candidates is held out of the fit; the
+    The trees are fitted on at most ``max_fit`` candidates, the first of each kind and label
+    by hash of document and offset.  A quarter of all candidates is held out of the fit; the
     threshold of a kind comes from the counts of all of these by score.  A candidate that no
     rule confirms is not an error, but unknown: of true candidates the rules confirm some
     share, which is taken from the best-scored half of the confirmed ones, and a threshold
@@ -176,7 +176,12 @@ def added_spans(matches: DataFrame, max_fit: int = MAX_FIT, precision: float = P
     )
     rows = VectorAssembler(inputCols=[f"f_{n}" for n in features], outputCol="features").transform(stage(labelled, "pii-candidates"))
     held_out = F.pmod("order", F.lit(4)) == 0
-    fit = stage(rows.filter(~held_out).orderBy("order").limit(max_fit).select("label", "features"), "pii-sample")
+    first = Window.partitionBy("kind", "label").orderBy("order")
+    fit = stage(
+        rows.filter(~held_out).select("order", "kind", "label", "features").withColumn("number", F.row_number().over(first))
+        .filter(F.col("number") <= max(1, max_fit // (2 * len(KINDS)))).select("label", "features"),
+        "pii-sample",
+    )
     none = rows.filter(F.lit(False)).select("doc_id", "row", "kind", "start", "end")
     if fit.select("label").distinct().count() < 2:
         return none

@@ -112,3 +112,16 @@ def test_loose_forms_are_added_at_the_production_precision(make_docs, loose):
         assert len(added) >= 0.9 * loose, (kind, len(added))
     texts = dict(pairs)
     assert not any("." in texts[i][s.start:s.end] for i, r in found.items() for s in r.spans if s.kind == "phone")
+
+
+def test_a_rare_kind_has_a_threshold_beside_a_hot_one(make_docs):
+    # 24,000 dates are phone lookalikes; addresses are a small part of the candidates
+    rng = random.Random(3)
+    date = lambda: f"{rng.randint(10, 28)}.{rng.randint(10, 12)}.{rng.randint(2000, 2024)}"
+    name = lambda: "".join(rng.choices("abcdefgh", k=6))
+    pairs = [(i, " x ".join(date() for _ in range(60))) for i in range(400)]
+    pairs += [(1000 + i, f"write to {name()}@{name()}.org now") for i in range(24)]
+    pairs += [(2000 + i, f"write to {name()} [at] {name()} [dot] org now") for i in range(6)]
+    found = {r.doc_id: r for r in find_spans(make_docs(pairs, clashing=False)).collect()}
+    assert sum(s.kind == "email" for i, r in found.items() if i >= 2000 for s in r.spans) == 6
+    assert not any(r.spans for i, r in found.items() if i < 1000)
