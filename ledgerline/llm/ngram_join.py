@@ -23,6 +23,9 @@ shingles of its own), then only the members not linked to the hub are searched f
 tasks of one chunk of queries and one chunk of members.  No task holds more than that.
 
 Shingles are compared by 64-bit hashes of five words.
+
+The operator gives components and no list of links: pairs that earlier links connect are not
+compared, so of a group of m texts m - 1 links are found, a spanning tree.
 """
 
 from __future__ import annotations
