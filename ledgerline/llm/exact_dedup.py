@@ -67,7 +67,7 @@ class DigestIndex:
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
         groups = rows.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
         self._append(
-            groups.join(self.read(), "digest", "left_anti").select(
+            self.unseen(groups).select(
                 "digest", F.col("first.doc_id").alias("keep_id"),
                 F.col("first.row").alias("keep_row"), F.lit(batch).alias("batch"),
             )
@@ -83,6 +83,10 @@ class DigestIndex:
             F.lower(F.hex("digest")).alias("text_sha256"),
         )
 
+    def unseen(self, groups: DataFrame) -> DataFrame:
+        """The ``groups`` whose digest is not in the index; its buckets are read as they are."""
+        return groups.join(self.read().hint("merge"), "digest", "left_anti")
+
     def _append(self, new: DataFrame) -> None:
         (
             new.repartition(self.buckets, "digest").write.mode("append").format("parquet")

@@ -56,3 +56,18 @@ def test_the_index_side_is_neither_shuffled_nor_sorted_again(spark, index, make_
     rows = spark.range(10).selectExpr("unhex(sha2(string(id), 256)) AS digest").repartition(4, "digest")
     plan = rows.join(index.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_the_index_is_not_broadcast_or_shuffled_for_the_next_batch(spark, index, make_docs):
+    index.add(make_docs([(1, "a"), (2, "b")]))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10m")
+    try:
+        groups = make_docs([(3, "c")]).selectExpr("unhex(sha2(text, 256)) digest").groupBy("digest").count()
+        plan = index.unseen(groups)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Broadcast" not in plan
+    index_side = plan[plan.index("Exchange"):] if "Exchange" in plan else plan
+    assert index_side.count("Exchange") == 1 and "Bucketed: true" in plan
