@@ -6,6 +6,7 @@ from ledgerline.llm.byte_bpe import op4_byte_bpe
 from ledgerline.llm.decontaminate import op6_decontaminate
 from ledgerline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerline.llm.line_dedup import OP3_SQL, op3_line_dedup
+from ledgerline.llm.merkle import OP11_SQL, op11_merkle_manifest
 from ledgerline.llm.ngram_join import op5_ngram_join
 from ledgerline.llm.pii import op9_pii
 from ledgerline.llm.quality import op8_quality
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
