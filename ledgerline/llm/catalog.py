@@ -10,6 +10,7 @@ from ledgerline.llm.merkle import OP11_SQL, op11_merkle_manifest
 from ledgerline.llm.ngram_join import op5_ngram_join
 from ledgerline.llm.pii import op9_pii
 from ledgerline.llm.quality import op8_quality
+from ledgerline.llm.spot_signatures import op12_spot_signatures
 from ledgerline.llm.token_files import op2_token_files
 from ledgerline.llm.tokenizer_align import op13_tokenizer_align
 from ledgerline.llm.toxicity import op7_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spot_signatures": op12_spot_signatures,
     "op13_tokenizer_align": op13_tokenizer_align,
 }
 
