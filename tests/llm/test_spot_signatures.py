@@ -1,8 +1,8 @@
 import random
 import re
+from bisect import bisect
 from collections import Counter
 from hashlib import sha256
-from itertools import islice
 
 import numpy as np
 import pytest
@@ -21,8 +21,10 @@ def words(text):
 def signatures(text, anchors):
     w = words(text)
     found = set()
+    content = [i for i, x in enumerate(w) if x not in anchors]
     for i, a in enumerate(w):
-        after = list(islice((x for x in w[i + 1 : i + 200] if x not in anchors), spots.CHAIN))
+        k = bisect(content, i)
+        after = [w[j] for j in content[k : k + spots.CHAIN]]
         if a in anchors and after:
             found.add((a, *after))
     if not found and text:
