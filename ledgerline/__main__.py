@@ -17,7 +17,7 @@ import time
 from ledgerline import catalog
 from ledgerline.plans.chain import run_paid_chain, run_report_chain
 from ledgerline.session import apply_scale_conf, platform_session
-from ledgerline.sources.tables import input_bytes, save
+from ledgerline.sources.tables import input_bytes, save, saved_folder
 
 CHAINED = {
     "merge_intervals", "rejected_intervals", "paid_years", "paid_months", "paid_quarters",
@@ -26,7 +26,7 @@ CHAINED = {
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict[str, str]:
-    """Build the models; returns name -> path.  A session passed in is left running."""
+    """Build the models; returns name -> Parquet folder of the version written.  A session passed in is left running."""
     parser = argparse.ArgumentParser(prog="python -m ledgerline")
     parser.add_argument("--data", required=True, help="folder with the input tables")
     parser.add_argument("--out", required=True, help="folder for the model tables")
@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict[str, str]:
             continue
         path = os.path.join(args.out, name)
         save(fn(spark, args.data), path)
-        done[name] = path
+        done[name] = saved_folder(spark, path)
     print(f"wrote {len(done)} tables to {args.out} in {time.perf_counter() - t:.1f}s")
     if owned:
         spark.stop()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from ledgerline.operators.intervals import rejected_intervals
 from ledgerline.plans import client_base as cb
 from ledgerline.plans import paid_calendar, paid_periods
-from ledgerline.sources.tables import save
+from ledgerline.sources.tables import save, saved_folder
 
 SERVICE = "process_definition_key"
 
@@ -33,7 +33,7 @@ def run_paid_chain(
 ) -> dict[str, str]:
     """Write ``paid_periods``, the counts of the items it rejects, ``paid_financial_years``,
     ``paid_months`` and ``paid_quarters`` under ``out_dir`` (a shared folder on a cluster);
-    return paths."""
+    return the Parquet folders of the versions written."""
     paths = {
         name: os.path.join(out_dir, name)
         for name in (
@@ -48,7 +48,7 @@ def run_paid_chain(
     save(paid_calendar.paid_years(financial_years, stored), paths["paid_financial_years"], [SERVICE])
     save(paid_calendar.paid_months(financial_years, stored), paths["paid_months"], [SERVICE])
     save(paid_calendar.paid_quarters(financial_years, stored), paths["paid_quarters"], [SERVICE])
-    return paths
+    return {name: saved_folder(items.sparkSession, path) for name, path in paths.items()}
 
 
 def run_report_chain(
@@ -69,7 +69,7 @@ def run_report_chain(
 ) -> dict[str, str]:
     """Write the client base once, then the reports that read it (tiers, the
     consolidated report, the latest payroll and accounting services) from the stored
-    table; return the paths.  Each report reads the base several times, so storing it
+    table; return the folders written.  Each report reads the base several times, so storing it
     first replaces several recomputations of its joins and union with Parquet scans."""
     paths = {
         name: os.path.join(out_dir, name)
@@ -97,4 +97,4 @@ def run_report_chain(
     )
     save(cb.last_services(base, payroll=True), paths["last_payroll_service"])
     save(cb.last_services(base, payroll=False), paths["last_acc_service"])
-    return paths
+    return {name: saved_folder(base.sparkSession, path) for name, path in paths.items()}

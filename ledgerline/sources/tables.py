@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.session import checkpoint_dir
+from ledgerline.sources.versions import WHOLE, Store
 
 RAW_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -47,27 +48,28 @@ def input_bytes(spark: SparkSession, base: str) -> int:
 
 
 def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Model materialisation (A6): write the model as the Parquet dataset at ``path`` and
-    return the stored table.
+    """Model materialisation (A6): write the model as the next version of the table at
+    ``path`` (``sources.versions``) and return the stored table.
 
-    The new table is written and committed beside ``path`` first and takes the place of the
-    old one after that: a failed job leaves the old table as it was.  With ``partition_by``
-    the rows are rebalanced by those columns before the write, so a value's rows come from
-    a few tasks (a hot value from as many as its size asks for) instead of all of them.
+    The new version is written beside the old one and takes its place by one pointer, so a
+    reader (``read_saved``) has the old table or the new one, whole, wherever a write stops.
+    The version before stays for those who read it; older ones go.
     """
-    spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
-    if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(fresh)
-    else:
-        df.write.parquet(fresh)
-    new, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(place):
-        fs.delete(place, True)
-    if not fs.rename(new, place):
-        raise OSError(f"the new table {fresh} could not be moved to {path}")
-    return spark.read.schema(df.schema).parquet(path)
+    store = Store(df.sparkSession, path)
+    base = store.current()
+    version = store.commit({"": store.write(df, partition_by)}, base)
+    store.expire()
+    return store.read("", version)
+
+
+def saved_folder(spark: SparkSession, path: str) -> str:
+    """The Parquet folder of the current version of a table that ``save`` wrote."""
+    return f"{path.rstrip('/')}/{Store(spark, path).current().tables[''].folders[WHOLE]}"
+
+
+def read_saved(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``save`` wrote."""
+    return Store(spark, path).read("")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
