@@ -12,6 +12,7 @@ are pinned so that runs repeat.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,13 +28,16 @@ from ledgerline.operators.sets import union_all, union_distinct
 from ledgerline.plans import (
     client_base,
     client_status,
+    incremental,
     invoices,
     paid_calendar,
     paid_periods,
     subscriptions,
 )
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources.fixtures import Fixtures
 from ledgerline.sources.tables import Tables, materialize
+from ledgerline.sources.versions import Store
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +88,32 @@ def q_merge_intervals(spark, d, overrides=None):
     return _periods(_fx(spark, d, overrides))
 
 
+@query("incremental_paid_periods")
+def q_incremental_paid_periods(spark, d, overrides=None):
+    """The stored paid periods after a refresh.  The chain is first built from the inputs as
+    they were before a change set: a hundredth of the contracts with other dates and
+    prices, some missing, some of another status, and contracts that have gone since."""
+    fx = _fx(spark, d, overrides)
+    contracts, items, sku, years = (fx[n] for n in ("contracts", "contract_items", "sku_for_tickets", "financial_years"))
+    nth = F.col("contract_id") % 100
+    status = F.when(nth == 17, F.lit("active")).otherwise(F.col("status")).alias("status")
+    old_contracts = contracts.filter(nth != 41).select("contract_id", "company_id", status)
+    gone = contracts.filter(nth == 59).select(
+        (-F.col("contract_id") - 1).alias("contract_id"), (-F.col("company_id") - 1).alias("company_id"), F.lit("active").alias("status")
+    )
+    changed = {
+        "finish_at": F.when(nth == 73, F.date_add("finish_at", 45)).otherwise(F.col("finish_at")),
+        "price": F.when(nth == 89, F.lit(0.0)).otherwise(F.col("price")),
+    }
+    old_items = items.select(*[changed[c].alias(c) if c in changed else c for c in items.columns])
+    gone_items = items.filter(nth == 59).withColumn("contract_id", -F.col("contract_id") - 1)
+    store = Store(spark, f"{checkpoint_dir(spark).rstrip('/')}/chains/{uuid.uuid4().hex[:12]}")
+    models = ("paid_periods",)
+    incremental.refresh_paid_chain(old_contracts.unionByName(gone), old_items.unionByName(gone_items), sku, years, store.path, models)
+    incremental.refresh_paid_chain(contracts, items, sku, years, store.path, models)
+    return store.read("paid_periods")
+
+
 @query("rejected_intervals")
 def q_rejected_intervals(spark, d, overrides=None):
     """Items the merge leaves out, counted per service."""
