@@ -19,7 +19,7 @@ The highest count of each B id is a vector as long as B's vocabulary, which boun
 driver collects and sends.
 
 A text is aligned by segments that neither tokenizer merges across (see ``_CUT``), and each
-worker keeps a bounded memo of segments; results never depend on it.
+worker keeps a bounded memo of segments from task to task; results never depend on it.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ from ledgerline.sources.tables import Tables
 SHARD_KEYS = 1 << 15  # pairs of a shard, about
 FAN = 8
 CACHE_BYTES = 128 << 20
-MEMO_BYTES = 128 << 20
+MEMO_BYTES = 208 << 20
 ROWS = 512
 MARK = "▁"  # sentencepiece's space
 
@@ -193,7 +193,8 @@ class Segments:
 
 
 class Aligner:
-    """Numbers the segments of batches of texts, and has ``learn`` look at the new ones."""
+    """Numbers the segments of batches of texts, and has ``learn`` look at the new ones;
+    ``forget`` is called before the memo starts again."""
 
     def __init__(self, both: Tokenizers, learn, forget):
         self.segments, self.learn, self.forget = Segments(both), learn, forget
@@ -223,6 +224,16 @@ class Aligner:
             self.learn(*self.segments.add(new))
 
 
+_HELD: dict[str, tuple] = {}  # what a worker keeps for its next task, of one pass at a time
+
+
+def held(name: str, make):
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Few rows at a time, and fewer where texts are long."""
     for batch in batches:
@@ -237,15 +248,17 @@ def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
     """key (A id << 32 | B id), slot (a hash of it), part (of the input) and count of the
     pairs that each part of the input links; a part that fills its memo has several rows of
-    a pair."""
+    a pair, and pairs of a memo that the part itself doesn't link count 0."""
+
+    def make() -> tuple:
+        links: list[np.ndarray] = []
+        keys: list[np.ndarray] = []
+        return Aligner(tokenizers(a_path, b_path), lambda n, some: (links.append(n), keys.append(some)), None), links, keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        links, keys, seen, full = [], [], [], []
-
-        def learn(n: np.ndarray, some: np.ndarray) -> None:
-            links.append(n)
-            keys.append(some)
+        aligner, links, keys = held(f"count {a_path} {b_path}", make)
+        seen, full = [], []
 
         def flush() -> None:
             if links:
@@ -256,12 +269,15 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text
                 found, at = np.unique(np.concatenate(keys), return_inverse=True)
                 count = np.bincount(at, every, len(found)).astype(np.int64)
                 slot = (mix(found.astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-                # pairs that stand only in segments of texts that were taken whole count 0 times
                 full.append(pa.RecordBatch.from_pydict({"key": found, "slot": slot, "part": np.full(len(found), part), "count": count}))
-            for x in (links, keys, seen):
-                x.clear()
+            seen.clear()
 
-        aligner = Aligner(tokenizers(a_path, b_path), learn, flush)
+        def forget() -> None:
+            flush()
+            links.clear()
+            keys.clear()
+
+        aligner.forget = forget
         for batch in texts_of(batches):
             numbers = aligner.numbers(batch["text"].to_pylist())
             yield from full
@@ -420,7 +436,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col="doc_id", text_col="
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in names), ("groups", pa.large_binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make() -> tuple:
         counts = Counts(path, shards)
         found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]  # of each segment: best links, sum of counts
 
@@ -432,7 +448,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col="doc_id", text_col="
         def forget() -> None:
             found[0] = found[0][:0]
 
-        aligner = Aligner(tokenizers(a_path, b_path), learn, forget)
+        return Aligner(tokenizers(a_path, b_path), learn, forget), found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner, found = held(f"look up {path}", make)
         s = aligner.segments
         for batch in texts_of(batches):
             numbers = aligner.numbers(batch["text"].to_pylist())
