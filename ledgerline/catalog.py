@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.json import json_array, json_text, json_value
+from ledgerline.functions.json import exact_array, exact_value, json_text, with_exact_json
 from ledgerline.functions.keys import surrogate_key
 from ledgerline.operators.intervals import open_counts, rejected_intervals
 from ledgerline.operators.joins import anti_join, interval_join, not_in, semi_join
@@ -270,14 +270,14 @@ def q_subscriptions_missing_ticket(spark, d, overrides=None):
 # ------------------------------------------------- JSON and duplicates (H-json, K7, K8, K11)
 @query("json_value")
 def q_json_value(spark, d, overrides=None):
-    docs = _fx(spark, d, overrides)["documents_json"]
+    docs = with_exact_json(_fx(spark, d, overrides)["documents_json"], "details", "parsed")
     return docs.select(
         "document_id",
-        json_value("details", "$.invoiceNumber").alias("invoice_number"),
-        json_value("details", "$.issueDate").alias("issue_date"),
-        json_value("details", "$.amount").alias("total"),
-        json_value("details", "$.externalDetails.source").alias("source"),
-        json_value("details", "$.lineItems").alias("line_items"),
+        exact_value("parsed", "$.invoiceNumber").alias("invoice_number"),
+        exact_value("parsed", "$.issueDate").alias("issue_date"),
+        exact_value("parsed", "$.amount").alias("total"),
+        exact_value("parsed", "$.externalDetails.source").alias("source"),
+        exact_value("parsed", "$.lineItems").alias("line_items"),
     )
 
 
@@ -293,9 +293,9 @@ def q_json_text(spark, d, overrides=None):
 
 @query("explode_json_array")
 def q_explode_json_array(spark, d, overrides=None):
-    docs = _fx(spark, d, overrides)["documents_json"]
+    docs = with_exact_json(_fx(spark, d, overrides)["documents_json"], "details", "parsed")
     return docs.select(
-        "document_id", F.explode(json_array("details", "$.lineItems")).alias("line_item")
+        "document_id", F.explode(exact_array("parsed", "$.lineItems")).alias("line_item")
     )
 
 

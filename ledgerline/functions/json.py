@@ -73,3 +73,61 @@ def json_text(col, key: str) -> Column:
 def json_array(col, path: str) -> Column:
     """``variant_array`` read from JSON text (``JSON_QUERY_ARRAY``)."""
     return variant_array(parse_json_text(col), path)
+
+
+# ---------------------------------------------------------------- numbers as they are written
+# A VARIANT holds a number's value, so ``1.50`` and ``1.5`` come out alike, ``1e2`` as 100.0
+# and over 38 digits rounded.  The readers below give a number's own text instead: before
+# the parse every number outside a string is turned into a string that starts with a mark,
+# and the mark is taken off what is read.  It is one regular expression over the text and
+# still one parse of a row.  A number that JSON does not allow (``01``, ``+1``, ``.5``) is left
+# as it is, so the text stays malformed.
+#
+# U+0001 to U+0005 serve as marks: JSON allows no control character as such, so a text that
+# has one is malformed anyway.  (A string that itself begins with an escaped U+0001 is the
+# one value that loses a character.)
+_NUMBER = r"(?<![0-9A-Za-z.+-])-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?(?![0-9A-Za-z.+-])"
+_MARK, _OPEN, _CLOSE, _QUOTE, _BACKSLASH = "\x01", "\x02", "\x03", "\x04", "\x05"
+
+
+def quote_numbers(text) -> Column:
+    """A JSON text whose numbers are strings: a mark and the number as it is written."""
+    text = to_col(text)
+
+    def swap(col: Column, old: str, new: str) -> Column:
+        return F.replace(col, F.lit(old), F.lit(new))
+
+    # without escapes a string ends at the next quote, so strings are passed over whole
+    plain = swap(swap(text, "\\\\", _BACKSLASH), '\\"', _QUOTE)
+    marked = F.regexp_replace(plain, rf'("[^"]*+")|({_NUMBER})', f"$1{_OPEN}$2{_CLOSE}")
+    quoted = swap(swap(swap(marked, _OPEN + _CLOSE, ""), _OPEN, '"\\u0001'), _CLOSE, '"')
+    escaped = swap(swap(quoted, _QUOTE, '\\"'), _BACKSLASH, "\\\\")
+    return F.when(~text.rlike("[\x01-\x05]"), escaped)
+
+
+def with_exact_json(df: DataFrame, col: str, alias: str) -> DataFrame:
+    """``with_parsed_json`` for the ``exact_*`` readers."""
+    parsed = F.struct(parse_json_text(quote_numbers(col)).alias(alias))
+    return df.select("*", F.inline(F.array(parsed)))
+
+
+def _unmarked(nested: Column) -> Column:
+    """The JSON text of an object or array with its numbers as they were written."""
+    return F.regexp_replace(nested, r'"\\u0001([^"]*)"', "$1")
+
+
+def exact_value(v, path: str) -> Column:
+    """``variant_value`` with a number's own text (``1.50`` stays ``1.50``)."""
+    return F.regexp_replace(variant_value(v, path), f"^{_MARK}", "")
+
+
+def exact_text(v, key: str) -> Column:
+    """``variant_text`` with numbers' own text, also within objects and arrays."""
+    text = variant_text(v, key)
+    nested = text.startswith("{") | text.startswith("[")
+    return F.when(nested, _unmarked(text)).otherwise(F.regexp_replace(text, f"^{_MARK}", ""))
+
+
+def exact_array(v, path: str) -> Column:
+    """``variant_array`` with numbers' own text."""
+    return F.transform(variant_array(v, path), _unmarked)

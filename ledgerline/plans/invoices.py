@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.json import variant_array, variant_value, with_parsed_json
+from ledgerline.functions.json import exact_array, exact_value, with_exact_json
 from ledgerline.operators.quality import duplicate_groups, duplicate_rate, duplicate_rows
 
 # The JSON paths of the invoice fields and the filters of the audits.
@@ -39,17 +39,18 @@ def invoice_fields(
 ) -> DataFrame:
     """Invoice fields of documents created in ``[since, as_of]`` from ``source``, with a
     non-empty invoice number: ``companyid, <fields>, subcategory, __ll_json`` (the parsed
-    details, for further fields).  Each document's JSON is parsed once."""
+    details, for further fields).  Each document's JSON is parsed once.  Numbers are the
+    document's own text: ``1.50`` and ``1.5`` are different totals."""
     day = F.to_date("createdat")
     docs = documents.filter(
         day.between(F.lit(since), F.lit(as_of)) & F.col("subcategory").isin(list(subcategories))
     ).select("companyid", "subcategory", "details")
-    parsed = with_parsed_json(docs, "details", "__ll_json")
-    fields = [variant_value("__ll_json", path).alias(name) for name, path in INVOICE_FIELDS.items()]
+    parsed = with_exact_json(docs, "details", "__ll_json")
+    fields = [exact_value("__ll_json", path).alias(name) for name, path in INVOICE_FIELDS.items()]
     return (
         parsed.select(
             "companyid", *fields, "subcategory", "__ll_json",
-            variant_value("__ll_json", SOURCE_PATH).alias("__ll_source"),
+            exact_value("__ll_json", SOURCE_PATH).alias("__ll_source"),
         )
         .filter(
             F.col("invoice_number").isNotNull()
@@ -70,7 +71,7 @@ def duplicate_line_invoices(
     As in the reference, an invoice counts once per line item, so one invoice with two
     line items is its own duplicate, and one without line items is not counted."""
     base = invoice_fields(documents, LINE_SINCE, as_of, LINE_SUBCATEGORIES)
-    lines = base.select(*KEY, F.explode(variant_array("__ll_json", LINE_ITEMS_PATH)).alias("__ll_li"))
+    lines = base.select(*KEY, F.explode(exact_array("__ll_json", LINE_ITEMS_PATH)).alias("__ll_li"))
     groups = duplicate_groups(lines.drop("__ll_li"), KEY, "number_of_dublicates")
     return groups.orderBy(F.col("number_of_dublicates").desc(), *KEY) if ordered else groups
 

@@ -177,8 +177,11 @@ SELECT event_id AS document_id, user_id AS companyid, ts AS createdat,
     ',"issueDate":"2024-01-0' || CAST(1 + event_id % 3 AS STRING) ||
     '","currency":"SGD"' || CASE WHEN event_id % 29 = 0 THEN ',"memo":"a","memo":"b"' ELSE '' END ||
     ',"subTotal":"' || CAST(event_id % 2 AS STRING) ||
-    '","amount":"' || CAST(event_id % 2 AS STRING) ||
-    '","externalDetails":{{"source":"' ||
+    '","amount":' || CASE event_id % 37 WHEN 0 THEN '1.50' WHEN 1 THEN '1.5' WHEN 2 THEN '1e2'
+      WHEN 3 THEN '100' WHEN 4 THEN '0.00' WHEN 5 THEN '-0.0'
+      WHEN 6 THEN '1234567890123456789012345678901234567890.10'
+      ELSE '"' || CAST(event_id % 2 AS STRING) || '"' END ||
+    ',"externalDetails":{{"source":"' ||
     CASE WHEN event_id % 5 = 0 THEN 'manual' ELSE 'bluesheets' END || '"}}' ||
     CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN ',"lineItems":[]'
       WHEN 2 THEN ',"lineItems":[{{"n":1}}]' ELSE ',"lineItems":[{{"n":1}},{{"n":2}}]' END ||

@@ -59,3 +59,67 @@ def test_tag_status_first_match_wins(spark):
     )
     got = [r[0] for r in df.select(tag_status("t")).collect()]
     assert got == ["mia", "paidStrikeOff", "ndStrikeOff", "mia", None, None]
+
+
+EXACT_CASES = [
+    ('{"a":1.50}', "1.50", "1.50"),
+    ('{"a" : 1.5 }', "1.5", "1.5"),
+    ('{"a":1e2}', "1e2", "1e2"),
+    ('{"a":-0.0}', "-0.0", "-0.0"),
+    ('{"a":1234567890123456789012345678901234567890.10}',) + ("1234567890123456789012345678901234567890.10",) * 2,
+    ('{"a":"1.50"}', "1.50", "1.50"),
+    ('{"a":"x 1, 2: 3 \\\\ \\" 4"}', 'x 1, 2: 3 \\ " 4', 'x 1, 2: 3 \\ " 4'),
+    ('{"a":"\\\\","b":1}', "\\", "\\"),
+    ('{"b":"\\"","a":7.0}', "7.0", "7.0"),
+    ('{"a":"\\u00e9\\n1"}', "é\n1", "é\n1"),
+    ('{"a":"[1.0]"}', "[1.0]", "[1.0]"),
+    ('{"a":{"b":[1.50,"2.0",3E+1]}}', None, '{"b":[1.50,"2.0",3E+1]}'),
+    ('{"a":[1.0,{"c":-2.00}]}', None, '[1.0,{"c":-2.00}]'),
+    ('{"a":1.0,"a":2.00}', "2.00", "2.00"),
+    ('{"a":true,"b":1}', "true", "true"),
+    ('{"a":null}', None, None),
+    ("{}", None, None),
+    ('{"a":01}', None, None),
+    ('{"a":+1}', None, None),
+    ('{"a":.5}', None, None),
+    ('{"a":1.}', None, None),
+    ('{"a":1e}', None, None),
+    ('{"a":1-2}', None, None),
+    ('{"a":"\x02"}', None, None),
+    ("{bad 1", None, None),
+    ("", None, None),
+    (None, None, None),
+    ('{"a":"' + '\\"' * 50_000 + '","b":[' + ",".join(['"x"', "1.0"] * 20_000) + "]}", '"' * 50_000, '"' * 50_000),
+]
+
+
+def test_exact_json_keeps_a_numbers_own_text(spark):
+    from ledgerline.functions.json import exact_text, exact_value, with_exact_json
+
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(EXACT_CASES)], "i int, t string")
+    rows = with_exact_json(df, "t", "p").select("i", exact_value("p", "$.a").alias("v"), exact_text("p", "a").alias("x")).collect()
+    for r in rows:
+        assert (r.v, r.x) == EXACT_CASES[r.i][1:], EXACT_CASES[r.i][0]
+    assert len(rows) == len(EXACT_CASES)
+
+
+def test_exact_json_nested_path_and_array(spark):
+    from ledgerline.functions.json import exact_array, exact_value, with_exact_json
+
+    df = spark.createDataFrame([('{"x":{"n":0.10},"l":[{"n":1.0},2.50,"s",[1e1]]}',)], "t string")
+    r = with_exact_json(df, "t", "p").select(
+        exact_value("p", "$.x.n").alias("n"), exact_array("p", "$.l").alias("l"), exact_array("p", "$.m").alias("m")
+    ).first()
+    assert (r.n, r.m) == ("0.10", None) and r.l == ['{"n":1.0}', "2.50", '"s"', "[1e1]"]
+
+
+def test_exact_json_agrees_with_the_parsed_values(spark):
+    """Away from numbers both readers give the same."""
+    from ledgerline.functions.json import exact_text, exact_value, with_exact_json
+
+    cases = [c for c, *_ in JSON_CASES if "1" not in (c or "")]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    for r in with_exact_json(df, "t", "p").select(
+        json_value("t", "$.a").alias("v"), exact_value("p", "$.a").alias("ev"), json_text("t", "a").alias("x"), exact_text("p", "a").alias("ex")
+    ).collect():
+        assert (r.v, r.x) == (r.ev, r.ex)
