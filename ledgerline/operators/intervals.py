@@ -143,6 +143,7 @@ def coverage(
     period_end: str = "finish_date",
     services: Sequence[str] | None = None,
     keep_unserved: bool = True,
+    longest: int | None = None,
 ) -> DataFrame:
     """Flag, per cell and per service the key has any period for, whether one single
     period covers the whole cell (K4): ``period.start <= cell.start AND cell.end <=
@@ -157,8 +158,9 @@ def coverage(
     ``periods`` are the disjoint periods of ``merge_intervals``, so at most one period of
     a key and service holds a cell's start, and the cell is covered iff that period
     reaches the cell's end.  The lookup is ``interval_join`` by year: no cell meets the
-    periods of other years, a period is expanded over its own years only, and a key with
+    periods of other years, a period has few rows however long it is, and a key with
     very many cells is spread over (key, service, year) buckets that AQE can split.
+    ``longest``: the days of the longest period, where known.
     """
     per = periods if services is None else periods.filter(F.col(service).isin(list(services)))
     served = per.select(key, service).distinct().withColumn("__ll_served", F.lit(True))
@@ -169,7 +171,7 @@ def coverage(
     )
     looked_up = interval_join(
         grid, spans, [key, service], ["__ll_k", "__ll_s"], cell_start, "__ll_from", "__ll_to",
-        how="left", unit="year",
+        how="left", unit="year", longest=longest,
     ).select(*[F.col(f"p.{c}") for c in grid.columns], F.col("i.__ll_to").alias("__ll_to"))
     covered = F.coalesce(F.col("__ll_to") >= F.col(cell_end), F.lit(False))
     return looked_up.withColumn(flag, F.when(F.col("__ll_served"), covered)).drop(

@@ -66,14 +66,36 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) ->
     )
 
 
-def bucket_sequence(start, end, unit: str) -> Column:
-    """Calendar buckets (``trunc`` to ``unit``) that the closed interval touches; NULL
-    for an empty or unbounded interval."""
-    s, e = to_col(start), to_col(end)
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    return F.when(
-        s <= e, F.sequence(F.trunc(s, unit), F.trunc(e, unit), step)
-    )
+# Buckets of interval_join: the smallest are 2 ** BASE_BITS[unit] days, each class above has
+# 2 ** CLASS_BITS times longer ones, and the largest class takes intervals of any length.
+BASE_BITS = {"year": 9, "quarter": 7, "month": 5}
+CLASS_BITS = 4
+DAY_BITS = 22  # of a day number: 10,000 years
+
+
+def _classes(unit: str) -> list[int]:
+    """The bucket sizes of a unit, as powers of two."""
+    return list(range(BASE_BITS[unit], DAY_BITS - 1, CLASS_BITS))
+
+
+def _day(col) -> Column:
+    return F.unix_date(to_col(col).cast("date"))
+
+
+def bucket_class(start, end, unit: str) -> Column:
+    """The class of a closed interval: the smallest whose buckets it touches at most
+    2 ** CLASS_BITS of.  NULL for an interval that is empty or lacks a bound."""
+    s, e = _day(start), _day(end)
+    *short, longest = _classes(unit)
+    found = F.lit(longest)
+    for bits in reversed(short):
+        found = F.when(F.shiftright(e, bits) - F.shiftright(s, bits) < 2**CLASS_BITS, F.lit(bits)).otherwise(found)
+    return F.when(to_col(start) <= to_col(end), found)
+
+
+def longest_days(intervals: DataFrame, start: str, end: str) -> int:
+    """Days of the longest interval: one small job, for intervals that are stored."""
+    return intervals.agg(F.max(_day(end) - _day(start) + 1)).first()[0] or 0
 
 
 def interval_join(
@@ -86,28 +108,61 @@ def interval_join(
     end: str,
     how: str = "left",
     unit: str = "year",
+    longest: int | None = None,
 ) -> DataFrame:
     """Join each point to the intervals of its key that contain it (J9):
     ``key = key AND point BETWEEN start AND end``.
 
     A join on the key alone would pair every point with every interval of its key
-    before the range test.  Here each interval is expanded into the calendar buckets it
-    touches (a year holds a financial year in two buckets), and the join key becomes
-    ``(key, bucket)``, so a point meets only the intervals of its own bucket.  Each match
-    still appears once, since a point falls in exactly one bucket.  Columns of
-    ``points`` are reachable as ``p.<name>``, those of ``intervals`` as ``i.<name>``.
-    ``how`` is ``inner`` or ``left``: intervals without a bound have no bucket, so a join
-    that must keep unmatched intervals would lose them.
+    before the range test.  Here the join key is ``(key, bucket)``, and a point meets only
+    the intervals of its own bucket.  Buckets come in a few sizes, each 16 times the one
+    before (``unit`` names the smallest: a year's is 512 days).  An interval is expanded at
+    the smallest size of which it touches 16 buckets at most, so one of a day has one row, one
+    of a year two, and one of 8,000 years 24.  A point is looked up once in the smallest
+    buckets, where usual intervals lie; the longer sizes up to the longest that any
+    interval needs (a scalar subquery) take one lookup each.  Each match still appears
+    once, since an interval has one size and a point falls in one bucket of it.  Where the
+    days of the ``longest`` interval are known (``longest_days`` of a stored table), the
+    lookups of sizes beyond it are not even planned.
+
+    The columns of ``points`` are the fields of a struct ``p``, those of ``intervals`` of a
+    struct ``i``: ``p.<name>`` and ``i.<name>``.  ``how`` is ``inner`` or ``left``: intervals
+    without a bound have no bucket, so a join that must keep unmatched intervals would lose them.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"interval_join is inner or left, not {how!r}")
-    p = points.withColumn("__ll_pb", F.trunc(F.col(point), unit)).alias("p")
-    i = (
-        intervals.withColumn("__ll_ib", F.explode(bucket_sequence(start, end, unit)))
-        .alias("i")
+    smallest, *longer = _classes(unit)
+    p = points.select(F.struct(*points.columns).alias("p"), _day(point).alias("__ll_day"))
+    size = bucket_class(start, end, unit)
+    i = intervals.select(F.struct(*intervals.columns).alias("i"), size.alias("__ll_size"), _day(start).alias("__ll_s"), _day(end).alias("__ll_e"))
+    spread = F.expr("explode(sequence(shiftright(__ll_s, __ll_size), shiftright(__ll_e, __ll_size)))")
+    usual = i.filter(F.col("__ll_size") == smallest).select("i", spread.alias("__ll_ib"))
+    rare = i.filter(F.col("__ll_size") > smallest).select("i", "__ll_size", spread.alias("__ll_ib"))
+
+    def matches(left: str) -> list[Column]:
+        keys = [F.col(f"{left}.{lk}") == F.col(f"i.{rk}") for lk, rk in zip(left_keys, right_keys)]
+        return [*keys, F.col(f"{left}.{point}").between(F.col(f"i.{start}"), F.col(f"i.{end}"))]
+
+    near = p.withColumn("__ll_pb", F.shiftright("__ll_day", smallest)).join(
+        usual, [*matches("p"), F.col("__ll_pb") == F.col("__ll_ib")], how
+    ).select("p", "i")
+    # an interval of n days touches at most n / size + 2 buckets
+    needed = [bits for bits in longer if longest is None or (longest >> (bits - CLASS_BITS)) + 2 > 2**CLASS_BITS]
+    if not needed:
+        return near
+    top = intervals.agg(F.max(size)).scalar() if longest is None else F.lit(needed[-1])
+    far = (
+        p.filter(top > smallest).select("p", "__ll_day", F.explode(F.array(*map(F.lit, needed))).alias("__ll_bits"))
+        .filter(F.col("__ll_bits") <= top)
+        .withColumn("__ll_pb", F.expr("shiftright(__ll_day, __ll_bits)"))
+        .join(rare, [*matches("p"), F.col("__ll_bits") == F.col("__ll_size"), F.col("__ll_pb") == F.col("__ll_ib")], "inner")
+        .select("p", "i")
     )
-    cond = [F.col(f"p.{lk}") == F.col(f"i.{rk}") for lk, rk in zip(left_keys, right_keys)]
-    cond.append(F.col("p.__ll_pb") == F.col("i.__ll_ib"))
-    cond.append(F.col(f"p.{point}").between(F.col(f"i.{start}"), F.col(f"i.{end}")))
-    joined = p.join(i, cond, how)
-    return joined.drop(F.col("p.__ll_pb")).drop(F.col("i.__ll_ib"))
+    if how == "inner":
+        return near.unionByName(far)
+    # a point without a usual interval but with a longer one is no unmatched point
+    names = [f"__ll_k{n}" for n in range(len(left_keys) + 1)]
+    reached = far.select(*[F.col(f"p.{c}").alias(n) for c, n in zip([*left_keys, point], names)]).distinct().withColumn("__ll_far", F.lit(True))
+    same = [F.col(f"p.{c}") == F.col(n) for c, n in zip([*left_keys, point], names)]
+    kept = near.join(reached, same, "left").filter(F.col("i").isNotNull() | F.col("__ll_far").isNull()).select("p", "i")
+    return kept.unionByName(far)

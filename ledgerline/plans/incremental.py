@@ -83,11 +83,12 @@ def chain_models(
     """The models of the chain; ``rejected_items`` are counted per company and service."""
     items = paid_periods.items_by_service(contracts, contract_items, sku_for_tickets)
     periods = materialize(paid_periods.paid_periods(items), "touched-periods")
+    days = paid_calendar.longest_period(periods)
     built = {
         "paid_periods": lambda: periods,
-        "paid_financial_years": lambda: paid_calendar.paid_years(financial_years, periods),
-        "paid_months": lambda: paid_calendar.paid_months(financial_years, periods),
-        "paid_quarters": lambda: paid_calendar.paid_quarters(financial_years, periods),
+        "paid_financial_years": lambda: paid_calendar.paid_years(financial_years, periods, longest=days),
+        "paid_months": lambda: paid_calendar.paid_months(financial_years, periods, longest=days),
+        "paid_quarters": lambda: paid_calendar.paid_quarters(financial_years, periods, longest=days),
         "rejected_items": lambda: rejected_intervals(items, [KEY, SERVICE], "start_date", "finish_date"),
     }
     return {name: built[name]() for name in models}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import link
-from ledgerline.operators.joins import interval_join
+from ledgerline.operators.joins import interval_join, longest_days
 
 # SKUs that are not subscriptions, and the ticket filters.
 EXCLUDED_SKUS = ["SG-AC-OTHR", "0008-AT-FCC month", "0008-AT-FCC year", "0009-PH-Y"]
@@ -91,7 +91,7 @@ def subscription_ticket_match(
         .withColumnRenamed("start_date", "fy_start")
         .withColumnRenamed("end_date", "fy_end"),
         ["company_id"], ["fy_company_id"], "finish_date", "fy_start", "fy_end",
-        how="left", unit="year",
+        how="left", unit="year", longest=longest_days(years, "start_date", "end_date"),
     ).select(
         F.col("p.company_id").alias("company_id"),
         F.col("p.start_date").alias("subscription_start"),

@@ -129,3 +129,66 @@ def test_interval_join_refuses_what_it_cannot_keep(spark):
     df = spark.createDataFrame([(1, None, None)], "k int, s date, e date")
     with pytest.raises(ValueError):
         interval_join(df, df, ["k"], ["k"], "s", "s", "e", how="right")
+
+
+def mixed_lengths(spark, n=150):
+    """Intervals of a day, a year, decades and 8,000 years; points from year 1 to 9999."""
+    rng = random.Random(11)
+    first, last = dt.date(1, 1, 1), dt.date(9999, 12, 31)
+
+    def day(mid, spread):
+        return dt.date.fromordinal(min(last.toordinal(), max(1, mid.toordinal() + rng.randint(-spread, spread))))
+
+    mid = dt.date(2020, 1, 1)
+    pts = [(i, rng.choice([1, 1, 1, 2, 3, None]), rng.choice([day(mid, 400), day(mid, 20_000), dt.date(rng.randint(1, 9999), 5, 5), None])) for i in range(n)]
+    ivs = []
+    for j in range(n):
+        s = rng.choice([day(mid, 400), day(mid, 20_000), first, None])
+        e = rng.choice([s, s and day(s, 800), s and day(s, 30_000), last, None])
+        ivs.append((j, rng.choice([1, 1, 2, 3, 4, None]), s, e))
+    return pts, ivs
+
+
+def brute_interval_join(pts, ivs, how):
+    out = []
+    for pid, k, d in pts:
+        hits = [iid for iid, ik, s, e in ivs if None not in (k, d, s, e) and ik == k and s <= d <= e]
+        out += [(pid, h) for h in hits] or ([(pid, None)] if how == "left" else [])
+    return sorted(out, key=repr)
+
+
+def test_interval_join_of_days_and_millennia(spark):
+    pts, ivs = mixed_lengths(spark)
+    p, i = spark.createDataFrame(pts, "pid int, k int, d date"), spark.createDataFrame(ivs, "iid int, ik int, s date, e date")
+    for how in ("left", "inner"):
+        for unit in ("year", "month"):
+            got = interval_join(p, i, ["k"], ["ik"], "d", "s", "e", how, unit).select("p.pid", "i.iid").collect()
+            assert sorted([tuple(r) for r in got], key=repr) == brute_interval_join(pts, ivs, how), (how, unit)
+
+
+def test_interval_rows_stay_few_whatever_the_length(spark):
+    from ledgerline.operators.joins import bucket_class
+
+    days = [(dt.date(2000, 1, 1), dt.date(2000, 1, 1)), (dt.date(2000, 1, 1), dt.date(2000, 12, 31)), (dt.date(1990, 1, 1), dt.date(2020, 1, 1)),
+            (dt.date(1, 1, 1), dt.date(9999, 12, 31)), (dt.date(2000, 1, 1), dt.date(9999, 12, 31))]
+    for unit in ("year", "quarter", "month"):
+        found = spark.createDataFrame(days, "s date, e date").withColumn("bits", bucket_class("s", "e", unit)).withColumn(
+            "rows", F.expr("shiftright(unix_date(e), bits) - shiftright(unix_date(s), bits) + 1")
+        ).collect()
+        assert all(r.rows <= 30 for r in found), unit
+        assert found[0].rows == 1
+
+
+def test_interval_join_without_long_intervals_looks_points_up_once(spark):
+    """The lookups of longer sizes are made only when some interval needs them."""
+    pts = [(i, 1, dt.date(2020, 1, 1) + dt.timedelta(days=i)) for i in range(500)]
+    ivs = [(j, 1, dt.date(2020, 1, 1) + dt.timedelta(days=30 * j), dt.date(2020, 1, 20) + dt.timedelta(days=30 * j)) for j in range(12)]
+    p, i = spark.createDataFrame(pts, "pid int, k int, d date"), spark.createDataFrame(ivs, "iid int, ik int, s date, e date")
+    got = interval_join(p, i, ["k"], ["ik"], "d", "s", "e").select("p.pid", "i.iid").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute_interval_join(pts, ivs, "left")
+    long = i.unionByName(spark.createDataFrame([(99, 1, dt.date(1900, 1, 1), dt.date(2021, 1, 1))], i.schema))
+    got = interval_join(p, long, ["k"], ["ik"], "d", "s", "e").select("p.pid", "i.iid").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute_interval_join(pts, [*ivs, (99, 1, dt.date(1900, 1, 1), dt.date(2021, 1, 1))], "left")
+    empty = spark.createDataFrame([], i.schema)
+    assert interval_join(p, empty, ["k"], ["ik"], "d", "s", "e").filter("i is null").count() == 500
+    assert interval_join(p, empty, ["k"], ["ik"], "d", "s", "e", "inner").count() == 0
