@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.json import exact_array, exact_value, json_text, with_exact_json
 from ledgerline.functions.keys import surrogate_key
 from ledgerline.operators.intervals import open_counts, rejected_intervals
-from ledgerline.operators.joins import anti_join, interval_join, not_in, semi_join
+from ledgerline.operators.joins import anti_join, interval_join, not_in, not_in_rows, semi_join
 from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
 from ledgerline.operators.quality import with_key_count
 from ledgerline.operators.sets import union_all, union_distinct
@@ -450,6 +450,27 @@ def q_not_in(spark, d, overrides=None):
     return not_in(wl, direct, "company_key", "company_key")
 
 
+@query("not_in_rows")
+def q_not_in_rows(spark, d, overrides=None):
+    """Orders whose (company, status, priority) is none of the companies' own three, each
+    with gaps, by row-value NOT IN."""
+    fx = _fx(spark, d, overrides)
+    key = F.col("o_orderkey")
+    asked = fx["orders"].select(
+        "o_orderkey",
+        F.when(key % 11 > 0, F.col("o_custkey")).alias("company_id"),
+        F.when(key % 13 > 0, F.col("o_orderstatus")).alias("status"),
+        F.when(key % 17 > 0, F.col("o_orderpriority")).alias("priority"),
+    )
+    company = F.col("c_custkey")
+    listed = fx["customer"].filter(company % 4 == 1).select(
+        F.when(company % 700 != 1, company).alias("x"),
+        F.when(company % 5 > 0, F.when(company % 3 == 0, F.lit("F")).otherwise(F.lit("O"))).alias("y"),
+        F.when(company % 7 > 0, F.lit("1-URGENT")).alias("z"),
+    )
+    return not_in_rows(asked, listed, ["company_id", "status", "priority"], ["x", "y", "z"])
+
+
 @query("anti_join")
 def q_anti_join(spark, d, overrides=None):
     fx = _fx(spark, d, overrides)

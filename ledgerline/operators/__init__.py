@@ -10,7 +10,9 @@ from ledgerline.operators.intervals import (
 from ledgerline.operators.joins import (
     anti_join,
     interval_join,
+    longest_days,
     not_in,
+    not_in_rows,
     semi_join,
     with_match_flag,
 )
@@ -33,8 +35,10 @@ __all__ = [
     "interval_join",
     "latest_by",
     "latest_rows",
+    "longest_days",
     "merge_intervals",
     "not_in",
+    "not_in_rows",
     "open_counts",
     "period_grid",
     "rejected_intervals",

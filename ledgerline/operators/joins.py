@@ -35,6 +35,54 @@ def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
+def not_in_rows(
+    left: DataFrame, right: DataFrame, left_cols: Sequence[str], right_cols: Sequence[str]
+) -> DataFrame:
+    """``WHERE (a, b, ...) NOT IN (SELECT x, y, ... FROM right)`` with SQL's NULL rules.
+
+    A comparison of two rows is false only if some column differs with both values known.
+    So a left row stays if it differs like that from *every* right row: it goes if it agrees
+    with one wherever both have a value, and an all-NULL row agrees with everything.
+
+    Right rows are told apart by their pattern of known columns.  For each pattern there is
+    one anti-join on those columns, with NULL for the columns that the left row lacks:
+    the distinct right rows are repeated once for each set of known columns that a left row
+    can share with the pattern.  A left row that shares no known column with some pattern
+    goes whatever its values; which patterns there are is one scalar subquery.  Patterns
+    without rows cost nothing at run time: AQE drops their joins.  At most six columns.
+    """
+    n = len(left_cols)
+    if not 1 <= n == len(right_cols) <= 6:
+        raise ValueError("not_in_rows compares one to six columns of each side")
+    values = [f"__ll_v{i}" for i in range(n)]
+
+    def known(cols: Sequence[Column]) -> Column:
+        bits = [F.when(c.isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols)]
+        return sum(bits[1:], bits[0])
+
+    keys = right.select(*[F.col(c).alias(v) for c, v in zip(right_cols, values)]).distinct()
+    keys = keys.withColumn("__ll_known", known([F.col(v) for v in values]))
+    present = keys.agg(F.coalesce(F.bit_or(F.expr("shiftleft(1L, __ll_known)")), F.lit(0).cast("long"))).scalar()
+    out = left.withColumn("__ll_known", known([F.col(c) for c in left_cols]))
+    shares_none = F.lit(False)
+    for pattern in range(2**n):
+        is_there = present.bitwiseAND(F.lit(1 << pattern).cast("long")) != 0
+        shares_none = shares_none | (is_there & (F.col("__ll_known").bitwiseAND(F.lit(pattern)) == 0))
+    out = out.filter(~shares_none)
+    for pattern in range(1, 2**n):
+        of = [i for i in range(n) if pattern >> i & 1]
+        subsets = [m for m in range(1, 2**n) if m & ~pattern == 0]
+        some = keys.filter(F.col("__ll_known") == pattern).withColumn("__ll_shared", F.explode(F.array(*map(F.lit, subsets))))
+        some = some.select(
+            "__ll_shared",
+            *[F.when(F.col("__ll_shared").bitwiseAND(F.lit(1 << i)) != 0, F.col(values[i])).alias(values[i]) for i in of],
+        ).distinct()
+        same = [F.col("__ll_known").bitwiseAND(F.lit(pattern)) == F.col("__ll_shared")]
+        same += [F.col(left_cols[i]).eqNullSafe(F.col(values[i])) for i in of]
+        out = out.join(some, same, "left_anti")
+    return out.drop("__ll_known")
+
+
 def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) -> DataFrame:
     """``WHERE left_col NOT IN (SELECT right_col FROM right)`` with SQL's NULL rules.
 

@@ -1,7 +1,7 @@
 """Latest row per key.
 
-All three are a ``row_number``/``rank`` filter over a window.  Spark plans a filter
-``rank <= 1`` as a partial ``WindowGroupLimit`` *before* the shuffle, so every map task
+``latest_by`` and ``distinct_on`` are a ``row_number`` filter over a window.  Spark plans a
+filter ``row_number <= 1`` as a partial ``WindowGroupLimit`` *before* the shuffle, so every map task
 forwards at most its local winner(s) per key: a key holding a third of all rows costs one
 row per map task in the exchange, not a third of the data in one reducer.
 """
@@ -62,19 +62,19 @@ def latest_rows(
     max_alias: str | None = None,
 ) -> DataFrame:
     """Every distinct ``values`` combination found at the key's greatest ``order_col``,
-    ties kept (the max + self-join + DISTINCT pattern, J12) in one shuffle.
+    ties kept (the max + self-join + DISTINCT pattern, J12).
 
-    The input is first reduced to its distinct ``(keys, values, order)`` rows (a partial
-    aggregate, so hot keys shrink map-side), then ``rank() = 1`` keeps the maximum.
-    Rows with a NULL order never equal the maximum and are dropped.
+    Two phases: the maximum per key is combined map-side, then the rows that reach it are
+    joined back and made distinct.  No task needs the rows of a key together, so a key of
+    which a third of all rows are tied is split like any skewed join, and the distinct spreads
+    its rows by all columns.  Rows with a NULL order never equal the maximum and are dropped;
+    a NULL key is a key.
     """
-    slim = (
-        df.filter(F.col(order_col).isNotNull())
-        .select(*keys, *values, order_col)
-        .distinct()
-    )
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    out = slim.withColumn(_RN, F.rank().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+    rows = df.filter(F.col(order_col).isNotNull()).select(*keys, *values, order_col)
+    names = [f"__ll_k{i}" for i in range(len(keys))]
+    top = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.max(order_col).alias("__ll_top"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    out = rows.join(top, [*same, F.col(order_col) == F.col("__ll_top")], "left_semi").distinct()
     if max_alias:
         out = out.withColumnRenamed(order_col, max_alias)
     return out

@@ -192,3 +192,58 @@ def test_interval_join_without_long_intervals_looks_points_up_once(spark):
     empty = spark.createDataFrame([], i.schema)
     assert interval_join(p, empty, ["k"], ["ik"], "d", "s", "e").filter("i is null").count() == 500
     assert interval_join(p, empty, ["k"], ["ik"], "d", "s", "e", "inner").count() == 0
+
+
+def test_not_in_rows_on_all_null_patterns(spark):
+    """Three columns, every pattern of NULLs on both sides, against the definition."""
+    from itertools import product
+
+    from ledgerline.operators.joins import not_in_rows
+
+    left = [(i, *r) for i, r in enumerate(product([None, 1, 2], repeat=3))]
+    l = spark.createDataFrame(left, "id int, a int, b int, c int")
+    known = [(1, 1, 1), (2, 2, 1), (1, 2, 2)]
+    for pattern in range(8):
+        gaps = tuple(v if pattern >> k & 1 else None for k, v in enumerate((2, 1, 2)))
+        for right in ([gaps], [*known, gaps], [gaps, gaps, (None, 1, 1)]):
+            r = spark.createDataFrame(right, "x int, y int, z int")
+            got = sorted(t.id for t in not_in_rows(l, r, ["a", "b", "c"], ["x", "y", "z"]).collect())
+            want = [i for i, *row in left if all(any(None not in (u, v) and u != v for u, v in zip(row, other)) for other in right)]
+            assert got == want, (pattern, right)
+    none = spark.createDataFrame([], "x int, y int, z int")
+    assert not_in_rows(l, none, ["a", "b", "c"], ["x", "y", "z"]).count() == 27
+
+
+def test_not_in_rows_of_one_column_is_not_in(spark):
+    from ledgerline.operators.joins import not_in_rows
+
+    l = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    for right in ([], [(1,)], [(1,), (None,)], [(None,)]):
+        r = spark.createDataFrame(right, "x int")
+        assert rows(not_in_rows(l, r, ["a"], ["x"]), "a") == rows(not_in(l, r, "a", "x"), "a"), right
+    plan = not_in_rows(l, r, ["a"], ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_latest_rows_with_a_third_of_all_rows_tied_on_one_key(spark):
+    """No window; the tied rows of the hot key come from many tasks."""
+    n = 60_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5).alias("t"), F.col("id").alias("v"),
+    )
+    out = latest_rows(df, ["k"], "t", ["v"], "top")
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.filter("k = 0").count() == n // 3 and out.count() == n
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the data are small
+    try:
+        parts = latest_rows(df, ["k"], "t", ["v"]).filter("k = 0").select(F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [sum(r.p == p for r in parts) for p in {r.p for r in parts}]
+    assert len(sizes) == 8 and max(sizes) < 2 * n / 3 / 8
+
+
+def test_latest_rows_of_null_keys_and_orders(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (None, 2, "b"), (None, 2, "c"), (1, None, "d"), (2, 5, None), (2, 5, "e")], "k int, t int, v string")
+    assert rows(latest_rows(df, ["k"], "t", ["v"]), "k", "t", "v") == sorted([(None, 2, "b"), (None, 2, "c"), (2, 5, None), (2, 5, "e")], key=repr)
