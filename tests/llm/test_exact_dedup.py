@@ -71,3 +71,52 @@ def test_the_index_is_not_broadcast_or_shuffled_for_the_next_batch(spark, index,
     assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Broadcast" not in plan
     index_side = plan[plan.index("Exchange"):] if "Exchange" in plan else plan
     assert index_side.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
+def decisions(df):
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in df.collect()), key=repr)
+
+
+def test_a_batch_that_failed_after_the_append_is_run_again(spark, index, make_docs, monkeypatch):
+    index.add(make_docs([(1, "old")]), batch="first").collect()
+    docs = make_docs([(5, "new"), (4, "new"), (6, "old"), (7, None)])
+    append = DigestIndex._append
+
+    def dies(self, new):
+        append(self, new)
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(DigestIndex, "_append", dies)
+        with pytest.raises(RuntimeError, match="died"):
+            index.add(docs, batch="second")
+    got = decisions(index.add(docs.repartition(3), batch="second"))
+    assert [(i, k, kept) for i, k, _, kept, _ in got] == [(4, 4, True), (5, 4, False), (6, 1, False), (7, 7, True)]
+    assert got == decisions(index.add(docs, batch="second")) and index.read().count() == 3
+    assert not any(r[3] for r in decisions(index.add(docs, batch="third")))
+
+
+def test_half_an_append_is_completed(spark, index, make_docs, monkeypatch):
+    docs = make_docs([(i, f"t{i}") for i in range(40)])
+    append = DigestIndex._append
+    with monkeypatch.context() as m:
+        m.setattr(DigestIndex, "_append", lambda self, new: append(self, new.filter("keep_id % 2 = 0")))
+        index.add(docs, batch="b").collect()
+    assert index.read().count() == 20
+    assert all(r[3] for r in decisions(index.add(docs, batch="b"))) and index.read().count() == 40
+
+
+def test_indexes_at_like_paths_are_apart(spark, make_docs):
+    base = work_dir(spark, "like-paths")
+    tail = "a-very-long-common-tail-of-both-of-the-paths-that-goes-on-and-on"
+    for one, other in ((f"{base}/x-y", f"{base}/x_y"), (f"{base}/p/{tail}", f"{base}/q/{tail}")):
+        a, b = DigestIndex(spark, one, 4), DigestIndex(spark, other, 4)
+        a.add(make_docs([(1, "x"), (2, "y")])).collect()
+        assert b.read().count() == 0 and [r[3] for r in decisions(b.add(make_docs([(9, "x")])))] == [True]
+        assert a.read().count() == 2
+
+
+def test_an_index_is_not_reopened_with_another_number_of_buckets(spark, index):
+    with pytest.raises(ValueError, match="4 buckets"):
+        DigestIndex(spark, index.path, 8)
+    assert DigestIndex(spark, index.path).buckets == 4
