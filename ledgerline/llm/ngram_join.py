@@ -207,7 +207,8 @@ def full_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
             arrays = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([class_of(x) for x in sets], pa.binary()), arrays], names=["class", "shingles"])
 
-    texts = docs.join(chosen.select("key"), "key", "left_semi").select("text")
+    # never a broadcast: the chosen keys grow with the documents
+    texts = docs.join(chosen.select("key").hint("merge"), "key", "left_semi").select("text")
     return small_batches(texts).mapInArrow(run, "class binary, shingles array<long>").dropDuplicates(["class"])
 
 
