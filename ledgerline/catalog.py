@@ -407,7 +407,7 @@ def q_documents(spark, d, overrides=None):
 # Lookups of one company or document, as the reference's analysts run them.
 @query("subscriptions_of_company")
 def q_subscriptions_of_company(spark, d, overrides=None):
-    return _stm(spark, d, overrides).filter(F.col("company_id") == LOOKUP_COMPANY)
+    return _stm(spark, d, overrides, company_id=LOOKUP_COMPANY)
 
 
 @query("one_document")

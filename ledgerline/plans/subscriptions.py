@@ -85,6 +85,8 @@ def subscription_ticket_match(
     if company_id is not None:
         subs = subs.filter(F.col("company_id") == company_id)
     years = financial_years.select("fy_id", "company_id", "start_date", "end_date")
+    if company_id is not None:
+        years = years.filter(F.col("company_id") == company_id)
     matched = interval_join(
         subs.select("company_id", "start_date", "finish_date", "name"),
         years.withColumnRenamed("company_id", "fy_company_id")
@@ -114,9 +116,14 @@ def subscription_ticket_match(
         "ticket_id", F.col("name").alias("ticket_name"), "contract_id", "financial_year_id",
         "period_start_at", "period_end_at",
     )
+    of_year = F.col("fy_id") == F.col("financial_year_id")
+    if missing_only:  # no ticket is joined only to be filtered out again
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in tix.schema.fields]
+        with_tickets = matched.join(tix, of_year, "left_anti").select("*", *nothing)
+    else:
+        with_tickets = matched.join(tix, of_year, "left")
     out = (
-        matched.join(comp, "company_id", "left")
-        .join(tix, F.col("fy_id") == F.col("financial_year_id"), "left")
+        with_tickets.join(comp, "company_id", "left")
         .select(
             "company_id",
             link(link_prefix, "company_id").alias("link"),
@@ -133,8 +140,6 @@ def subscription_ticket_match(
     )
     if end_mismatch_only:
         out = out.filter(~F.col("is_end_matched"))
-    if missing_only:
-        out = out.filter(F.col("ticket_id").isNull())
     if ended_before is not None:
         out = out.filter(F.lit(ended_before) > F.col("subscription_end"))
     return out

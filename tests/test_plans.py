@@ -72,3 +72,12 @@ def test_anti_joins_are_planned_as_anti(spark, name):
 
 def test_semi_join_is_planned_as_semi(spark):
     assert "LeftSemi" in plan(spark, "semi_join")
+
+
+def test_missing_tickets_are_an_anti_join(spark):
+    text = plan(spark, "subscriptions_missing_ticket")
+    assert "LeftAnti" in text
+
+
+def test_a_companys_subscriptions_are_filtered_at_the_scan(spark):
+    assert "EqualTo(o_custkey,52)" in plan(spark, "subscriptions_of_company")
