@@ -49,7 +49,7 @@ from ledgerline.sources.tables import Tables
 SIZE = 5  # words of a shingle
 PERCENT = 80
 EXTRA = 0.1  # l, as a share of n
-FLUSH = 1 << 20  # postings packed together
+FLUSH = 1 << 19  # postings packed together
 BUCKET_BYTES = 16 << 20  # text whose postings make up a bucket
 CHUNK = 250_000  # shingles of a chunk, and of a task of small blocks
 MU = 0.01  # of DivideSkip: how much cheaper a probe is than a step of the merge
