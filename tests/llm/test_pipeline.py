@@ -7,7 +7,7 @@ from tests.conftest import SF_CHECK
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
