@@ -24,6 +24,7 @@ from ledgerline.operators.intervals import open_counts, rejected_intervals
 from ledgerline.operators.joins import anti_join, interval_join, not_in, not_in_rows, semi_join
 from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
 from ledgerline.operators.quality import with_key_count
+from ledgerline.operators.scan import neighbours, running_sum
 from ledgerline.operators.sets import union_all, union_distinct
 from ledgerline.plans import (
     client_base,
@@ -533,6 +534,21 @@ def q_lead_lag(spark, d, overrides=None):
     )
 
 
+@query("running_total")
+def q_running_total(spark, d, overrides=None):
+    """Running total of all events' values in cents: the table is one key."""
+    events = _fx(spark, d, overrides)["events"]
+    cents = events.select("event_id", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return running_sum(cents, [], ["ts", "event_id"], "cents", "total_cents")
+
+
+@query("event_neighbours")
+def q_event_neighbours(spark, d, overrides=None):
+    """The events before and after each event of the same type, a few keys for all rows."""
+    events = _fx(spark, d, overrides)["events"].select("event_id", "event_type", "ts")
+    return neighbours(events, ["event_type"], ["ts", "event_id"], "event_id", "event_before", "event_after")
+
+
 @query("window_count")
 def q_window_count(spark, d, overrides=None):
     """Every snapshot row with the number of rows sharing its scd id."""

@@ -23,6 +23,7 @@ from ledgerline.operators.quality import (
     duplicate_rows,
     with_key_count,
 )
+from ledgerline.operators.scan import neighbours, running_sum
 from ledgerline.operators.sets import repeat_rows, union_all, union_distinct
 
 __all__ = [
@@ -37,12 +38,14 @@ __all__ = [
     "latest_rows",
     "longest_days",
     "merge_intervals",
+    "neighbours",
     "not_in",
     "not_in_rows",
     "open_counts",
     "period_grid",
     "rejected_intervals",
     "repeat_rows",
+    "running_sum",
     "semi_join",
     "union_all",
     "union_distinct",
