@@ -171,3 +171,133 @@ def test_a_label_without_any_text_is_an_error(spark, make_docs):
     with pytest.raises(ValueError, match="no text to fit on"):
         toxicity.learn(docs, labels)
     toxicity.learn(make_docs([]), labels)
+
+
+def quality_corpus(n=90):
+    rng = np.random.default_rng(8)
+    rating = rng.integers(0, 3, n)
+    texts = [" ".join(rng.choice(["a", "b", "!!", ["bad", "ok", "Fine"][g]], rng.integers(5, 25))) for g in rating.tolist()]
+    return texts, rating, rng.uniform(0.5, 2.0, n)
+
+
+def test_ordinal_fit_reaches_a_minimum_found_without_its_gradient():
+    """The cumulative-link loss is written out from its definition: at the fit its numerical
+    slope is about nothing, and no step along any parameter lowers it by much."""
+    texts, rating, weight = quality_corpus()
+    groups = list(quality.texts_with_capitals(pa.array(texts)))
+    model = quality.fit(groups, rating, weight, rounds=600)
+    x = np.zeros((len(texts), 1 << quality.BITS))
+    at = 0
+    for n, words, raw in groups:
+        rows, length = quality.features(words, raw)
+        size = np.diff(words.first)
+        for d in range(n):
+            x[at + d, length[d]] += 1
+            for row in rows:
+                np.add.at(x[at + d], row[words.first[d] : words.first[d + 1]], 1 / size[d])
+        at += n
+    used = np.flatnonzero(x.any(0))
+    x = x[:, used]
+
+    def loss(w, thresholds):
+        """Minus the log-likelihood, and the penalty of the fit's own parameters."""
+        cut = 1 / (1 + np.exp(-(np.asarray(thresholds)[None] - (x @ w)[:, None])))
+        edges = np.concatenate([np.zeros((len(x), 1)), cut, np.ones((len(x), 1))], axis=1)
+        chance = edges[np.arange(len(x)), rating + 1] - edges[np.arange(len(x)), rating]
+        return -(weight * np.log(chance)).sum() + 0.5 * 1e-2 * (w**2).sum()
+
+    w, thresholds = model.weights[used], model.thresholds
+    here = loss(w, thresholds)
+    assert here < 0.5 * loss(np.zeros_like(w), thresholds)
+    for k in range(len(w) + 2):
+        def moved(by, k=k):
+            return loss(w + by * (np.arange(len(w)) == k), thresholds) if k < len(w) else loss(w, thresholds + by * (np.arange(2) == k - len(w)))
+
+        slope = (moved(1e-4) - moved(-1e-4)) / 2e-4  # numerical
+        assert abs(slope) < 0.02 * weight.sum(), (k, slope)
+        assert min(moved(0.3), moved(-0.3)) > here - 0.01 * here
+
+
+def test_chances_are_those_of_the_definition():
+    texts, rating, weight = quality_corpus(40)
+    groups = list(quality.texts_with_capitals(pa.array(texts)))
+    model = quality.fit(groups, rating, weight, rounds=50)
+    for n, words, raw in groups:
+        position = model.position(words, raw)
+        got = model.chances(position)
+        want = [[1 - 1 / (1 + np.exp(-(t - p))) for t in model.thresholds] for p in position]
+        assert np.allclose(got, want)
+
+
+# ------------------------------------------------------------------ toxicity, by hand
+def small_field(texts, hot):
+    """A field whose features are the words ``hot`` with given weights."""
+    [(n, words)] = list(words_of(pa.array(texts), ALNUM))
+    [(_, marks)] = list(words_of(pa.array([" ".join(hot)]), ALNUM))
+    field = toxicity.Field(marks.hashes, np.array(list(hot.values()), float), -2.0, np.array([[0.3, -0.4], [-0.2, 0.9]]))
+    return words, field
+
+
+def test_tags_scores_and_spans_against_all_tag_sequences():
+    texts = ["vile gromp here\nfine line", "é gromp", "", "clean words only", "gromp vile gromp"]
+    hot = {"gromp": 3.0, "vile": 1.2}
+    words, field = small_field(texts, hot)
+    model = toxicity.Model(field, np.array([-3.0, 1.0, 4.0, 0.5]))
+    tagged = model.tag(words)
+    got, at = [], 0
+    for text in texts:
+        found, spans, end = [], [], 0
+        for line in text.split("\n"):
+            tokens = line.split()
+            alone = np.array([np.exp(hot.get(t, 0.0) - 2.0) for t in tokens])
+            total, ones = 0.0, np.zeros(len(tokens))
+            for code in range(2 ** len(tokens)):
+                tags = [code >> k & 1 for k in range(len(tokens))]
+                p = np.prod([a for a, t in zip(alone, tags) if t]) * np.exp(sum(field.move[a, b] for a, b in zip(tags, tags[1:])))
+                total += p
+                ones += p * np.array(tags)
+            found += (ones / total).tolist() if tokens else []
+        assert np.allclose(tagged[at : at + len(found)], found)
+        for k, t in enumerate(text.split()):
+            start = text.index(t, end)
+            if found[k] >= toxicity.SPAN:
+                if spans and k and found[k - 1] >= toxicity.SPAN:
+                    spans[-1] = start + len(t)
+                else:
+                    spans += [start, start + len(t)]
+            end = start + len(t)
+        counted = [p for p in found if p >= toxicity.FLOOR]
+        logit = -3.0 + np.log1p(sum(counted)) + 4.0 * max(counted, default=0.0) + 0.5 * np.sqrt(sum(counted))
+        got.append((1 / (1 + np.exp(-logit)), spans))
+        at += len(found)
+    assert np.allclose(model.score(words, tagged), [s for s, _ in got])
+    assert toxicity._spans(words, tagged) == [s for _, s in got]
+
+
+def test_a_toxic_word_with_one_neighbour_and_long_clean_texts(spark, make_docs):
+    """The word always follows the same word; a clean text's length never makes it toxic."""
+    texts = [f"w{i % 37} x{i % 31} {'so gromp' if i % 5 == 0 else 'so fine'} y{i % 29} z{i}" for i in range(600)]
+    docs = make_docs([*enumerate(texts), (5000, " ".join(f"w{i % 37} x{i % 31} so fine" for i in range(50_000))), (5001, "so gromp")])
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    rows = {r.doc.doc_id: r for r in toxicity.score(docs, toxicity.learn(docs, labels), keep=["doc_id", "text"]).collect()}
+    assert rows[5000].score < 0.3 and not rows[5000].spans
+    assert rows[5001].score >= 0.3 and rows[5001].doc.text[rows[5001].spans[0] : rows[5001].spans[1]].endswith("gromp")
+
+
+def test_labels_without_any_telling_word_score_their_share(spark, make_docs):
+    docs = make_docs([(i, f"same words in every text {i % 7}") for i in range(200)])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    scores = {round(r.score, 6) for r in toxicity.score(docs, model).collect()}
+    fitted = [i % 4 == 0 for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert scores == {round(sum(fitted) / len(fitted), 6)}
+    assert toxicity.drop_toxic(docs, labels).count() == 200
+
+
+def test_very_long_texts_and_repeated_ids_are_fitted_on_once(spark, make_docs):
+    long = "gromp " * 60_000  # over MAX_DOCUMENT bytes
+    docs = make_docs([(0, long), *[(1, "fine words")] * 50, (4, "more fine words")])
+    labels = spark.createDataFrame([(0, 1), (1, 0), (4, 0)], "doc_id long, toxic int")
+    sample, size = samples.labelled_sample(docs, labels, "toxic", {0: 10, 1: 10})
+    assert sorted(sample["label"].to_pylist()) == sorted(int(i == 0) for i in (0, 1, 4) if zlib.crc32(str(i).encode()) % 4 != 2)
+    assert max(len(t) for t in sample["text"].to_pylist()) <= samples.MAX_DOCUMENT // 4
