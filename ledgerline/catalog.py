@@ -37,7 +37,7 @@ from ledgerline.plans import (
 )
 from ledgerline.session import checkpoint_dir
 from ledgerline.sources.fixtures import Fixtures
-from ledgerline.sources.tables import Tables, materialize
+from ledgerline.sources.tables import Tables, materialize, save
 from ledgerline.sources.versions import Store
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,14 @@ def q_merge_intervals(spark, d, overrides=None):
     return _periods(_fx(spark, d, overrides))
 
 
+@query("paid_periods_of_company")
+def q_paid_periods_of_company(spark, d, overrides=None):
+    """A lookup in the stored periods, which are clustered by company."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lookups/{uuid.uuid4().hex[:12]}"
+    stored = save(_periods(_fx(spark, d, overrides)), path, cluster_by=["company_id"])
+    return stored.filter(F.col("company_id") == LOOKUP_COMPANY)
+
+
 @query("incremental_paid_periods")
 def q_incremental_paid_periods(spark, d, overrides=None):
     """The stored paid periods after a refresh.  The chain is first built from the inputs as

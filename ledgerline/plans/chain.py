@@ -7,7 +7,8 @@ periods first, then builds the three downstream models from the *stored* table,
 their plans start from a Parquet scan instead of re-running the merge.  A lost executor
 then costs a retried task of the current write, never a recomputation of the whole
 chain.  Outputs are partitioned by service, so readers filtering on a service prune
-files.
+files, and clustered by company within, so a lookup of one company passes over nearly all
+row groups.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from ledgerline.plans import paid_calendar, paid_periods
 from ledgerline.sources.tables import save, saved_folder
 
 SERVICE = "process_definition_key"
+COMPANY = "company_id"
 
 
 def run_paid_chain(
@@ -44,14 +46,14 @@ def run_paid_chain(
     items = paid_periods.items_by_service(contracts, contract_items, sku_for_tickets)
     rejected = rejected_intervals(items, [SERVICE], "start_date", "finish_date")
     save(rejected, paths["rejected_intervals"])
-    stored = save(paid_periods.paid_periods(items), paths["paid_periods"], [SERVICE])
+    stored = save(paid_periods.paid_periods(items), paths["paid_periods"], [SERVICE], [COMPANY])
     days = paid_calendar.longest_period(stored)
     for name, model in (
         ("paid_financial_years", paid_calendar.paid_years),
         ("paid_months", paid_calendar.paid_months),
         ("paid_quarters", paid_calendar.paid_quarters),
     ):
-        save(model(financial_years, stored, longest=days), paths[name], [SERVICE])
+        save(model(financial_years, stored, longest=days), paths[name], [SERVICE], [COMPANY])
     return {name: saved_folder(items.sparkSession, path) for name, path in paths.items()}
 
 

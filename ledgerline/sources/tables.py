@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,17 +48,20 @@ def input_bytes(spark: SparkSession, base: str) -> int:
     return fs.getContentSummary(path).getLength()
 
 
-def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def save(
+    df: DataFrame, path: str, partition_by: Sequence[str] | None = None, cluster_by: Sequence[str] = (), **layout
+) -> DataFrame:
     """Model materialisation (A6): write the model as the next version of the table at
     ``path`` (``sources.versions``) and return the stored table.
 
     The new version is written beside the old one and takes its place by one pointer, so a
     reader (``read_saved``) has the old table or the new one, whole, wherever a write stops.
-    The version before stays for those who read it; older ones go.
+    The version before stays for those who read it; older ones go.  ``partition_by``,
+    ``cluster_by`` and further layout options are those of ``Store.write``.
     """
     store = Store(df.sparkSession, path)
     base = store.current()
-    version = store.commit({"": store.write(df, partition_by)}, base)
+    version = store.commit({"": store.write(df, partition_by or (), cluster_by, **layout)}, base)
     store.expire()
     return store.read("", version)
 

@@ -111,3 +111,55 @@ def test_empty_tables_and_partitions(spark):
     assert spark.read.parquet(saved_folder(spark, path)).count() == 10
     with pytest.raises(KeyError):
         read_saved(spark, folder())
+
+
+def row_groups(folder):
+    """(file, group) and bounds of company_id of every row group below a folder."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    out = []
+    for name in sorted(glob.glob(f"{folder}/**/*.parquet", recursive=True)):
+        meta = pq.ParquetFile(name).metadata
+        at = meta.schema.names.index("company_id")
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            out.append((stats.min, stats.max))
+    return out
+
+
+@pytest.mark.parametrize("partition_by", [(), ("svc",)])
+def test_a_lookup_touches_few_row_groups(spark, partition_by):
+    """Stored rows of 20,000 companies in small row groups; one company is in under 1%."""
+    path = folder()
+    company = (F.col("id") * 7919 % 20_000).alias("company_id")
+    rows = spark.range(400_000).select(company, F.concat(F.lit("s"), F.col("id") % 2).alias("svc"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    stored = save(rows, path, partition_by, ["company_id"], row_group_bytes=64 << 10)
+    groups = row_groups(saved_folder(spark, path))
+    hit = [g for g in groups if g[0] <= 52 <= g[1]]
+    assert len(groups) > 200 and len(hit) < 0.01 * len(groups) and len(hit) >= 1
+    found = stored.filter("company_id = 52")
+    assert found.count() == 20 and "EqualTo(company_id,52)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bloom_filters_are_written(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = folder()
+    save(spark.range(1000).withColumnRenamed("id", "company_id"), path, cluster_by=["company_id"])
+    plain = folder()
+    save(spark.range(1000).withColumnRenamed("id", "company_id"), plain)
+
+    def beyond_data(at):
+        """Bytes between the row groups' column chunks and the footer: where filters lie."""
+        [name, *_] = sorted(glob.glob(f"{saved_folder(spark, at)}/*.parquet"))
+        meta = pq.ParquetFile(name).metadata
+        data = sum(meta.row_group(g).column(0).total_compressed_size for g in range(meta.num_row_groups))
+        import os
+
+        return os.path.getsize(name) - data - meta.serialized_size
+
+    assert beyond_data(path) > beyond_data(plain) + 1000
