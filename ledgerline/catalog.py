@@ -79,10 +79,9 @@ def _periods(fx: Fixtures) -> DataFrame:
     return paid_periods.paid_periods(_items(fx))
 
 
-def _stored_periods(fx: Fixtures) -> dict:
-    """The periods as a stored model, as in the chain, and the days of the longest."""
-    periods = materialize(_periods(fx), "paid-periods")
-    return {"periods": periods, "longest": paid_calendar.longest_period(periods)}
+def _stored_periods(fx: Fixtures) -> DataFrame:
+    """The periods as a stored model, as in the chain."""
+    return materialize(_periods(fx), "paid-periods")
 
 
 @query("items_by_service")
@@ -150,19 +149,19 @@ def q_quarter_grid(spark, d, overrides=None):
 @query("paid_years")
 def q_paid_years(spark, d, overrides=None):
     fx = _fx(spark, d, overrides)
-    return paid_calendar.paid_years(fx["financial_years"], **_stored_periods(fx))
+    return paid_calendar.paid_years(fx["financial_years"], _stored_periods(fx))
 
 
 @query("paid_months")
 def q_paid_months(spark, d, overrides=None):
     fx = _fx(spark, d, overrides)
-    return paid_calendar.paid_months(fx["financial_years"], **_stored_periods(fx))
+    return paid_calendar.paid_months(fx["financial_years"], _stored_periods(fx))
 
 
 @query("paid_quarters")
 def q_paid_quarters(spark, d, overrides=None):
     fx = _fx(spark, d, overrides)
-    return paid_calendar.paid_quarters(fx["financial_years"], **_stored_periods(fx))
+    return paid_calendar.paid_quarters(fx["financial_years"], _stored_periods(fx))
 
 
 @query("surrogate_key")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions._util import to_col
 from ledgerline.functions.dates import month_end_of, quarter_end_of
-from ledgerline.operators.joins import interval_join
+from ledgerline.operators.joins import BASE_BITS, bucket_class, day_number
 
 def open_counts(
     df: DataFrame,
@@ -102,6 +103,33 @@ def merge_intervals(
     )
 
 
+MONTHS = {"month": 1, "quarter": 3}  # of a cell
+
+
+def _first(start) -> Column:
+    """The first of the month a year starts in, where its cells begin."""
+    return F.trunc(to_col(start), "month")
+
+
+def grid_cells(
+    unit: str, start: str, end: str, cell_start: str, cell_end: str, from_day: Column, to_day: Column
+) -> Column:
+    """The cells of ``period_grid`` that start on ``from_day`` .. ``to_day``, as an array of
+    structs; NULL if none does."""
+    step, first = MONTHS[unit], _first(start)
+    since = F.greatest(first, from_day)
+    month = F.when(F.trunc(since, "month") == since, since).otherwise(F.add_months(F.trunc(since, "month"), 1))
+    months = (F.year(month) - F.year(first)) * 12 + F.month(month) - F.month(first)
+    opening = F.add_months(first, ((months + step - 1) / step).cast("int") * step)
+    until = F.least(F.col(end), to_day)
+    starts = F.when(
+        F.col(end).isNotNull() & (opening <= until),
+        F.sequence(opening, until, F.expr(f"INTERVAL {step} MONTH")),
+    )
+    ender = month_end_of if unit == "month" else quarter_end_of
+    return F.transform(starts, lambda s: F.struct(s.alias(cell_start), ender(s, end).alias(cell_end)))
+
+
 def period_grid(
     years: DataFrame,
     unit: str,
@@ -118,13 +146,12 @@ def period_grid(
     less a day (the last quarter may run past the year's end).  A year ending before
     that first day, or with a NULL bound, has no cells.
     """
-    months = {"month": 1, "quarter": 3}[unit]
     cell_start = cell_start or f"{unit}_start_date"
     cell_end = cell_end or f"{unit}_end_date"
-    first = F.trunc(F.col(start), "month")
+    first = _first(start)
     cells = F.when(
         first <= F.col(end),
-        F.sequence(first, F.col(end), F.expr(f"INTERVAL {months} MONTH")),
+        F.sequence(first, F.col(end), F.expr(f"INTERVAL {MONTHS[unit]} MONTH")),
     )
     out = years.withColumn(cell_start, F.explode(cells))
     ender = month_end_of if unit == "month" else quarter_end_of
@@ -143,7 +170,7 @@ def coverage(
     period_end: str = "finish_date",
     services: Sequence[str] | None = None,
     keep_unserved: bool = True,
-    longest: int | None = None,
+    grid: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """Flag, per cell and per service the key has any period for, whether one single
     period covers the whole cell (K4): ``period.start <= cell.start AND cell.end <=
@@ -155,25 +182,50 @@ def coverage(
     grains, which filter on the service).  ``services`` restricts the services.  A cell
     without a bound is covered by nothing.
 
-    ``periods`` are the disjoint periods of ``merge_intervals``, so at most one period of
-    a key and service holds a cell's start, and the cell is covered iff that period
-    reaches the cell's end.  The lookup is ``interval_join`` by year: no cell meets the
-    periods of other years, a period has few rows however long it is, and a key with
-    very many cells is spread over (key, service, year) buckets that AQE can split.
-    ``longest``: the days of the longest period, where known.
+    With ``grid``, a unit and the start and end columns of a year, ``cells`` holds years, and
+    the cells are those of ``period_grid``.  Years are shuffled, never their cells: these are
+    made where the year has met its periods.
+
+    ``periods`` are the disjoint periods of ``merge_intervals``.  They are packed by (key,
+    service, bucket of 512 days), so a pack has 256 of them at most, and a cell or year meets
+    the packs of the buckets its cells start in.  The few periods too long for such buckets (a
+    key and service has no more than one in 20 years) come with the service.  A key with very
+    many cells is spread over (key, service, bucket), which AQE can split further.  Rows are
+    dealt out by their hash before equal ones are dropped: the task that reads a small file
+    of years holds none of them.
     """
     per = periods if services is None else periods.filter(F.col(service).isin(list(services)))
-    served = per.select(key, service).distinct().withColumn("__ll_served", F.lit(True))
-    grid = cells.distinct().join(served, key, "left" if keep_unserved else "inner")
-    spans = per.select(
-        F.col(key).alias("__ll_k"), F.col(service).alias("__ll_s"),
-        F.col(period_start).alias("__ll_from"), F.col(period_end).alias("__ll_to"),
+    bits, size = BASE_BITS["year"], bucket_class(period_start, period_end, "year")
+    period = F.struct(F.col(period_start).alias("s"), F.col(period_end).alias("e"))
+    served = per.groupBy(key, service).agg(F.collect_list(F.when(size > bits, period)).alias("__ll_long"))
+    touched = F.sequence(*[F.shiftright(day_number(c), bits) for c in (period_start, period_end)])
+    packs = per.filter(size == bits).select(
+        F.col(key).alias("__ll_k"), F.col(service).alias("__ll_s"), F.explode(touched).alias("__ll_pb"), period.alias("__ll_p"),
+    ).groupBy("__ll_k", "__ll_s", "__ll_pb").agg(F.collect_list("__ll_p").alias("__ll_short"))
+
+    rows = cells.repartition(*cells.columns).distinct().join(served, key, "left" if keep_unserved else "inner")
+    if grid is None:
+        rows = rows.withColumn("__ll_b", F.shiftright(day_number(cell_start), bits))
+    else:
+        unit, start, end = grid
+        spanned = F.sequence(*[F.shiftright(day_number(c), bits) for c in (_first(start), end)])
+        rows = rows.withColumn("__ll_b", F.explode(F.when(_first(start) <= F.col(end), spanned)))
+    met = rows.join(
+        packs,
+        (F.col(key) == F.col("__ll_k")) & F.col(service).eqNullSafe(F.col("__ll_s")) & (F.col("__ll_b") == F.col("__ll_pb")),
+        "left",
     )
-    looked_up = interval_join(
-        grid, spans, [key, service], ["__ll_k", "__ll_s"], cell_start, "__ll_from", "__ll_to",
-        how="left", unit="year", longest=longest,
-    ).select(*[F.col(f"p.{c}") for c in grid.columns], F.col("i.__ll_to").alias("__ll_to"))
-    covered = F.coalesce(F.col("__ll_to") >= F.col(cell_end), F.lit(False))
-    return looked_up.withColumn(flag, F.when(F.col("__ll_served"), covered)).drop(
-        "__ll_to", "__ll_served"
+
+    def covered(s: Column, e: Column) -> Column:
+        hits = [F.exists(ps, lambda p: (p["s"] <= s) & (e <= p["e"])) for ps in ("__ll_short", "__ll_long")]
+        return F.when(F.col("__ll_long").isNotNull(), F.coalesce(hits[0] | hits[1], F.lit(False)))
+
+    kept = [F.col(c) for c in dict.fromkeys([*cells.columns, service])]
+    if grid is None:
+        return met.select(*kept, covered(F.col(cell_start), F.col(cell_end)).alias(flag))
+    opening = F.shiftleft("__ll_b", bits)
+    own = grid_cells(
+        unit, start, end, cell_start, cell_end, F.date_from_unix_date(opening), F.date_from_unix_date(opening + (2**bits - 1))
     )
+    flagged = F.transform(own, lambda c: c.withField(flag, covered(c[cell_start], c[cell_end])))
+    return met.select(*kept, F.inline(flagged))

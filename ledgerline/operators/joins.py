@@ -126,14 +126,14 @@ def _classes(unit: str) -> list[int]:
     return list(range(BASE_BITS[unit], DAY_BITS - 1, CLASS_BITS))
 
 
-def _day(col) -> Column:
+def day_number(col) -> Column:
     return F.unix_date(to_col(col).cast("date"))
 
 
 def bucket_class(start, end, unit: str) -> Column:
     """The class of a closed interval: the smallest whose buckets it touches at most
     2 ** CLASS_BITS of.  NULL for an interval that is empty or lacks a bound."""
-    s, e = _day(start), _day(end)
+    s, e = day_number(start), day_number(end)
     *short, longest = _classes(unit)
     found = F.lit(longest)
     for bits in reversed(short):
@@ -143,7 +143,7 @@ def bucket_class(start, end, unit: str) -> Column:
 
 def longest_days(intervals: DataFrame, start: str, end: str) -> int:
     """Days of the longest interval: one small job, for intervals that are stored."""
-    return intervals.agg(F.max(_day(end) - _day(start) + 1)).first()[0] or 0
+    return intervals.agg(F.max(day_number(end) - day_number(start) + 1)).first()[0] or 0
 
 
 def interval_join(
@@ -180,9 +180,9 @@ def interval_join(
     if how not in ("inner", "left"):
         raise ValueError(f"interval_join is inner or left, not {how!r}")
     smallest, *longer = _classes(unit)
-    p = points.select(F.struct(*points.columns).alias("p"), _day(point).alias("__ll_day"))
+    p = points.select(F.struct(*points.columns).alias("p"), day_number(point).alias("__ll_day"))
     size = bucket_class(start, end, unit)
-    i = intervals.select(F.struct(*intervals.columns).alias("i"), size.alias("__ll_size"), _day(start).alias("__ll_s"), _day(end).alias("__ll_e"))
+    i = intervals.select(F.struct(*intervals.columns).alias("i"), size.alias("__ll_size"), day_number(start).alias("__ll_s"), day_number(end).alias("__ll_e"))
     spread = F.expr("explode(sequence(shiftright(__ll_s, __ll_size), shiftright(__ll_e, __ll_size)))")
     usual = i.filter(F.col("__ll_size") == smallest).select("i", spread.alias("__ll_ib"))
     rare = i.filter(F.col("__ll_size") > smallest).select("i", "__ll_size", spread.alias("__ll_ib"))

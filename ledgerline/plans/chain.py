@@ -47,13 +47,12 @@ def run_paid_chain(
     rejected = rejected_intervals(items, [SERVICE], "start_date", "finish_date")
     save(rejected, paths["rejected_intervals"])
     stored = save(paid_periods.paid_periods(items), paths["paid_periods"], [SERVICE], [COMPANY])
-    days = paid_calendar.longest_period(stored)
     for name, model in (
         ("paid_financial_years", paid_calendar.paid_years),
         ("paid_months", paid_calendar.paid_months),
         ("paid_quarters", paid_calendar.paid_quarters),
     ):
-        save(model(financial_years, stored, longest=days), paths[name], [SERVICE], [COMPANY])
+        save(model(financial_years, stored), paths[name], [SERVICE], [COMPANY])
     return {name: saved_folder(items.sparkSession, path) for name, path in paths.items()}
 
 

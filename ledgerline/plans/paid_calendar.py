@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import surrogate_key
 from ledgerline.operators.intervals import coverage, period_grid
-from ledgerline.operators.joins import longest_days
 
 # The services reported per month and per quarter.
 MONTH_SERVICES = [
@@ -23,18 +22,15 @@ QUARTER_SERVICES = ["ac-gst-report-internal"]
 SERVICE = "process_definition_key"
 
 
-def paid_years(
-    financial_years: DataFrame, periods: DataFrame, longest: int | None = None
-) -> DataFrame:
+def paid_years(financial_years: DataFrame, periods: DataFrame) -> DataFrame:
     """Per financial year and service: is the whole year inside one paid period?
 
     Every service the company has a period for gets a row; a company without any
-    period keeps its years with service and flag NULL.  ``longest``, here and below: the
-    days of the longest period (``longest_period``), where ``periods`` are stored."""
+    period keeps its years with service and flag NULL."""
     cells = financial_years.select("fy_id", "company_id", "start_date", "end_date")
     cov = coverage(
         cells, periods, "company_id", SERVICE, "start_date", "end_date", "is_fy_paid",
-        keep_unserved=True, longest=longest,
+        keep_unserved=True,
     )
     return cov.select(
         surrogate_key("fy_id", "company_id", SERVICE).alias("company_year_service_id"),
@@ -58,16 +54,17 @@ def quarter_grid(financial_years: DataFrame) -> DataFrame:
     )
 
 
-def longest_period(periods: DataFrame) -> int:
-    """Days of the longest of the stored ``periods``."""
-    return longest_days(periods, "start_date", "finish_date")
-
-
-def _paid_cells(grid: DataFrame, periods: DataFrame, unit: str, services: Sequence[str], longest):
+def _paid_cells(years: DataFrame, periods: DataFrame, unit: str, services: Sequence[str]) -> DataFrame:
+    """The cells of ``month_grid`` or ``quarter_grid`` with their flags; the grid is laid out
+    within ``coverage``, where the years have met their periods."""
     cs, ce, flag = f"{unit}_start_date", f"{unit}_end_date", f"is_{unit}_paid"
+    rows = years.select(
+        "fy_id", "company_id", F.col("start_date").alias("fy_start_date"),
+        F.col("end_date").alias("fy_end_date"),
+    )
     cov = coverage(
-        grid, periods, "company_id", SERVICE, cs, ce, flag,
-        services=services, keep_unserved=False, longest=longest,
+        rows, periods, "company_id", SERVICE, cs, ce, flag,
+        services=services, keep_unserved=False, grid=(unit, "fy_start_date", "fy_end_date"),
     )
     return cov.select(
         surrogate_key("fy_id", "company_id", SERVICE, cs).alias(
@@ -78,20 +75,14 @@ def _paid_cells(grid: DataFrame, periods: DataFrame, unit: str, services: Sequen
 
 
 def paid_months(
-    financial_years: DataFrame,
-    periods: DataFrame,
-    services: Sequence[str] = MONTH_SERVICES,
-    longest: int | None = None,
+    financial_years: DataFrame, periods: DataFrame, services: Sequence[str] = MONTH_SERVICES
 ) -> DataFrame:
     """Per month of each financial year and reported service: fully paid?"""
-    return _paid_cells(month_grid(financial_years), periods, "month", services, longest)
+    return _paid_cells(financial_years, periods, "month", services)
 
 
 def paid_quarters(
-    financial_years: DataFrame,
-    periods: DataFrame,
-    services: Sequence[str] = QUARTER_SERVICES,
-    longest: int | None = None,
+    financial_years: DataFrame, periods: DataFrame, services: Sequence[str] = QUARTER_SERVICES
 ) -> DataFrame:
     """Per quarter of each financial year and reported service: fully paid?"""
-    return _paid_cells(quarter_grid(financial_years), periods, "quarter", services, longest)
+    return _paid_cells(financial_years, periods, "quarter", services)

@@ -221,3 +221,28 @@ def test_a_year_far_off_costs_no_rows(spark):
     p = spark.createDataFrame([("c", "a", day(1), day(9))], "k string, svc string, start_date date, finish_date date")
     out = coverage(far, p, "k", "svc", "cs", "ce", "paid")
     assert [(r.svc, r.paid) for r in out.collect()] == [("a", False)]
+
+
+def test_cells_of_years_are_those_of_the_grid(spark):
+    """Odd years against the cells of ``period_grid``, each with every period."""
+    rng = random.Random(5)
+    bounds = [("2023-01-15", "2024-01-14"), ("2023-03-01", "2023-02-27"), ("2023-03-20", "2023-03-05"), (None, "2024-01-01"), ("2024-01-01", None),
+              ("0001-01-01", "0001-12-31"), ("9998-07-31", "9999-12-31"), ("1950-05-17", "2050-02-02"), ("1969-11-30", "1970-02-28")]
+    years = [(k, i, a and d(a), b and d(b)) for i, (a, b) in enumerate(bounds) for k in ("x", "y", "z", None)]
+    periods = [("x", "a", d("0001-01-01"), d("2023-06-30")), ("x", "b", d("2000-01-01"), d("2023-02-28")), ("x", "b", d("9000-01-01"), d("9999-12-31")), ("z", "c", d("1700-01-01"), d("1700-01-02"))]
+    at = d("1949-01-01")
+    for _ in range(300):  # many in a bucket
+        end = at + dt.timedelta(days=rng.randint(0, 200))
+        periods.append(("y", "a", at, end))
+        at = end + dt.timedelta(days=rng.randint(2, 9))
+    y = spark.createDataFrame(years * 2, "k string, fy int, ys date, ye date")
+    p = spark.createDataFrame(periods, "k string, svc string, start_date date, finish_date date")
+    for unit in ("month", "quarter"):
+        cells = [(r.k, r.fy, r.cs, r.ce) for r in period_grid(y.distinct(), unit, "ys", "ye", "cs", "ce").collect()]
+        want = {
+            (k, fy, cs, svc, any((pk, ps) == (k, svc) and s <= cs and ce <= e for pk, ps, s, e in periods))
+            for k, fy, cs, ce in cells for svc in {ps for pk, ps, _, _ in periods if pk == k}
+        }
+        got = coverage(y, p, "k", "svc", "cs", "ce", "paid", keep_unserved=False, grid=(unit, "ys", "ye")).collect()
+        assert len(got) == len(want) and {(r.k, r.fy, r.cs, r.svc, r.paid) for r in got} == want
+        assert {(r.fy, r.cs, r.ce) for r in got} == {(fy, cs, ce) for k, fy, cs, ce in cells if k}

@@ -81,3 +81,9 @@ def test_missing_tickets_are_an_anti_join(spark):
 
 def test_a_companys_subscriptions_are_filtered_at_the_scan(spark):
     assert "EqualTo(o_custkey,52)" in plan(spark, "subscriptions_of_company")
+
+
+def test_equal_years_are_dropped_after_they_are_dealt_out(spark):
+    """The task that reads a small file of companies holds none of their years."""
+    text = plan(spark, "paid_quarters")
+    assert re.search(r"HashAggregate\(keys=\[fy_id[^\n]*\n[^\n]*HashAggregate\(keys=\[fy_id[^\n]*\n[^\n]*Exchange hashpartitioning\(fy_id", text)
