@@ -87,3 +87,9 @@ def test_equal_years_are_dropped_after_they_are_dealt_out(spark):
     """The task that reads a small file of companies holds none of their years."""
     text = plan(spark, "paid_quarters")
     assert re.search(r"HashAggregate\(keys=\[fy_id[^\n]*\n[^\n]*HashAggregate\(keys=\[fy_id[^\n]*\n[^\n]*Exchange hashpartitioning\(fy_id", text)
+
+
+def test_cells_are_made_above_all_shuffles(spark):
+    for name in ("paid_months", "paid_quarters"):
+        text = plan(spark, name)
+        assert 0 < text.index("Generate inline(transform(") < text.index("Exchange"), name
