@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.json import exact_array, exact_value, json_text, with_exact_json
 from ledgerline.functions.keys import surrogate_key
 from ledgerline.operators.intervals import open_counts, rejected_intervals
-from ledgerline.operators.joins import anti_join, interval_join, not_in, not_in_rows, semi_join
+from ledgerline.operators.joins import anti_join, interval_join, longest_days, not_in, not_in_rows, semi_join
 from ledgerline.operators.latest import distinct_on, latest_by, latest_rows
 from ledgerline.operators.quality import with_key_count
 from ledgerline.operators.scan import neighbours, running_sum
@@ -258,7 +258,7 @@ def q_interval_join(spark, d, overrides=None):
     )
     joined = interval_join(
         points, years, ["company_id"], ["fy_company_id"], "finish_date", "start_date",
-        "end_date", how="left",
+        "end_date", how="left", longest=longest_days(years, "start_date", "end_date"),
     )
     return joined.select("p.contract_item_id", "p.company_id", "p.finish_date", "i.fy_id")
 

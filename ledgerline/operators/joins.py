@@ -166,12 +166,13 @@ def interval_join(
     the intervals of its own bucket.  Buckets come in a few sizes, each 16 times the one
     before (``unit`` names the smallest: a year's is 512 days).  An interval is expanded at
     the smallest size of which it touches 16 buckets at most, so one of a day has one row, one
-    of a year two, and one of 8,000 years 24.  A point is looked up once in the smallest
-    buckets, where usual intervals lie; the longer sizes up to the longest that any
-    interval needs (a scalar subquery) take one lookup each.  Each match still appears
-    once, since an interval has one size and a point falls in one bucket of it.  Where the
-    days of the ``longest`` interval are known (``longest_days`` of a stored table), the
-    lookups of sizes beyond it are not even planned.
+    of a year two, and one of 8,000 years 24.  Points are shuffled once, by the smallest
+    buckets, where usual intervals lie.  Longer intervals are brought there: the distinct
+    (key, smallest bucket) that hold a point are looked up in the longer sizes, up to the
+    longest that any interval needs (a scalar subquery), and a long interval gets a row for each
+    that it reaches.  Only buckets with points count, so these rows are no more than the
+    matches and the two ends.  Where the days of the ``longest`` interval are known
+    (``longest_days`` of a stored table), the lookups of sizes beyond it are not even planned.
 
     The columns of ``points`` are the fields of a struct ``p``, those of ``intervals`` of a
     struct ``i``: ``p.<name>`` and ``i.<name>``.  ``how`` is ``inner`` or ``left``: intervals
@@ -180,37 +181,31 @@ def interval_join(
     if how not in ("inner", "left"):
         raise ValueError(f"interval_join is inner or left, not {how!r}")
     smallest, *longer = _classes(unit)
-    p = points.select(F.struct(*points.columns).alias("p"), day_number(point).alias("__ll_day"))
+    p = points.select(F.struct(*points.columns).alias("p"), F.shiftright(day_number(point), smallest).alias("__ll_pb"))
     size = bucket_class(start, end, unit)
     i = intervals.select(F.struct(*intervals.columns).alias("i"), size.alias("__ll_size"), day_number(start).alias("__ll_s"), day_number(end).alias("__ll_e"))
     spread = F.expr("explode(sequence(shiftright(__ll_s, __ll_size), shiftright(__ll_e, __ll_size)))")
-    usual = i.filter(F.col("__ll_size") == smallest).select("i", spread.alias("__ll_ib"))
-    rare = i.filter(F.col("__ll_size") > smallest).select("i", "__ll_size", spread.alias("__ll_ib"))
-
-    def matches(left: str) -> list[Column]:
-        keys = [F.col(f"{left}.{lk}") == F.col(f"i.{rk}") for lk, rk in zip(left_keys, right_keys)]
-        return [*keys, F.col(f"{left}.{point}").between(F.col(f"i.{start}"), F.col(f"i.{end}"))]
-
-    near = p.withColumn("__ll_pb", F.shiftright("__ll_day", smallest)).join(
-        usual, [*matches("p"), F.col("__ll_pb") == F.col("__ll_ib")], how
-    ).select("p", "i")
+    met = i.filter(F.col("__ll_size") == smallest).select("i", spread.alias("__ll_ib"))
     # an interval of n days touches at most n / size + 2 buckets
     needed = [bits for bits in longer if longest is None or (longest >> (bits - CLASS_BITS)) + 2 > 2**CLASS_BITS]
-    if not needed:
-        return near
-    top = intervals.agg(F.max(size)).scalar() if longest is None else F.lit(needed[-1])
-    far = (
-        p.filter(top > smallest).select("p", "__ll_day", F.explode(F.array(*map(F.lit, needed))).alias("__ll_bits"))
-        .filter(F.col("__ll_bits") <= top)
-        .withColumn("__ll_pb", F.expr("shiftright(__ll_day, __ll_bits)"))
-        .join(rare, [*matches("p"), F.col("__ll_bits") == F.col("__ll_size"), F.col("__ll_pb") == F.col("__ll_ib")], "inner")
-        .select("p", "i")
-    )
-    if how == "inner":
-        return near.unionByName(far)
-    # a point without a usual interval but with a longer one is no unmatched point
-    names = [f"__ll_k{n}" for n in range(len(left_keys) + 1)]
-    reached = far.select(*[F.col(f"p.{c}").alias(n) for c, n in zip([*left_keys, point], names)]).distinct().withColumn("__ll_far", F.lit(True))
-    same = [F.col(f"p.{c}") == F.col(n) for c, n in zip([*left_keys, point], names)]
-    kept = near.join(reached, same, "left").filter(F.col("i").isNotNull() | F.col("__ll_far").isNull()).select("p", "i")
-    return kept.unionByName(far)
+    if needed:
+        top = intervals.agg(F.max(size)).scalar() if longest is None else F.lit(needed[-1])
+        names = [f"__ll_k{n}" for n in range(len(left_keys))]
+        held = p.filter(top > smallest).select(*[F.col(f"p.{lk}").alias(n) for lk, n in zip(left_keys, names)], "__ll_pb").distinct()
+        sized = held.select("*", F.explode(F.array(*map(F.lit, needed))).alias("__ll_bits")).filter(F.col("__ll_bits") <= top).withColumn(
+            "__ll_wide", F.expr(f"shiftright(__ll_pb, __ll_bits - {smallest})")
+        )
+        rare = i.filter(F.col("__ll_size") > smallest).select("*", spread.alias("__ll_ib"))
+        reached = sized.join(
+            rare,
+            [
+                *[F.col(n) == F.col(f"i.{rk}") for n, rk in zip(names, right_keys)],
+                F.col("__ll_bits") == F.col("__ll_size"),
+                F.col("__ll_wide") == F.col("__ll_ib"),
+                F.col("__ll_pb").between(F.shiftright("__ll_s", smallest), F.shiftright("__ll_e", smallest)),
+            ],
+        )
+        met = met.unionByName(reached.select("i", F.col("__ll_pb").alias("__ll_ib")))
+    keys = [F.col(f"p.{lk}") == F.col(f"i.{rk}") for lk, rk in zip(left_keys, right_keys)]
+    within = F.col(f"p.{point}").between(F.col(f"i.{start}"), F.col(f"i.{end}"))
+    return p.join(met, [*keys, F.col("__ll_pb") == F.col("__ll_ib"), within], how).select("p", "i")

@@ -247,3 +247,15 @@ def test_latest_rows_with_a_third_of_all_rows_tied_on_one_key(spark):
 def test_latest_rows_of_null_keys_and_orders(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (None, 2, "b"), (None, 2, "c"), (1, None, "d"), (2, 5, None), (2, 5, "e")], "k int, t int, v string")
     assert rows(latest_rows(df, ["k"], "t", ["v"]), "k", "t", "v") == sorted([(None, 2, "b"), (None, 2, "c"), (2, 5, None), (2, 5, "e")], key=repr)
+
+
+def test_interval_join_shuffles_points_once(spark):
+    """Also where long intervals exist: their buckets come to the points."""
+    pts, ivs = mixed_lengths(spark)
+    p, i = spark.createDataFrame(pts, "pid int, k int, d date"), spark.createDataFrame(ivs, "iid int, ik int, s date, e date")
+    for longest in (None, 4_000_000):
+        out = interval_join(p, i, ["k"], ["ik"], "d", "s", "e", longest=longest)
+        got = out.select("p.pid", "i.iid").collect()
+        assert sorted([tuple(r) for r in got], key=repr) == brute_interval_join(pts, ivs, "left")
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert text.count("LeftOuter") == 1 and len([t for t in text.splitlines() if "Exchange hashpartitioning(p#" in t]) == 1

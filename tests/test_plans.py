@@ -93,3 +93,7 @@ def test_cells_are_made_above_all_shuffles(spark):
     for name in ("paid_months", "paid_quarters"):
         text = plan(spark, name)
         assert 0 < text.index("Generate inline(transform(") < text.index("Exchange"), name
+
+
+def test_interval_join_reads_the_items_once(spark):
+    assert plan(spark, "interval_join").count("lineitem.parquet") == 1
