@@ -25,6 +25,29 @@ class WordMemo:
         return b"".join(map(self.known.__getitem__, words))
 
 
+class Seen(dict):
+    """word -> encoded bytes, a dictionary that encodes a word when it is first asked for, so a
+    text of known words takes one look-up each.  Of two halves, the newer fills up while
+    the older is only read; a word found there moves over, so frequent words stay.  Both
+    hold ``limit`` words at most."""
+
+    def __init__(self, encode_one: Callable[[bytes], bytes], limit: int):
+        self.encode_one, self.half, self.older = encode_one, max(1, limit // 2), {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encode_one(word)
+        if len(self) >= self.half:
+            self.older = self.copy()
+            self.clear()
+        self[word] = found
+        return found
+
+    def encode(self, words: list) -> bytes:
+        return b"".join(map(self.__getitem__, words))
+
+
 def slices(items: list, size: int) -> Iterator[list]:
     for i in range(0, len(items), size):
         yield items[i : i + size]

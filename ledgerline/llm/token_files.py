@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,43 +33,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import open_folder, small_batches, stage, work_dir
-from ledgerline.llm.memo import WordMemo, slices
+from ledgerline.llm.memo import Seen
 from ledgerline.sources.tables import Tables
 
-MEMO_WORDS = 1_000_000
-MARKS = b".,;:!?"
+MEMO_WORDS = 1_500_000
 FILE_BYTES = 256 << 20  # aimed size of a .bin file
-_ENCODERS: dict[tuple, WordMemo] = {}
-
-
-def word_encoder(tokenizer_path: str, dtype: str) -> WordMemo:
+_ENCODERS: dict[tuple, Seen] = {}
+
+
+# What the tokenizers library does before its model sees a word, where that is known here: plain
+# words need no more than lower case and a cut into letters, single digits and runs of marks.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZER = [
+    {
+        "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed", "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+# ASCII but ' and < (which may begin a special token), and the letters of Latin-1
+PLAIN = re.compile(rb"(?:[!-&(-;=-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+PIECES = re.compile(rb"(?:[A-Za-z]|\xc3.)+|[0-9]|[^A-Za-z0-9\xc3]+", re.DOTALL)
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level files write as themselves
+HIDDEN = [n for n in range(256) if n not in VISIBLE]
+BYTE_LEVEL = {n: 256 + k for k, n in enumerate(HIDDEN)}
+
+
+def knows_words(tokenizer_path: str) -> bool:
+    """Whether the file's steps before the model are those above."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        found = json.load(f)
+    steps = (found["normalizer"] or {}).get("normalizers"), (found["pre_tokenizer"] or {}).get("pretokenizers")
+    tokens = [t["content"] for t in found["added_tokens"]]
+    return steps == (NORMALIZER, PRE_TOKENIZER) and all(t.startswith("<") for t in tokens) and not found["truncation"]
+
+
+def word_encoder(tokenizer_path: str, dtype: str) -> Seen:
     """Encode words with a ``tokenizers`` file whose pre-tokenizer drops white space and
     keeps letters, digits and marks apart: each run of other characters is encoded by
-    itself, and a single mark after an ASCII letter or digit apart from what it follows."""
+    itself.  Plain words are cut into their pieces here and go straight to the file's model,
+    which spares the library's normalizing, matching and bookkeeping of each; all others
+    take the whole way."""
     key = (tokenizer_path, dtype)
     if key not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
-
-        def ids_of(words: list[bytes]) -> Iterator[bytes]:
-            for part in slices(words, 4096):
-                texts = [w.decode() for w in part]
-                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-                    yield np.array(e.ids, dtype).tobytes()
-
-        marks = dict(zip(MARKS, ids_of([bytes([m]) for m in MARKS])))
-
-        def encode_many(words: list[bytes]) -> Iterator[bytes]:
-            known = memo.known
-            stems = [w[:-1] if w[-1] in marks and w[-2:-1].isalnum() else w for w in words]
-            new = list(set(stems).difference(known))
-            known.update(zip(new, ids_of(new)))
-            for word, stem in zip(words, stems):
-                yield known[stem] + marks[word[-1]] if len(stem) < len(word) else known[stem]
-
-        memo = _ENCODERS[key] = WordMemo(encode_many, MEMO_WORDS)
+        known_steps, model = knows_words(tokenizer_path), tokenizer.model
+
+        def by_library(word: bytes) -> bytes:
+            (found,) = tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)
+            return np.array(found.ids, dtype).tobytes()
+
+        def piece(word: bytes) -> bytes:
+            text = word.decode().lower()
+            if not word.isascii():
+                text = text.encode().decode("latin-1").translate(BYTE_LEVEL)
+            return np.array([t.id for t in model.tokenize(text)], dtype).tobytes()
+
+        def encode_one(word: bytes) -> bytes:
+            if not known_steps or not PLAIN.fullmatch(word):
+                return by_library(word)
+            if word.isalpha():
+                return piece(word)
+            return b"".join([memo.get(p) or piece(p) for p in PIECES.findall(word)])
+
+        memo = _ENCODERS[key] = Seen(encode_one, MEMO_WORDS)
     return _ENCODERS[key]
 
 

@@ -77,3 +77,39 @@ def test_memo_is_bounded():
     for k in range(20):
         assert memo.encode([b"a", b"%d" % k, b"%d" % (k + 1)]) == b"A%d%d" % (k, k + 1)
         assert len(memo.known) <= 10
+
+
+def test_plain_words_go_straight_to_the_model(monkeypatch):
+    """Letters of Latin-1, digits and marks take no walk through the library's pipeline, and
+    give its ids; other words do."""
+    from ledgerline.llm import token_files
+
+    monkeypatch.setattr(token_files, "_ENCODERS", {})
+    walked = []
+
+    class Library:
+        def __init__(self, whole):
+            self.whole, self.model = whole, whole.model
+
+        def encode_batch_fast(self, texts, **options):
+            walked.extend(texts)
+            return self.whole.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr("tokenizers.Tokenizer.from_file", lambda path: Library(TOKENIZER), raising=False)
+    memo = word_encoder(PATH, "<u2")
+    plain = ["word", "Word,", "éÈÿß.", "a1b22", "x!!;?", "--__", "naïve)("]
+    odd = ["don't", "a<|endoftext|>", "中文", "á", "x y", "×", "ſ"]
+    for word in plain + odd:
+        assert np.frombuffer(memo.encode([word.encode()] * 2), "<u2").tolist() == library(word) * 2, word
+    assert walked == odd
+
+
+def test_frequent_words_stay_in_a_bounded_memo():
+    from ledgerline.llm.memo import Seen
+
+    made = []
+    memo = Seen(lambda w: made.append(w) or w.upper(), 10)
+    for k in range(50):
+        assert memo.encode([b"a", b"%d" % k]) == b"A%d" % k
+        assert len(memo) + len(memo.older) <= 10
+    assert made.count(b"a") == 1
