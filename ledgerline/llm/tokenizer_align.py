@@ -105,7 +105,8 @@ class Tokenizers:
 
     def encode_a(self, segments: list[str]) -> list[list[int]]:
         if self.by_rank:
-            return list(map(self.by_rank.encode_ordinary, segments))
+            # without the wrapper that mends lone surrogates: texts from Arrow have none
+            return list(map(self.by_rank._core_bpe.encode_ordinary, segments))
         return [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
 
     def encode_b(self, segments: list[str]) -> list[list[int]]:
@@ -426,6 +427,15 @@ def highest_of_b(spark: SparkSession, path: str) -> np.ndarray:
     return out
 
 
+def sums_of(numbers: list[list[int]], sizes: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """A row of six sums for each text, from the rows of its own segments alone: the memo holds
+    hundreds of thousands, which a batch mustn't copy."""
+    flat = np.fromiter(chain.from_iterable(numbers), np.int64)
+    table = np.zeros((len(flat) + 1, 6), np.int64)
+    table[1:, :4], table[1:, 4:] = sizes[flat][:, [0, 1, 2, 2]], found[flat]
+    return np.diff(np.cumsum(table, axis=0)[np.cumsum([0, *map(len, numbers)])], axis=0)
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, id_col="doc_id", text_col="text", shard_keys: int = SHARD_KEYS) -> DataFrame:
     """One row per document: doc_id, n_a and n_b (tokens), n_groups, n_links, n_best (links
     whose pair counts as often as any of their B id), count_sum (of the counts of the links)
@@ -455,8 +465,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col="doc_id", text_col="
         s = aligner.segments
         for batch in texts_of(batches):
             numbers = aligner.numbers(batch["text"].to_pylist())
-            table = np.column_stack([s.sizes[:, [0, 1, 2, 2]], found[0]])
-            sums = np.array([table[some].sum(0) for some in numbers]).reshape(len(numbers), 6)
+            sums = sums_of(numbers, s.sizes, found[0])
             groups = [b"".join(map(s.groups.__getitem__, some))[:-1] for some in numbers]
             columns = [batch["doc_id"], *(pa.array(c) for c in sums.T), pa.array(groups, pa.large_binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
