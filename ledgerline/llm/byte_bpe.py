@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import small_batches
+from ledgerline.llm.common import releasing, small_batches
 from ledgerline.llm.memo import WordMemo, slices
 from ledgerline.sources.tables import Tables
 
@@ -93,14 +93,12 @@ def encoder(ranks_path: str) -> WordMemo:
     return WordMemo(encode_many, MEMO_TOKENS)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text") -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids (little-endian uint32).
+ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.large_binary())])
+DECODED = ENCODED.append(pa.field("decoded", pa.large_binary()))
 
-    Each match of ``pattern`` is encoded separately.  Null texts are empty and have no ids;
-    ids of documents may be null or repeated; other columns are ignored.  Matches of a very
-    long text are encoded in steps, so memory grows with its ids alone.
-    """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.large_binary())])
+
+def encoding(ranks_path: str, pattern: str) -> Callable[[Iterator], Iterator]:
+    """The step of ``encode`` on batches of doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, cut = encoder(ranks_path), regex.compile(pattern)
@@ -115,15 +113,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 ids = [ids_of(t.as_py() or "") for t in part["text"]]
                 n = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part["doc_id"], n, pa.array(ids, pa.large_binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], n, pa.array(ids, pa.large_binary())], schema=ENCODED)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return small_batches(rows).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return run
 
 
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """Adds ``decoded``, the bytes that the ids stand for, to the rows of ``encode``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.large_binary()), ("decoded", pa.large_binary())])
+def decoding(ranks_path: str) -> Callable[[Iterator], Iterator]:
+    """The step of ``decode`` on the batches of ``encoding``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = load_tokens(ranks_path).__getitem__
@@ -133,10 +129,42 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 texts = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in ids]
                 ids = part["ids"].cast(pa.large_binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["n_tokens"], ids, pa.array(texts, pa.large_binary())], schema=schema
+                    [part["doc_id"], part["n_tokens"], ids, pa.array(texts, pa.large_binary())], schema=DECODED
                 )
 
-    return small_batches(encoded).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
+    return run
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text") -> DataFrame:
+    """One row per document: doc_id, n_tokens, ids (little-endian uint32).
+
+    Each match of ``pattern`` is encoded separately.  Null texts are empty and have no ids;
+    ids of documents may be null or repeated; other columns are ignored.  Matches of a very
+    long text are encoded in steps, so memory grows with its ids alone.
+    """
+    run = encoding(ranks_path, pattern)
+    return _rows(docs, id_col, text_col).mapInArrow(releasing(run), "doc_id long, n_tokens long, ids binary")
+
+
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """Adds ``decoded``, the bytes that the ids stand for, to the rows of ``encode``."""
+    run = decoding(ranks_path)
+    return small_batches(encoded).mapInArrow(releasing(run), "doc_id long, n_tokens long, ids binary, decoded binary")
+
+
+def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text") -> DataFrame:
+    """``decode`` of ``encode``, both steps in one Python worker per task: two would stand in
+    the executor's memory side by side, and stay there idle while the next job begins."""
+    steps = encoding(ranks_path, pattern), decoding(ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return steps[1](steps[0](batches))
+
+    return _rows(docs, id_col, text_col).mapInArrow(releasing(run), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
@@ -144,7 +172,7 @@ def round_trip(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
     import public_tokenizers
 
     ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = decode(encode(docs, ranks_path, public_tokenizers.PATTERN), ranks_path)
+    both = encode_decode(docs, ranks_path, public_tokenizers.PATTERN)
     return both.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,17 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInArrow; at the end of a task Arrow gives back the memory that it keeps for
+    the next one, which the worker's later tasks, of other steps, would hold beside their own."""
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return released
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, so a lost
     executor costs the reading of a file and not the steps before it."""

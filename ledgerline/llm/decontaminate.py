@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from ledgerline.llm.common import small_batches
+from ledgerline.llm.common import releasing, small_batches
 from ledgerline.llm.words import ALNUM, words_of
 from ledgerline.sources.tables import Tables
 
@@ -165,7 +165,7 @@ def find_contamination(
     searchers = _searchers(benchmark, window, item_col, "text")
     for k, searcher in enumerate(searchers):
         last = k == len(searchers) - 1
-        rows = small_batches(rows).mapInArrow(_pass(searcher, text_col if inside else None, last), state)
+        rows = small_batches(rows).mapInArrow(releasing(_pass(searcher, text_col if inside else None, last)), state)
     return rows.drop("text")
 
 

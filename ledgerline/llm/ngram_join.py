@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import lookup, small_batches, stage
+from ledgerline.llm.common import lookup, releasing, small_batches, stage
 from ledgerline.llm.components import connected
 from ledgerline.llm.words import NOT_SPACE, mix, words_of
 from ledgerline.sources.tables import Tables
@@ -111,7 +111,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "key", "n", "class"],
             )
 
-    return small_batches(docs).mapInArrow(run, "doc_id long, key long, n long, class binary")
+    return small_batches(docs).mapInArrow(releasing(run), "doc_id long, key long, n long, class binary")
 
 
 # --------------------------------------------------------- 2. shingles that others have, too
@@ -189,7 +189,7 @@ def may_link(docs: DataFrame, classes: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * partitions, size // BUCKET_BYTES + 1)
-    packed = small_batches(docs.select("text")).mapInArrow(pack_postings(buckets), "bucket long, hashes binary, owners binary, counts binary")
+    packed = small_batches(docs.select("text")).mapInArrow(releasing(pack_postings(buckets)), "bucket long, hashes binary, owners binary, counts binary")
     shared = packed.groupBy("bucket").applyInArrow(count_shared, "number long, shared long")
     # a partner has at least required(n) shingles, and an ``extra`` to that
     least = F.greatest(F.lit(1), F.floor(F.lit(EXTRA) * F.floor((PERCENT * F.col("n") + 99) / 100)))
@@ -209,7 +209,7 @@ def full_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     # never a broadcast: the chosen keys grow with the documents
     texts = docs.join(chosen.select("key").hint("merge"), "key", "left_semi").select("text")
-    return small_batches(texts).mapInArrow(run, "class binary, shingles array<long>").dropDuplicates(["class"])
+    return small_batches(texts).mapInArrow(releasing(run), "class binary, shingles array<long>").dropDuplicates(["class"])
 
 
 def frequent_parts(sets: DataFrame) -> DataFrame:

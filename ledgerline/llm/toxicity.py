@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from ledgerline.llm.common import small_batches, stage
+from ledgerline.llm.common import releasing, small_batches, stage
 from ledgerline.llm.samples import held_out, sampled
 from ledgerline.llm.words import ALNUM, Words, mix, words_of
 from ledgerline.sources.tables import Tables
@@ -193,7 +193,7 @@ def documents_with(texts: DataFrame, toxic: int, candidates: np.ndarray | None =
             names, n = np.unique(_distinct(np.concatenate(pairs, axis=1))[0], return_counts=True)
             yield pa.RecordBatch.from_pydict({"feature": names.view(np.int64), "n": n})
 
-    return texts.mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(releasing(run), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _distinct(pairs: np.ndarray) -> np.ndarray:
@@ -224,7 +224,7 @@ def with_keys(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["text", "label", "key", "words"])
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = rows.select("text", F.col("label").cast("long").alias("label")).mapInArrow(run, "text string, label long, key long, words long")
+    keyed = rows.select("text", F.col("label").cast("long").alias("label")).mapInArrow(releasing(run), "text string, label long, key long, words long")
     return stage(keyed.repartition(parts, "key"), "toxic-sample")
 
 
@@ -276,7 +276,7 @@ def fit_field(texts: DataFrame, rounds: int = ROUNDS) -> Field:
             parts = chain_data(words, np.repeat(label == 1, np.diff(words.first)), field, strong)
             yield pa.RecordBatch.from_pydict({name: [x.tobytes()] for name, x in parts.items()})
 
-    held = texts.mapInArrow(run, ", ".join(f"{name} binary" for name in _PARTS)).toArrow().to_pylist()
+    held = texts.mapInArrow(releasing(run), ", ".join(f"{name} binary" for name in _PARTS)).toArrow().to_pylist()
     return fit_chains(field, [{name: np.frombuffer(row[name], kind) for name, kind in _PARTS.items()} for row in held], rounds)
 
 
@@ -376,7 +376,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         for words, label, _ in _groups(batches):
             yield pa.RecordBatch.from_arrays([pa.array(label), *map(pa.array, document_features(words, model.tag(words)).T)], names=list("labcd"))
 
-    found = texts.mapInArrow(run, "l long, a double, b double, c double, d double").toArrow()
+    found = texts.mapInArrow(releasing(run), "l long, a double, b double, c double, d double").toArrow()
     toxic = found["l"].to_numpy() == 1
     x = np.column_stack([found[c].to_numpy() for c in "abcd"])
     weight = np.where(toxic, size[1] / taken[1], size[0] / taken[0])  # back to their share among all labels
@@ -420,7 +420,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, text_col
             columns = [batch["doc"], pa.array(np.concatenate(scores)), pa.array(spans, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "score", "spans"])
 
-    return small_batches(rows).mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(releasing(run), schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 
-from ledgerline.llm.byte_bpe import decode, encode, encoder, load_tokens, round_trip
+from ledgerline.llm.byte_bpe import decode, encode, encode_decode, encoder, load_tokens, round_trip
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -36,3 +36,12 @@ def test_random_bytes_like_texts():
 
 def test_empty_table(make_docs):
     assert round_trip(make_docs([])).collect() == []
+
+
+def test_a_task_has_one_python_worker(make_docs):
+    """Both steps run in one worker, with the result of the two operators in a row."""
+    docs = make_docs([(1, "it's naïve 中文"), (2, None), (None, "x y")])
+    plan = round_trip(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    both, steps = encode_decode(docs, RANKS, public_tokenizers.PATTERN), decode(encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert both.schema == steps.schema and sorted(map(str, both.collect())) == sorted(map(str, steps.collect()))
