@@ -210,9 +210,11 @@ def coverage(
         unit, start, end = grid
         spanned = F.sequence(*[F.shiftright(day_number(c), bits) for c in (_first(start), end)])
         rows = rows.withColumn("__ll_b", F.explode(F.when(_first(start) <= F.col(end), spanned)))
+    # listed services are never NULL: by plain equality the packs lie as they were grouped
+    same = F.col(service).eqNullSafe(F.col("__ll_s")) if services is None else F.col(service) == F.col("__ll_s")
     met = rows.join(
         packs,
-        (F.col(key) == F.col("__ll_k")) & F.col(service).eqNullSafe(F.col("__ll_s")) & (F.col("__ll_b") == F.col("__ll_pb")),
+        (F.col(key) == F.col("__ll_k")) & same & (F.col("__ll_b") == F.col("__ll_pb")),
         "left",
     )
 

@@ -95,5 +95,10 @@ def test_cells_are_made_above_all_shuffles(spark):
         assert 0 < text.index("Generate inline(transform(") < text.index("Exchange"), name
 
 
+def test_packs_of_periods_are_shuffled_once(spark):
+    for name in ("paid_months", "paid_quarters"):
+        assert len(re.findall(r"Exchange hashpartitioning\([^\n]*__ll_s", plan(spark, name))) == 1, name
+
+
 def test_interval_join_reads_the_items_once(spark):
     assert plan(spark, "interval_join").count("lineitem.parquet") == 1
